@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaloom.functions.text import as_col, first_int
+from qaloom.functions.text import as_col, first_int, let
 
 # The fenced block replies are asked for, and the refusal text.
 FENCED_JSON = r"```json\s*(\{[\s\S]*?\})\s*```"
@@ -49,10 +49,12 @@ def typed_json(col: str | Column, schema: T.StructType | str) -> Column:
     """
     fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     marked = T.StructType([*fields.fields, T.StructField(BAD_RECORD, T.StringType())])
-    c = F.when(F.ltrim(as_col(col)).startswith("{"), as_col(col))
-    parsed = F.from_json(c, marked, {"columnNameOfCorruptRecord": BAD_RECORD})
-    usable = c.isNotNull() & parsed[BAD_RECORD].isNull()
-    return F.when(usable, parsed.dropFields(BAD_RECORD))
+    options = {"columnNameOfCorruptRecord": BAD_RECORD}
+    parsed = let(as_col(col), lambda t: F.from_json(F.when(F.ltrim(t).startswith("{"), t), marked, options))
+    return let(
+        parsed,
+        lambda p: F.when(p.isNotNull() & p[BAD_RECORD].isNull(), F.struct(*[p[n].alias(n) for n in fields.fieldNames()])),
+    )
 
 
 def resolve_choice(answer: str | Column, choices: str | Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def preview(col: str | Column, n: int = 500) -> Column:
     """The first ``n`` characters, with an ellipsis only if something was cut off."""
     c = as_col(col)

@@ -182,7 +182,7 @@ def rephrase_sft(
     """
     fields = {n: n for n in template_fields(template)}
     asked = model_map(df.withColumn("_p", render(template, **fields)), client_factory, "_p", "_r", "_e", **call)
-    parsed = drop_failed(asked, "_r").withColumn("_j", typed_json("_r", schema)).filter("_j IS NOT NULL")
+    parsed = drop_failed(asked, "_r").select("*", F.explode(F.array_compact(F.array(typed_json("_r", schema)))).alias("_j"))
     names = parsed.schema["_j"].dataType.fieldNames()
     rest = [c for c in df.columns if c not in MCQ_CARRIED]
     return parsed.select(

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qaloom.functions.text import let
+
 PAGE_BUCKET = 64
 IMAGES_PER_SPLIT = 256
 PAGES_PER_PART = 4096
@@ -100,21 +102,23 @@ def markdown_slice(windows: DataFrame, markdown: DataFrame) -> DataFrame:
     texts = markdown.join(copies, "doc")
     joined = windows.withColumn("_split", split.cast("bigint")).join(texts, ["doc", "_split"], "left")
 
-    md = F.coalesce("markdown", F.lit(""))
     used = F.filter("blocks", lambda b: F.length(b) > 0)
-    starts = F.filter(F.transform(used, lambda b: F.position(b, md)), lambda p: p > 0)
-    joined = joined.withColumn("_start", F.try_element_at(starts, F.lit(1)))
-    ends = F.transform(
-        used,
-        lambda b: F.position(b, md, F.col("_start")) + F.when(
-            F.position(b, md, F.col("_start")) > 0, F.char_length(b)
-        ).otherwise(0),
+    md = F.coalesce("markdown", F.lit(""))
+    # The place of the first block that occurs; later blocks are not searched for.
+    start = F.aggregate(used, F.lit(0), lambda at, b: F.when(at > 0, at).otherwise(F.position(b, md)))
+
+    def furthest(rest: Column) -> Column:
+        ends = F.transform(
+            used,
+            lambda b: let(F.position(b, rest), lambda at: F.when(at > 0, at - 1 + F.char_length(b)).otherwise(0)),
+        )
+        return F.left(rest, F.array_max(ends))
+
+    context = let(
+        start,
+        lambda at: F.when(at > 0, let(F.substr(md, at), furthest)).otherwise(F.lit("")),
     )
-    joined = joined.withColumn("_end", F.array_max(ends))
-    context = F.when(
-        F.col("_start").isNotNull(), F.substring(md, F.col("_start"), F.col("_end") - F.col("_start"))
-    ).otherwise(F.lit(""))
-    return joined.withColumn("md_content", context).drop("_split", "markdown", "_start", "_end")
+    return joined.withColumn("md_content", context).drop("_split", "markdown")
 
 
 def mark_images(df: DataFrame, col: str = "md_content", path: str = "img_path") -> DataFrame:

@@ -103,19 +103,13 @@ def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART)
 
 def _first_part_only(packed: DataFrame) -> DataFrame:
     """Keep each list value in the first part of its source that has it."""
-    tagged = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    name,
-                    lambda v, i, name=name: F.struct(
-                        F.lit(name).alias("list"), v.alias("value"), i.cast("bigint").alias("pos")
-                    ),
-                )
-                for name in KNOWLEDGE_LISTS
-            ]
+    def tag(name: str) -> Column:
+        return F.transform(
+            name,
+            lambda v, i: F.struct(F.lit(name).alias("list"), v.alias("value"), i.cast("bigint").alias("pos")),
         )
-    )
+
+    tagged = F.flatten(F.array(*[tag(name) for name in KNOWLEDGE_LISTS]))
     at = F.shiftleft(F.col("part_index").cast("bigint"), _POSITION_BITS) + F.col("item.pos")
     firsts = (
         packed.select("source_file", "part_index", F.explode(tagged).alias("item"))

@@ -24,9 +24,11 @@ def parse_reply(
 ) -> DataFrame:
     """Parse each reply to ``schema``; rows that do not parse are dropped.
 
-    Use :func:`mark_parsed` to keep and count them.
+    Use :func:`mark_parsed` to keep and count them. The record comes out of a generator, so
+    no later filter or field access makes Spark parse a reply a second time.
     """
-    return mark_parsed(df, schema, fallback, which, col, out).filter("parse_ok").drop("parse_ok")
+    record = typed_json(reply_json(col, fallback, which), schema)
+    return df.select("*", F.explode(F.array_compact(F.array(record))).alias(out))
 
 
 def mark_parsed(
@@ -37,8 +39,8 @@ def mark_parsed(
     col: str = "content",
     out: str = "parsed",
 ) -> DataFrame:
-    parsed = df.withColumn(out, typed_json(reply_json(col, fallback, which), schema))
-    return parsed.withColumn("parse_ok", F.col(out).isNotNull())
+    record = typed_json(reply_json(col, fallback, which), schema)
+    return df.select("*", F.explode(F.array(record)).alias(out)).withColumn("parse_ok", F.col(out).isNotNull())
 
 
 def parse_report(marked: DataFrame, *by: str) -> DataFrame:
@@ -85,7 +87,7 @@ def clean_mixed(df: DataFrame, image_schema: str, text_schema: str) -> DataFrame
     kept; fields of a fenced object override their own where the row has no ``qa_pairs`` yet.
     """
     images = df.filter(F.col("image_path").isNotNull())
-    images = images.withColumn("_p", typed_json(fenced_json("content"), image_schema)).filter("_p IS NOT NULL")
+    images = parse_reply(images, image_schema, "none", out="_p")
     image_fields = [n for n in T.StructType.fromDDL(image_schema).fieldNames() if n != "image_path"]
     image_rows = images.select(
         *[F.col("_p")[n].alias(n) for n in image_fields], image_rel_path("image_path").alias("image_path")

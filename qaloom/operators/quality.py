@@ -143,7 +143,7 @@ def useful_filter(df: DataFrame, judge: str = "judge_json") -> tuple[DataFrame,
     """Rows the judge's JSON calls useful, and the rows it rejects. Unparsable replies are in
     neither."""
     verdict = typed_json(judge, "useful string")
-    judged = df.withColumn("_v", verdict).filter("_v IS NOT NULL")
+    judged = df.select("*", F.explode(F.array_compact(F.array(verdict))).alias("_v"))
     useful = F.coalesce(~F.lower(F.trim("_v.useful")).isin(_FALSY), F.lit(False))
     return judged.filter(useful).drop("_v"), judged.filter(~useful).drop("_v")
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from qaloom.plans import source_queries  # noqa: F401  (registers on import)
+from qaloom.plans import document_queries, reply_queries, report_queries, source_queries  # noqa: F401  (registers on import)
 from qaloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

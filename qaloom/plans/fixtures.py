@@ -157,7 +157,7 @@ def pagedocs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- raw model replies: one per line, in every shape a reply takes ------------------------------
 
-def _sql_escape(expr: str) -> str:
+def sql_escape(expr: str) -> str:
     return r"""replace(replace(replace(replace(EXPR, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(9), '\t')""".replace("EXPR", expr)
 
 
@@ -169,7 +169,7 @@ REPLIES_SQL = (
     + """,
 bodies AS (
   SELECT *, '{"question": "What about line ' || ord || '?", "answer": "' || """
-    + _sql_escape("line")
+    + sql_escape("line")
     + """ || '", "question_type": ' || CASE WHEN ord % 3 = 0 THEN 'null' ELSE '"reasoning"' END || ', "rank": ' || ord || '}' AS body
   FROM lines
 ),
@@ -398,7 +398,8 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
         path = new_scratch_path(spark, "documents")
-        documents(spark, sf_dir).select("text", "lang").write.option("maxRecordsPerFile", 1).partitionBy(
+        docs = documents(spark, sf_dir).select("text", "lang").repartition(spark.sparkContext.defaultParallelism)
+        docs.write.option("maxRecordsPerFile", 1).partitionBy(
             "lang"
         ).text(path)
         _staged[key] = path

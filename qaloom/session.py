@@ -128,7 +128,7 @@ def global_index(
     offsets = sizes.select(
         "_part",
         F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(everything).alias("_total"),
+        F.sum("_n").over(everything).alias("_rows_in_all"),
     )
     slot = F.col("_slot").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
     numbered = (
@@ -137,5 +137,5 @@ def global_index(
         .withColumn(name, slot + F.col("_offset"))
     )
     if total:
-        numbered = numbered.withColumn(total, F.col("_total"))
-    return numbered.drop("_slot", "_part", "_offset", "_total")
+        numbered = numbered.withColumn(total, F.col("_rows_in_all"))
+    return numbered.drop("_slot", "_part", "_offset", "_rows_in_all")
