@@ -72,11 +72,10 @@ def model_map(
 
     call = call.asNondeterministic()
     spread = df.repartition(partitions) if partitions else df
-    return (
-        spread.withColumn("_answer", call(F.col(prompt)))
-        .withColumn(reply, F.col("_answer.reply"))
-        .withColumn(error, F.col("_answer.error"))
-        .drop("_answer")
+    kept = [c for c in df.columns if c not in (reply, error)]
+    called = spread.select("*", call(F.col(prompt)).alias("_model_call"))
+    return called.select(
+        *kept, F.col("_model_call.reply").alias(reply), F.col("_model_call.error").alias(error)
     )
 
 

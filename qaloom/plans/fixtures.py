@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.functions.text import escape_json
-from qaloom.session import new_scratch_path
+from qaloom.session import new_scratch_path, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 # --- question-answer pairs: a user turn and the assistant turn after it -----------------------
@@ -374,7 +374,7 @@ def judge_client():
 def judge_sql(prompt: str) -> str:
     head = f"md5({prompt})[1]"
     return (
-        f"CASE WHEN {head} = 'f' THEN NULL WHEN {head} IN ('0', '1') THEN '-1' "
+        f"CASE WHEN {head} IS NULL OR {head} = 'f' THEN NULL WHEN {head} IN ('0', '1') THEN '-1' "
         f"WHEN {head} = '2' THEN 'cannot tell' ELSE 'Score: 1' END"
     )
 
@@ -398,8 +398,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
         path = new_scratch_path(spark, "documents")
-        docs = documents(spark, sf_dir).select("text", "lang").repartition(spark.sparkContext.defaultParallelism)
-        docs.write.option("maxRecordsPerFile", 1).partitionBy(
+        documents(spark, sf_dir).select("text", "lang").write.option("maxRecordsPerFile", 1).partitionBy(
             "lang"
         ).text(path)
         _staged[key] = path

@@ -91,6 +91,16 @@ def is_small(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES)
     return seen["n"] <= max_rows and seen["b"] <= max_bytes
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when the input comes in fewer files than there are cores.
+
+    For CPU-heavy steps right after a scan: a file with one row group is read by one task
+    however many cores are idle. Inputs of many files pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
 def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A configuration table (its row count is known to the driver), with a broadcast hint
     when short enough."""
