@@ -67,10 +67,13 @@ def chunk_text(
 def chunk_meta(df: DataFrame, chunks: str = "chunks") -> DataFrame:
     """Unnest an array of chunks with index, total and the label of multi-chunk texts."""
     kept = [c for c in df.columns if c != chunks]
+    # Exploding an expression, not a column, keeps Spark from filtering on it before the scan's
+    # end, which would compute a derived array twice.
+    present = F.coalesce(F.col(chunks), F.array().cast("array<string>"))
     exploded = df.select(
         *kept,
         F.size(chunks).alias("total_chunks"),
-        F.posexplode(chunks).alias("chunk_index", "chunk"),
+        F.posexplode(present).alias("chunk_index", "chunk"),
     )
     return exploded.withColumn("chunk_label", chunk_label())
 

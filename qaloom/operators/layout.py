@@ -81,11 +81,11 @@ def page_window(blocks: DataFrame) -> DataFrame:
         F.any_value("page_idx").alias("page_idx"),
         F.collect_list("_blocks").alias("_pages"),
     )
-    ordered = F.array_sort(F.flatten("_pages"))
+    ordered = F.sort_array(F.flatten("_pages"))
     return near.withColumn("blocks", F.flatten(F.transform(ordered, lambda b: b["texts"]))).drop("_pages")
 
 
-def markdown_slice(windows: DataFrame, markdown: DataFrame) -> DataFrame:
+def markdown_slice(blocks: DataFrame, markdown: DataFrame) -> DataFrame:
     """Per image window, the stretch of the document's markdown its blocks span.
 
     It runs from the first window block found in ``markdown`` (``doc, markdown``) to the
@@ -93,9 +93,11 @@ def markdown_slice(windows: DataFrame, markdown: DataFrame) -> DataFrame:
     images is joined in splits of its images, each with its own copy of the markdown row, so
     no task gets all of them.
     """
+    windows = page_window(blocks)
     split = F.expr(f"ord div {IMAGES_PER_SPLIT}")
     copies = (
-        windows.groupBy("doc")
+        blocks.filter("type = 'image'")
+        .groupBy("doc")
         .agg(F.max(split).alias("_last"))
         .select("doc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last").cast("bigint"))).alias("_split"))
     )

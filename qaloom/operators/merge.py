@@ -70,11 +70,8 @@ def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART)
         .groupBy("source_file", "part_index")
         .agg(
             F.max("total_chunks").alias("total_chunks"),
-            F.array_sort(
-                F.collect_list(F.struct("chunk_index", "qa_pairs", *KNOWLEDGE_LISTS, "main_findings")),
-                lambda a, b: F.when(a["chunk_index"] < b["chunk_index"], -1)
-                .when(a["chunk_index"] > b["chunk_index"], 1)
-                .otherwise(0),
+            F.sort_array(
+                F.collect_list(F.struct("chunk_index", "qa_pairs", *KNOWLEDGE_LISTS, "main_findings"))
             ).alias("_chunks"),
         )
     )
@@ -116,7 +113,7 @@ def _first_part_only(packed: DataFrame) -> DataFrame:
         .groupBy("source_file", F.col("item.list").alias("list"), F.col("item.value").alias("value"))
         .agg(F.min(at).alias("at"))
         .groupBy("source_file", F.shiftright("at", _POSITION_BITS).alias("part_index"))
-        .agg(F.array_sort(F.collect_list(F.struct("at", "list", "value"))).alias("_items"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "list", "value"))).alias("_items"))
     )
 
     def values(name: str) -> Column:
@@ -132,15 +129,19 @@ def _first_part_only(packed: DataFrame) -> DataFrame:
 def dedup_records(df: DataFrame, keys: list[str], keep: str, fold: bool = False) -> DataFrame:
     """Of records equal in ``keys`` keep the one with the lowest ``keep`` (unique, orderable).
 
-    The groups are reduced to a minimum before the shuffle, so a group holding a third of all
-    rows costs no more than any other. ``fold`` compares texts without case, punctuation and
+    Records meet by the SHA-256 of their keys, so no texts are shuffled to compare them, and
+    each group is reduced to its minimum before the shuffle, so one holding a third of all rows
+    costs no more than any other. ``fold`` compares texts without case, punctuation and
     spacing, which also catches re-worded copies of that degree.
     """
 
-    def key(name: str) -> Column:
-        if not fold:
-            return F.col(name)
-        return F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]+", "")
+    def part(name: str) -> Column:
+        text = F.col(name).cast("string")
+        if fold:
+            text = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "")
+        # Lengths keep neighbouring fields apart, and NULL differs from ''.
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
-    kept = df.groupBy(*[key(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(keep).alias("_keep"))
+    digest = F.sha2(F.concat(*[part(k) for k in keys]), 256)
+    kept = df.groupBy(digest.alias("_key")).agg(F.min(keep).alias("_keep"))
     return df.join(kept.select("_keep"), F.col(keep) == F.col("_keep"), "left_semi")

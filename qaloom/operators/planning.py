@@ -133,7 +133,7 @@ def type_quota(df: DataFrame, ratios: Mapping[str, float], total: str = "total")
             )
         )
     kept = [c for c in df.columns]
-    ranked = df.withColumn("_shares", F.array_sort(F.array(*shares))).withColumn(
+    ranked = df.withColumn("_shares", F.sort_array(F.array(*shares))).withColumn(
         "_left", n.cast("bigint") - F.aggregate("_shares", F.lit(0).cast("bigint"), lambda a, s: a + s["whole"])
     )
     return ranked.select(*kept, "_left", F.posexplode("_shares").alias("_pos", "_share")).select(
@@ -197,6 +197,34 @@ def subgraph_profile(df: DataFrame) -> DataFrame:
     return df.withColumn("num_nodes", F.size("nodes")).withColumn("num_edges", F.size("edges"))
 
 
+def graph_profile(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same counts from graphs kept as tables (``graph_id, id`` and one row per edge).
+
+    Both sides are counted with partial aggregation, so a graph of any size is no task of its own.
+    """
+    n = nodes.select("graph_id", "id").distinct().groupBy("graph_id").agg(F.count("*").alias("num_nodes"))
+    e = edges.groupBy("graph_id").agg(F.count("*").alias("num_edges"))
+    counted = n.join(e, "graph_id", "full_outer")
+    return counted.select("graph_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("num_nodes", "num_edges")])
+
+
+def graph_features(nodes: DataFrame, features: Mapping[str, list[str]] = SUBGRAPH_FEATURES) -> DataFrame:
+    """Which features the nodes of each graph show, as ``graph_id, features ARRAY<STRING>``."""
+    text = F.lower("id")
+    flags = nodes.groupBy("graph_id").agg(
+        *[F.bool_or(_any_word(text, words)).alias(name) for name, words in features.items()]
+    )
+    return flags.select(
+        "graph_id", F.array_compact(F.array(*[F.when(F.col(n), F.lit(n)) for n in features])).alias("features")
+    )
+
+
+def node_features(nodes: str = "nodes", features: Mapping[str, list[str]] = SUBGRAPH_FEATURES) -> Column:
+    """The same from a nested array of nodes."""
+    text = F.lower(F.to_json(nodes))
+    return F.array_compact(F.array(*[F.when(_any_word(text, words), F.lit(n)) for n, words in features.items()]))
+
+
 def subgraph_max_types(nodes: str | Column = "num_nodes", edges: str | Column = "num_edges") -> Column:
     """How many question types a subgraph of this size can carry."""
     n = F.col(nodes) if isinstance(nodes, str) else nodes
@@ -225,26 +253,20 @@ def fixed_question_match(
     questions: list[tuple[int, str]],
     k: int,
     features: Mapping[str, list[str]] = SUBGRAPH_FEATURES,
-    node_text: Column | None = None,
 ) -> DataFrame:
-    """The ``k`` fixed questions that share most features with each subgraph's nodes.
+    """The ``k`` fixed questions that share most features with each graph (its ``features``).
 
-    A feature counts when one of its words occurs in the nodes and in the question. Questions
-    sharing nothing are left out; ties go to the lower id. The question list is configuration,
-    so each subgraph scores it in place: no join, no shuffle.
+    A feature counts when the graph has it and one of its words occurs in the question.
+    Questions sharing nothing are left out; ties go to the lower id. The question list is
+    configuration, so each graph scores it in place: no join, no shuffle.
     """
-    seen = F.lower(node_text if node_text is not None else F.to_json("nodes"))
-    has = {name: _any_word(seen, words) for name, words in features.items()}
     scored = []
     for qid, question in questions:
-        low = question.lower()
-        mine = [has[name].cast("int") for name, words in features.items() if any(w in low for w in words)]
-        score = sum(mine, F.lit(0))
-        scored.append(
-            F.struct((-score).alias("neg"), F.lit(qid).alias("question_id"), F.lit(question).alias("question"))
-        )
-    ranked = F.slice(F.array_sort(F.filter(F.array(*scored), lambda s: s["neg"] < 0)), 1, k)
-    kept = [c for c in df.columns if c not in ("nodes", "edges")]
+        mine = [n for n, words in features.items() if any(w in question.lower() for w in words)]
+        shared = F.size(F.array_intersect("features", F.array(*[F.lit(n) for n in mine]).cast("array<string>")))
+        scored.append(F.struct((-shared).alias("neg"), F.lit(qid).alias("question_id"), F.lit(question).alias("question")))
+    ranked = F.slice(F.sort_array(F.filter(F.array(*scored), lambda s: s["neg"] < 0)), 1, k)
+    kept = [c for c in df.columns if c not in ("nodes", "edges", "features")]
     return df.select(*kept, F.posexplode(ranked).alias("_pos", "_q")).select(
         *kept,
         F.col("_q.question_id").alias("question_id"),

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # The question types statistics are kept for.
 QUESTION_TYPES = ["factual", "comparison", "reasoning", "open_ended"]
@@ -26,6 +25,11 @@ def _mean(total: Column, n: Column) -> Column:
     return F.coalesce(F.try_divide(total, n), F.lit(0.0))
 
 
+def _total(counts: DataFrame, n: Column) -> Column:
+    """Sum over all groups as a subquery, so that the groups never meet in one task."""
+    return counts.select(F.sum(n).alias("total")).scalar()
+
+
 def qa_stats(df: DataFrame) -> DataFrame:
     """One row: total pairs, count and share of each known type, average lengths over all pairs."""
     counted = df.agg(
@@ -55,8 +59,7 @@ def type_share(df: DataFrame, col: str = "type") -> DataFrame:
     """Count and percentage per type prefix (the part before the first underscore)."""
     prefix = F.split_part(F.coalesce(F.col(col), F.lit("unknown")), F.lit("_"), F.lit(1))
     counts = df.groupBy(prefix.alias("type_prefix")).agg(F.count("*").alias("qa_pairs"))
-    total = F.sum("qa_pairs").over(Window.partitionBy())
-    return counts.withColumn("share", percent(F.col("qa_pairs"), total))
+    return counts.withColumn("share", percent(F.col("qa_pairs"), _total(counts, F.col("qa_pairs"))))
 
 
 def quality_report(df: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -111,10 +114,6 @@ def batch_report(df: DataFrame, label: str = "input_dir") -> DataFrame:
     )
 
 
-def corpus_totals(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("rows"))
-
-
 def final_dataset(df: DataFrame, meta: dict[str, str]) -> DataFrame:
     """Every pair with the run's metadata beside it."""
     return df.select("*", *[F.lit(v).alias(k) for k, v in meta.items()])
@@ -163,7 +162,7 @@ def generation_report(df: DataFrame, targets: DataFrame) -> DataFrame:
     )
     both = actual.join(targets, "question_type", "full_outer")
     n = F.coalesce("n", F.lit(0))
-    total = F.sum(n).over(Window.partitionBy())
+    total = _total(both, n)
     return both.select(
         "question_type",
         F.coalesce("target", F.lit(0)).cast("bigint").alias("target"),
@@ -178,4 +177,4 @@ def generation_report(df: DataFrame, targets: DataFrame) -> DataFrame:
 
 def method_report(df: DataFrame, method: str = "generation_method") -> DataFrame:
     counts = df.groupBy(F.col(method).alias("generation_method")).agg(F.count("*").alias("qa_pairs"))
-    return counts.withColumn("share", percent(F.col("qa_pairs"), F.sum("qa_pairs").over(Window.partitionBy())))
+    return counts.withColumn("share", percent(F.col("qa_pairs"), _total(counts, F.col("qa_pairs"))))

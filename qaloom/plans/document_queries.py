@@ -148,7 +148,6 @@ def page_window(spark, sf_dir):
     )
 
 
-# Pages alone are sliced, so that blocks beyond them are absent from the text and repeats occur.
 SLICE_SQL = f"""{WINDOW_SQL}, {MARKDOWN_SQL},
 placed AS (
   SELECT p.*, m.markdown, strpos(m.markdown, p.t) AS pos FROM pairs p JOIN markdown m USING (doc) WHERE length(p.t) > 0
@@ -166,8 +165,7 @@ context AS (SELECT doc, ord, img_path, substr(markdown, start, span) AS md_conte
 
 @query("markdown_slice", f"WITH {SLICE_SQL} SELECT doc, ord, length(md_content) AS n_chars, md5(md_content) AS md_md5 FROM context")
 def markdown_slice(spark, sf_dir):
-    windows = layout.page_window(blocks(spark, sf_dir))
-    return layout.markdown_slice(windows, markdown(spark, sf_dir)).select(
+    return layout.markdown_slice(blocks(spark, sf_dir), markdown(spark, sf_dir)).select(
         "doc", "ord", F.char_length("md_content").alias("n_chars"), F.md5("md_content").alias("md_md5")
     )
 
@@ -180,8 +178,7 @@ def markdown_slice(spark, sf_dir):
     SELECT doc, ord, md5(regexp_replace(t, chr(1) || '[^' || chr(2) || ']*' || chr(2), '<irrelevant>', 'g')) AS md_md5 FROM tagged""",
 )
 def mark_images(spark, sf_dir):
-    windows = layout.page_window(blocks(spark, sf_dir))
-    sliced = layout.markdown_slice(windows, markdown(spark, sf_dir))
+    sliced = layout.markdown_slice(blocks(spark, sf_dir), markdown(spark, sf_dir))
     return layout.mark_images(sliced).select("doc", "ord", F.md5("md_content").alias("md_md5"))
 
 
@@ -233,9 +230,6 @@ def corpus_summary(spark, sf_dir):
     return prepare.corpus_summary(docs.join(pages, "doc"))
 
 
-PATHS_SQL = "'/data/' || source || '/auto/images/' || url"
-
-
 @query(
     "image_rel_path",
     """WITH p AS (SELECT page_id, string_split(url, '/') AS s FROM pages)

@@ -314,25 +314,28 @@ subgraphs AS (
 )"""
 
 
-def subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def graph_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """One graph per order: its parts and suppliers as nodes, its lines as edges."""
     items = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")
+        table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("l_partkey")
     )
-
-    def node(node_id: Column, kind: str, properties: Column) -> Column:
-        return F.struct(node_id.alias("id"), F.lit(kind).alias("type"), properties.alias("properties"))
-
     supplier = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
-    return items.groupBy(F.col("l_orderkey").alias("graph_id")).agg(
-        F.array_union(
-            F.collect_set(node(F.col("p_name"), "part", F.lit(""))),
-            F.collect_set(node(supplier, "supplier", F.lit(""))),
-        ).alias("nodes"),
-        F.collect_list(
-            F.struct(supplier.alias("source"), F.col("p_name").alias("target"), F.lit("supplies").alias("relation"))
-        ).alias("edges"),
+    edges = items.select(
+        F.col("l_orderkey").alias("graph_id"),
+        supplier.alias("source"),
+        F.col("p_name").alias("target"),
+        F.lit("supplies").alias("relation"),
     )
+    nodes = edges.select(
+        "graph_id",
+        F.explode(
+            F.array(
+                F.struct(F.col("source").alias("id"), F.lit("supplier").alias("type")),
+                F.struct(F.col("target").alias("id"), F.lit("part").alias("type")),
+            )
+        ).alias("node"),
+    ).select("graph_id", "node.*")
+    return nodes, edges
 
 
 # --- deterministic stand-ins for models, stated in SQL as well -----------------------------------

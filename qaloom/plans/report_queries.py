@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from qaloom.operators import merge, planning, stats
 from qaloom.operators.prompts import PromptRegistry
 from qaloom.plans.fixtures import (
-    KNOWLEDGE_SQL, LINES_SQL, QA_SQL, REPLIES_SQL, SUBGRAPHS_SQL, bucket_sql, documents, knowledge, lines, qa, replies, subgraphs, table,
+    KNOWLEDGE_SQL, LINES_SQL, QA_SQL, REPLIES_SQL, SUBGRAPHS_SQL, bucket_sql, documents, graph_tables, knowledge, lines, qa, replies,
 )
 from qaloom.plans.registry import query
 
@@ -223,9 +223,10 @@ def explode_tasks(spark, sf_dir):
     registry = PromptRegistry(
         {43: "Facts of {source_file}: {question}", 44: "Compare: {question} / {answer}", 45: "Why? {answer}", 46: "Discuss {question}"}
     )
+    # Only keys are numbered and written; the texts join the plan afterwards.
     rows = qa(spark, sf_dir).select("conv_id", "turn", "source_file", "question", "answer")
-    planned = planning.plan_question_types(rows, "conv_id", "turn")
-    return planning.explode_tasks(planned, registry).select("conv_id", "turn", "question_type", "prompt_id", "prompt")
+    planned = planning.plan_question_types(rows.select("conv_id", "turn"), "conv_id", "turn")
+    return planning.explode_tasks(rows.join(planned, ["conv_id", "turn"]), registry).select("conv_id", "turn", "question_type", "prompt_id", "prompt")
 
 
 @query(
@@ -268,7 +269,7 @@ def clamp_ratio(spark, sf_dir):
 
 @query("subgraph_profile", f"WITH {SUBGRAPHS_SQL} SELECT graph_id, num_nodes, num_edges FROM subgraphs")
 def subgraph_profile(spark, sf_dir):
-    return planning.subgraph_profile(subgraphs(spark, sf_dir)).select("graph_id", "num_nodes", "num_edges")
+    return planning.graph_profile(*graph_tables(spark, sf_dir))
 
 
 @query(
@@ -277,7 +278,7 @@ def subgraph_profile(spark, sf_dir):
     WHEN num_nodes <= 8 OR num_edges <= 6 THEN 3 ELSE 4 END AS max_types FROM subgraphs""",
 )
 def subgraph_max_types(spark, sf_dir):
-    sized = planning.subgraph_profile(subgraphs(spark, sf_dir))
+    sized = planning.graph_profile(*graph_tables(spark, sf_dir))
     return sized.select("graph_id", planning.subgraph_max_types().alias("max_types"))
 
 
@@ -307,8 +308,8 @@ FEATURES = {"fastener": ["bolt", "nut"], "ring": ["ring"], "heat": ["hot"], "siz
     SELECT graph_id, question_id, score, rank FROM r WHERE rank <= 2""",
 )
 def fixed_question_match(spark, sf_dir):
-    names = F.array_join(F.transform("nodes", lambda n: n["id"]), " ")
-    matched = planning.fixed_question_match(subgraphs(spark, sf_dir), FIXED, 2, FEATURES, names)
+    nodes, _ = graph_tables(spark, sf_dir)
+    matched = planning.fixed_question_match(planning.graph_features(nodes, FEATURES), FIXED, 2, FEATURES)
     return matched.select("graph_id", "question_id", "score", "rank")
 
 

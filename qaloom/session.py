@@ -17,14 +17,12 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app_name: str = "qaloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with AQE on, UTC time and Arrow batches sized for document-length rows."""
+    """A session with AQE on and UTC time. Arrow batches are bounded by bytes already."""
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # Documents may be megabytes long, so few of them travel per Arrow batch.
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
         # Model calls must not be repeated by speculative copies of a task.
         "spark.speculation": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -92,13 +90,13 @@ def is_small(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores when the input comes in fewer files than there are cores.
+    """Rows of a scan dealt out to all cores when it has fewer splits than there are cores.
 
     For CPU-heavy steps right after a scan: a file with one row group is read by one task
-    however many cores are idle. Inputs of many files pass through without a shuffle.
+    however many cores are idle. Larger inputs pass through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,15 +31,20 @@ def qa_flatten(df: DataFrame) -> DataFrame:
 
     An empty ``qa_pairs`` array gives no rows, a NULL one marks a plain record.
     """
-    pair_fields = df.schema["qa_pairs"].dataType.elementType.fieldNames()
+    pair = df.schema["qa_pairs"].dataType.elementType
+    plain = {f.name: f.dataType for f in df.schema.fields if f.name not in ("qa_pairs", "source_file")}
+    types = {**plain, **{f.name: f.dataType for f in pair.fields if f.name != "source_file"}}
+
+    def record(values: dict[str, Column], source: Column) -> Column:
+        own = [
+            (values[n] if n in values else F.lit(None)).cast(t).alias(n) for n, t in types.items()
+        ]
+        return F.struct(*own, source.alias("source_file"))
+
     source = F.coalesce(F.col("source_file"), F.lit("unknown"))
-    nested = (
-        df.filter(F.col("qa_pairs").isNotNull())
-        .select(source.alias("source_file"), F.explode("qa_pairs").alias("pair"))
-        .select(*[F.col("pair")[f].alias(f) for f in pair_fields], "source_file")
-    )
-    plain = df.filter(F.col("qa_pairs").isNull()).drop("qa_pairs")
-    return nested.unionByName(plain, allowMissingColumns=True)
+    nested = F.transform("qa_pairs", lambda p: record({n: p[n] for n in pair.fieldNames()}, source))
+    itself = F.array(record({n: F.col(n) for n in plain}, F.col("source_file")))
+    return df.select(F.explode(F.coalesce(nested, itself)).alias("_r")).select("_r.*")
 
 
 def json_sink(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

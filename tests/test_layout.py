@@ -48,7 +48,7 @@ def test_ranges_overlap_and_do_not_leak(spark, blocks):
 
 def slices(spark, blocks, markdown):
     md = spark.createDataFrame(list(markdown.items()), "doc string, markdown string")
-    return {r.img_path: r.md_content for r in layout.markdown_slice(layout.page_window(blocks), md).collect()}
+    return {r.img_path: r.md_content for r in layout.markdown_slice(blocks, md).collect()}
 
 
 def test_slices(spark, blocks, monkeypatch):

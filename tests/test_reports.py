@@ -105,12 +105,20 @@ def test_fixed_questions_on_sample_graphs(spark):
     rows = [(1, ["TFT器件", "短沟道"]), (2, ["OLED显示"]), (3, ["PCB基板"])]
     df = spark.createDataFrame(rows, "id int, names array<string>").select(
         "id", F.transform("names", lambda n: F.struct(n.alias("id"))).alias("nodes")
-    )
+    ).withColumn("features", planning.node_features())
     questions = [(1, "如何避免TFT失效"), (2, "OLED残影如何改善"), (3, "TFT驱动OLED")]
     got = {(r.id, r.question_id, r["rank"]) for r in planning.fixed_question_match(df, questions, 2).collect()}
     assert got == {(1, 1, 1), (1, 3, 2), (2, 2, 1), (2, 3, 2)}
 
 
+def test_graphs_as_tables(spark):
+    nodes = spark.createDataFrame([(1, "TFT x"), (1, "TFT x"), (1, "gate"), (2, "OLED")], "graph_id int, id string")
+    edges = spark.createDataFrame([(1,), (1,), (3,)], "graph_id int")
+    got = {tuple(r) for r in planning.graph_profile(nodes, edges).collect()}
+    assert got == {(1, 2, 2), (2, 1, 0), (3, 0, 1)}
+    assert {r.graph_id: r.features for r in planning.graph_features(nodes).collect()} == {1: ["semiconductor"], 2: ["display"]}
+
+
 def test_bands(spark):
     df = spark.createDataFrame([(0.95,), (0.8,), (0.75,), (0.6,), (0.55,), (0.4,), (0.1,)], "t double")
     got = [r.b for r in df.select(quality.threshold_band("t").alias("b")).collect()]
