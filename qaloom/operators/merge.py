@@ -50,52 +50,60 @@ def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART)
 
     QA pairs and findings are concatenated in chunk order. Concepts, materials, parameters and
     methods are concatenated and keep their first occurrence in the whole source. Duplicates
-    within a part fall away when the part is packed; only sources with several parts take the
-    second pass that drops what an earlier part already has.
+    within a part fall away when the part is packed; sources of several parts are read in a
+    branch of their own, which also drops what an earlier part already has.
     """
     lists = ["key_concepts", "technical_details.materials", "technical_details.parameters", "technical_details.methods"]
+    chunked = F.coalesce(F.col("chunk_index").isNotNull() & (F.col("total_chunks") > 1), F.lit(False))
     flat = df.select(
         "source_file",
         "chunk_index",
         "total_chunks",
-        "qa_pairs",
+        F.coalesce("qa_pairs", F.array().cast(df.schema["qa_pairs"].dataType)).alias("qa_pairs"),
         *[_list(path).alias(name) for name, path in zip(KNOWLEDGE_LISTS, lists)],
         _list("main_findings").alias("main_findings"),
-    ).withColumn("qa_pairs", F.coalesce("qa_pairs", F.array().cast(df.schema["qa_pairs"].dataType)))
+        chunked.alias("chunked"),
+    )
+    many_parts = F.col("chunked") & (F.col("total_chunks") > chunks_per_part)
+    merged = _pack(flat.filter(~many_parts), chunks_per_part).unionByName(
+        _first_part_only(_pack(flat.filter(many_parts), chunks_per_part))
+    )
+    return merged.select(
+        "source_file",
+        "part_index",
+        "qa_pairs",
+        "key_concepts",
+        F.struct("materials", "parameters", "methods").alias("technical_details"),
+        "main_findings",
+    )
 
-    chunked = F.coalesce(F.col("chunk_index").isNotNull() & (F.col("total_chunks") > 1), F.lit(False))
-    parts = (
-        flat.filter(chunked)
-        .withColumn("part_index", part_index(chunks_per_part))
-        .groupBy("source_file", "part_index")
+
+def _pack(flat: DataFrame, chunks_per_part: int) -> DataFrame:
+    """One row per source and part. Unchunked records each get a group of their own."""
+    apart = F.when(F.col("chunked"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    part = F.when(F.col("chunked"), part_index(chunks_per_part)).otherwise(F.lit(0))
+    packed = (
+        flat.withColumns({"part_index": part, "_apart": apart})
+        .groupBy("source_file", "part_index", "_apart")
         .agg(
-            F.max("total_chunks").alias("total_chunks"),
+            F.bool_or("chunked").alias("chunked"),
             F.sort_array(
                 F.collect_list(F.struct("chunk_index", "qa_pairs", *KNOWLEDGE_LISTS, "main_findings"))
             ).alias("_chunks"),
         )
     )
-    packed = parts.select(
+
+    def values(name: str) -> Column:
+        joined = F.flatten(f"_chunks.{name}")
+        return F.when(F.col("chunked"), F.array_distinct(joined)).otherwise(joined)
+
+    return packed.select(
         "source_file",
         "part_index",
-        "total_chunks",
         F.flatten("_chunks.qa_pairs").alias("qa_pairs"),
-        *[F.array_distinct(F.flatten(f"_chunks.{name}")).alias(name) for name in KNOWLEDGE_LISTS],
+        *[values(name).alias(name) for name in KNOWLEDGE_LISTS],
         F.flatten("_chunks.main_findings").alias("main_findings"),
     )
-    whole = packed.filter(F.col("total_chunks") <= chunks_per_part)
-    split = _first_part_only(packed.filter(F.col("total_chunks") > chunks_per_part))
-    single = flat.filter(~chunked).withColumn("part_index", F.lit(0).cast("bigint"))
-    columns = ["source_file", "part_index", "qa_pairs", *KNOWLEDGE_LISTS, "main_findings"]
-    merged = whole.select(columns).unionByName(split.select(columns)).unionByName(single.select(columns))
-    return merged.select(
-        "source_file",
-        "part_index",
-        "qa_pairs",
-        "key_concepts",
-        F.struct("materials", "parameters", "methods").alias("technical_details"),
-        "main_findings",
-    )
 
 
 def _first_part_only(packed: DataFrame) -> DataFrame:

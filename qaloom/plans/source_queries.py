@@ -207,7 +207,7 @@ def merge_history(spark, sf_dir):
 @query("task_limit", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 100")
 def task_limit(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "n_chars")
-    return docs.orderBy(F.desc("n_chars"), "doc_id").limit(100)
+    return resume.task_limit(docs, 100, F.desc("n_chars"), "doc_id")
 
 
 @query(

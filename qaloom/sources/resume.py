@@ -34,7 +34,7 @@ def merge_history(new: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
-def task_limit(df: DataFrame, n: int, *order: str) -> DataFrame:
+def task_limit(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first ``n`` rows in ``order``. Place it before a model call so only they are sent."""
     return df.orderBy(*order).limit(n)
 

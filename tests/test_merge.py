@@ -61,6 +61,13 @@ def test_knowledge_matches_brute_force_whatever_the_parts(spark):
     assert merged(spark, rows, 4, parts=1) == want
 
 
+def test_single_records_stay_apart(spark):
+    one = (["k", "k"], (["m"], [], []), ["f"])
+    rows = [("s", None, None, [("q1",)], *one), ("s", 0, 1, [("q2",)], *one), ("s", 0, 1, None, None, None, None)]
+    got = merge.merge_chunk_knowledge(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((len(r.qa_pairs), r.key_concepts, r.main_findings) for r in got) == [(0, [], []), (1, ["k", "k"], ["f"]), (1, ["k", "k"], ["f"])]
+
+
 def test_parts_are_bounded(spark):
     df = spark.createDataFrame(records(), SCHEMA)
     sizes = merge.merge_chunk_knowledge(df, 4).select(F.size("qa_pairs").alias("n")).collect()
