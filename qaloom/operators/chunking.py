@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Window size, overlap, and break points in order of preference.
 CHUNK_SIZE = 2000
@@ -46,11 +45,10 @@ def chunk_text(
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def windows(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: None if t is None else split_window(t, size, overlap, separators)
-        )
+    @F.arrow_udf("array<string>")
+    def windows(texts: pa.Array) -> pa.Array:
+        cut = (None if t is None else split_window(t, size, overlap, separators) for t in texts.to_pylist())
+        return pa.array(cut, pa.list_(pa.string()))
 
     kept = [c for c in df.columns if c != col]
     return (

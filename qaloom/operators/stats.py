@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # The question types statistics are kept for.
@@ -133,6 +133,23 @@ def final_summary(df: DataFrame, meta: dict[str, str], threshold: float = 0.7) -
     )
 
 
+def observe_stage(df: DataFrame, name: str, error: str = "error") -> tuple[DataFrame, Observation]:
+    """Count a stage's rows and errors while it is computed for its own sake.
+
+    Use the returned frame in place of ``df``; the observation is filled by its first action.
+    """
+    seen = Observation(name)
+    failed = F.count(error) if error in df.columns else F.count_if(F.lit(False))
+    return df.observe(seen, F.count(F.lit(1)).alias("rows_out"), failed.alias("errors")), seen
+
+
+def observed_report(spark: SparkSession, stages: dict[str, Observation]) -> DataFrame:
+    """The stage report from observations already filled; reads no data again."""
+    rows = [(i, n, o.get["rows_out"], o.get["errors"]) for i, (n, o) in enumerate(stages.items())]
+    df = spark.createDataFrame(rows, "stage_order int, stage string, rows_out bigint, errors bigint")
+    return df.withColumn("success", F.col("errors") == 0)
+
+
 def stage_report(stages: dict[str, DataFrame], error: str = "error") -> DataFrame:
     """Rows and errors per stage. A stage without an error column has no errors."""
 

@@ -54,6 +54,9 @@ def difference(got, want) -> str | None:
     if len(got[1]) != len(want[1]):
         return f"{len(got[1])} rows != {len(want[1])}; spark {got[1][:2]} sql {want[1][:2]}"
     for g, w in zip(got[1], want[1]):
+        kinds = [(type(a).__name__, type(b).__name__) for a, b in zip(g, w) if None not in (a, b) and type(a) is not type(b)]
+        if kinds:
+            return f"types differ {kinds} in {g!r:.300}"
         if g != w:
             return f"row {g!r:.600}\n   != {w!r:.600}"
     return None

@@ -119,6 +119,21 @@ def test_graphs_as_tables(spark):
     assert {r.graph_id: r.features for r in planning.graph_features(nodes).collect()} == {1: ["semiconductor"], 2: ["display"]}
 
 
+def test_observed_stages(spark):
+    df = spark.createDataFrame([(1, None), (2, "down"), (3, None)], "id int, error string")
+    checked, seen = stats.observe_stage(df, "checked")
+    kept, kept_seen = stats.observe_stage(checked.filter("error IS NULL").drop("error"), "kept")
+    assert kept.count() == 2
+    got = stats.observed_report(spark, {"checked": seen, "kept": kept_seen})
+    plain = stats.stage_report({"checked": df, "kept": df.filter("error IS NULL").drop("error")})
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_nested_graph_profile(spark):
+    df = spark.sql("SELECT array(struct('a' AS id), struct('b' AS id)) AS nodes, array(struct('a' AS source, 'b' AS target)) AS edges")
+    assert planning.subgraph_profile(df).select("num_nodes", "num_edges").first() == (2, 1)
+
+
 def test_bands(spark):
     df = spark.createDataFrame([(0.95,), (0.8,), (0.75,), (0.6,), (0.55,), (0.4,), (0.1,)], "t double")
     got = [r.b for r in df.select(quality.threshold_band("t").alias("b")).collect()]
