@@ -48,6 +48,9 @@ def _list(col: str) -> Column:
 def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART) -> DataFrame:
     """Merge knowledge records of multi-chunk sources; single-chunk records pass through.
 
+    Any further columns (chunk position, text) stay with the records that pass through and are
+    NULL on merged ones.
+
     QA pairs and findings are concatenated in chunk order. Concepts, materials, parameters and
     methods are concatenated and keep their first occurrence in the whole source. Duplicates
     within a part fall away when the part is packed; sources of several parts are read in a
@@ -55,18 +58,19 @@ def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART)
     """
     lists = ["key_concepts", "technical_details.materials", "technical_details.parameters", "technical_details.methods"]
     chunked = F.coalesce(F.col("chunk_index").isNotNull() & (F.col("total_chunks") > 1), F.lit(False))
+    known = ("source_file", "qa_pairs", "key_concepts", "technical_details", "main_findings")
+    others = [c for c in df.columns if c not in known]
     flat = df.select(
         "source_file",
-        "chunk_index",
-        "total_chunks",
+        *others,
         F.coalesce("qa_pairs", F.array().cast(df.schema["qa_pairs"].dataType)).alias("qa_pairs"),
         *[_list(path).alias(name) for name, path in zip(KNOWLEDGE_LISTS, lists)],
         _list("main_findings").alias("main_findings"),
-        chunked.alias("chunked"),
+        chunked.alias("_chunked"),
     )
-    many_parts = F.col("chunked") & (F.col("total_chunks") > chunks_per_part)
-    merged = _pack(flat.filter(~many_parts), chunks_per_part).unionByName(
-        _first_part_only(_pack(flat.filter(many_parts), chunks_per_part))
+    many_parts = F.col("_chunked") & (F.col("total_chunks") > chunks_per_part)
+    merged = _pack(flat.filter(~many_parts), chunks_per_part, others).unionByName(
+        _first_part_only(_pack(flat.filter(many_parts), chunks_per_part, [])), allowMissingColumns=True
     )
     return merged.select(
         "source_file",
@@ -75,18 +79,20 @@ def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART)
         "key_concepts",
         F.struct("materials", "parameters", "methods").alias("technical_details"),
         "main_findings",
+        *others,
     )
 
 
-def _pack(flat: DataFrame, chunks_per_part: int) -> DataFrame:
+def _pack(flat: DataFrame, chunks_per_part: int, others: list[str]) -> DataFrame:
     """One row per source and part. Unchunked records each get a group of their own."""
-    apart = F.when(F.col("chunked"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
-    part = F.when(F.col("chunked"), part_index(chunks_per_part)).otherwise(F.lit(0))
+    apart = F.when(F.col("_chunked"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    part = F.when(F.col("_chunked"), part_index(chunks_per_part)).otherwise(F.lit(0))
     packed = (
         flat.withColumns({"part_index": part, "_apart": apart})
         .groupBy("source_file", "part_index", "_apart")
         .agg(
-            F.bool_or("chunked").alias("chunked"),
+            F.bool_or("_chunked").alias("_chunked"),
+            *[F.any_value(F.when(~F.col("_chunked"), F.col(c))).alias(c) for c in others],
             F.sort_array(
                 F.collect_list(F.struct("chunk_index", "qa_pairs", *KNOWLEDGE_LISTS, "main_findings"))
             ).alias("_chunks"),
@@ -95,7 +101,7 @@ def _pack(flat: DataFrame, chunks_per_part: int) -> DataFrame:
 
     def values(name: str) -> Column:
         joined = F.flatten(f"_chunks.{name}")
-        return F.when(F.col("chunked"), F.array_distinct(joined)).otherwise(joined)
+        return F.when(F.col("_chunked"), F.array_distinct(joined)).otherwise(joined)
 
     return packed.select(
         "source_file",
@@ -103,6 +109,7 @@ def _pack(flat: DataFrame, chunks_per_part: int) -> DataFrame:
         F.flatten("_chunks.qa_pairs").alias("qa_pairs"),
         *[values(name).alias(name) for name in KNOWLEDGE_LISTS],
         F.flatten("_chunks.main_findings").alias("main_findings"),
+        *others,
     )
 
 

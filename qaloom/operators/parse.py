@@ -84,7 +84,8 @@ def clean_mixed(df: DataFrame, image_schema: str, text_schema: str) -> DataFrame
     """Clean image and text replies together.
 
     Image rows must hold a fenced object and get a relative image path. Text rows are all
-    kept; fields of a fenced object override their own where the row has no ``qa_pairs`` yet.
+    kept with their content, source, text and pairs ('' or [] when missing); fields of a fenced
+    object override these where the row has no ``qa_pairs`` yet.
     """
     images = df.filter(F.col("image_path").isNotNull())
     images = parse_reply(images, image_schema, "none", out="_p")
@@ -94,6 +95,7 @@ def clean_mixed(df: DataFrame, image_schema: str, text_schema: str) -> DataFrame
     )
 
     own = {"content": F.lit(""), "source_file": F.lit(""), "text_content": F.lit("")}
+    own["qa_pairs"] = F.array().cast(df.schema["qa_pairs"].dataType)
     texts = df.filter(F.col("image_path").isNull()).withColumn(
         "_p", F.when(F.col("qa_pairs").isNull(), typed_json(fenced_json("content"), text_schema))
     )

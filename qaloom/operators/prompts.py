@@ -107,15 +107,22 @@ def prompt_lookup(df: DataFrame, registry: DataFrame, id_col: str = "prompt_id")
     )
 
 
-CONTEXT_FIELDS = [
-    "source_file", "key_concepts", "technical_details", "main_findings", "context", "text_content",
-]
+def context_fallback(df: DataFrame, out: str = "qa_context") -> DataFrame:
+    """The text itself where there is one, else the knowledge fields as one JSON object.
+
+    Fields a row or the whole frame lacks are '' or [] there.
+    """
 
+    def field(name: str, empty: Column) -> Column:
+        return (F.coalesce(F.col(name), empty) if name in df.columns else empty).alias(name)
 
-def context_fallback(df: DataFrame, out: str = "qa_context") -> DataFrame:
-    """The text itself where there is one, else the knowledge fields as one JSON object."""
-    text = F.nullif(F.col("text_content"), F.lit(""))
-    return df.withColumn(out, F.coalesce(text, F.to_json(F.struct(*CONTEXT_FIELDS))))
+    nothing, no_list = F.lit(""), F.array().cast("array<string>")
+    fields = [field("source_file", nothing), field("key_concepts", no_list)]
+    if "technical_details" in df.columns:
+        fields.append(F.col("technical_details"))
+    fields += [field("main_findings", no_list), field("context", nothing), field("text_content", nothing)]
+    text = F.nullif(field("text_content", nothing), nothing)
+    return df.withColumn(out, F.coalesce(text, F.to_json(F.struct(*fields))))
 
 
 def domain_route(

@@ -90,6 +90,19 @@ def test_refusals_in_any_field(spark):
     assert parse.sentinel_reject(df).count() == 1
 
 
+def test_clean_mixed(spark):
+    fenced = '```json\n{"question": "new", "content": "over"}\n```'
+    schema = "content string, image_path string, source_file string, text_content string, qa_pairs array<struct<question: string>>"
+    df = spark.createDataFrame(
+        [(fenced, "/x/a/b/c.png", None, None, None), ("no json", "/x/i.png", None, None, None), (fenced, None, "f", "t", None),
+         (fenced, None, "g", None, [("old",)]), (None, None, None, None, None)],
+        schema,
+    )
+    rows = parse.clean_mixed(df, "question string", "question string, content string").collect()
+    got = sorted((r.image_path or "", r.source_file or "", r.question or "", (r.content or "")[:4], len(r.qa_pairs or [])) for r in rows)
+    assert got == [("", "", "", "", 0), ("", "f", "new", "over", 0), ("", "g", "", "```j", 1), ("./a/b/c.png", "", "new", "", 0)]
+
+
 def test_vlm_export(spark):
     df = spark.createDataFrame(
         [(1, "q", "1", "because", ["x", "y"], "./p/i.png"), (2, "q", "free", None, None, "/p/j.png")],

@@ -66,6 +66,9 @@ def test_single_records_stay_apart(spark):
     rows = [("s", None, None, [("q1",)], *one), ("s", 0, 1, [("q2",)], *one), ("s", 0, 1, None, None, None, None)]
     got = merge.merge_chunk_knowledge(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((len(r.qa_pairs), r.key_concepts, r.main_findings) for r in got) == [(0, [], []), (1, ["k", "k"], ["f"]), (1, ["k", "k"], ["f"])]
+    mixed = spark.createDataFrame(rows[:2] + [("t", i, 2, [], *one) for i in (0, 1)], SCHEMA).withColumn("text_content", F.lit("whole"))
+    texts = {(r.source_file, r.chunk_index, r.text_content) for r in merge.merge_chunk_knowledge(mixed).collect()}
+    assert texts == {("s", None, "whole"), ("s", 0, "whole"), ("t", None, None)}
 
 
 def test_parts_are_bounded(spark):
