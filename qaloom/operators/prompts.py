@@ -8,7 +8,7 @@ from string import Formatter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.functions.text import as_col
+from qaloom.functions.text import as_col, let
 from qaloom.session import checked_broadcast, local_frame
 
 # Prompt ids used when a domain has no rule of its own.
@@ -158,17 +158,22 @@ def domain_tag(
     """
     scored = [
         F.struct(
-            sum((F.contains(col_text, F.lit(w)).cast("int") for w in words), F.lit(0)).alias("hits"),
+            sum((F.contains(F.col(col), F.lit(w)).cast("int") for w in words), F.lit(0)).alias("hits"),
             F.lit(-rank).alias("rank"),
             F.lit(name).alias("name"),
         )
         for rank, (name, words) in enumerate(keywords.items())
-        for col_text in [F.col(col)]
     ]
     best = F.array_max(F.array(*scored))
-    return df.withColumn(
-        "domain_hits", F.coalesce(best["hits"], F.lit(0))
-    ).withColumn("domain", F.when(F.coalesce(best["hits"], F.lit(0)) > 0, best["name"]).otherwise(F.lit(default)))
+    result = let(
+        best,
+        lambda b: F.struct(
+            F.coalesce(b["hits"], F.lit(0)).alias("hits"),
+            F.when(b["hits"] > 0, b["name"]).otherwise(F.lit(default)).alias("name"),
+        ),
+    )
+    tagged = df.withColumn("_domain", result)
+    return tagged.withColumn("domain_hits", F.col("_domain.hits")).withColumn("domain", F.col("_domain.name")).drop("_domain")
 
 
 def chat_messages(user: str | Column, system: str | Column | None = None) -> Column:

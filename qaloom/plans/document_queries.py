@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from qaloom.functions import text as tx
 from qaloom.operators import chunking, layout, prepare
 from qaloom.plans.fixtures import (
-    BLOCKS_SQL, LINES_SQL, MARKDOWN_SQL, PAGEDOCS_SQL, blocks, bucket_sql, documents, lines, markdown, pagedocs, table,
+    BLOCKS_SQL, LINES_SQL, MARKDOWN_SQL, PAGEDOCS_SQL, blocks, bucket_sql, documents, markdown, pagedocs, table,
 )
 from qaloom.plans.registry import query
 
@@ -117,11 +117,11 @@ RANGES_SQL = """ranges AS (
     WHERE EXISTS (SELECT 1 FROM ranges r WHERE r.doc = b.doc AND b.page_idx BETWEEN r.s - 1 AND r.e + 1)""",
 )
 def page_range_filter(spark, sf_dir):
-    def span(a, b):
-        return F.struct(F.lit(a).cast("int").alias("start") if isinstance(a, int) else a.cast("int").alias("start"), F.lit(b).alias("end"))
+    def span(start, end):
+        return F.struct(start.cast("int").alias("start"), F.lit(end).alias("end"))
 
     ranges = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("doc"), F.array(span(1, 2), span(F.lit(6) + F.col("quality"), 9), span(8, 12)).alias("pages")
+        F.col("doc_id").alias("doc"), F.array(span(F.lit(1), 2), span(F.lit(6) + F.col("quality"), 9), span(F.lit(8), 12)).alias("pages")
     )
     return layout.page_range_filter(blocks(spark, sf_dir), ranges).select("doc", "ord", "page_idx", "type")
 

@@ -161,9 +161,6 @@ def sql_escape(expr: str) -> str:
     return r"""replace(replace(replace(replace(EXPR, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(9), '\t')""".replace("EXPR", expr)
 
 
-FENCE = "```"
-REFUSAL_TEXT = "无法设计出问题"
-
 REPLIES_SQL = (
     LINES_SQL
     + """,
@@ -236,7 +233,7 @@ knowledge AS (
   SELECT 'doc' || doc_id AS source_file, ord AS chunk_index, n_lines AS total_chunks, line,
          regexp_extract_all(lower(line), '[\p{L}]{7,}') AS key_concepts,
          regexp_extract_all(line, '\p{Lu}\p{Ll}+') AS materials,
-         regexp_extract_all(lower(line), '[\p{L}]{2}\b') AS methods
+         regexp_extract_all(lower(line), '[\p{L}]{3,4}') AS methods
   FROM lines
 )"""
 )
@@ -270,9 +267,6 @@ def knowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-KNOWLEDGE_SQL = KNOWLEDGE_SQL.replace(r"[\p{L}]{2}\b", r"[\p{L}]{3,4}")
-
-
 # --- multiple choice from orders, subgraphs from line items -------------------------------------
 
 MCQ_SQL = """

@@ -16,8 +16,18 @@ BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def build_session(app_name: str = "qaloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with AQE on and UTC time. Arrow batches are bounded by bytes already."""
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def build_session(
+    app_name: str = "qaloom", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with AQE on and UTC time. Arrow batches are bounded by bytes already.
+
+    ``input_bytes`` sizes shuffles for the data at hand, about 256 MB a partition; AQE merges
+    what turns out smaller. Further settings come as keywords, ``__`` standing for a dot.
+    """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,6 +37,9 @@ def build_session(app_name: str = "qaloom", master: str | None = None, **conf: s
         "spark.speculation": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if input_bytes:
+        wanted = -(-input_bytes // PARTITION_BYTES)
+        settings["spark.sql.shuffle.partitions"] = str(min(max(wanted, 200), MAX_SHUFFLE_PARTITIONS))
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app_name)
     if master:

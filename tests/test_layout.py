@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from qaloom.operators import export, layout, parse
 
