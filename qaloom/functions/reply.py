@@ -17,7 +17,7 @@ BAD_RECORD = "_bad_record"
 
 def fenced_json(col: str | Column, which: str = "last") -> Column:
     """The last or first fenced JSON object of a reply, NULL when there is none."""
-    blocks = F.regexp_extract_all(as_col(col), F.lit(FENCED_JSON), F.lit(1))
+    blocks = F.regexp_extract_all(as_col(col), F.lit("(?U)" + FENCED_JSON), F.lit(1))
     if which not in ("first", "last"):
         raise ValueError(f"which must be 'first' or 'last', not {which!r}")
     return F.try_element_at(blocks, F.lit(1 if which == "first" else -1))

@@ -27,6 +27,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def has_text(col: str | Column) -> Column:
+    """Whether anything but white space is there (ideographic and no-break spaces are space)."""
+    return as_col(col).rlike(r"(?U)\S")
+
+
+def strip(col: str | Column) -> Column:
+    return F.regexp_replace(as_col(col), r"(?U)^\s+|\s+$", "")
+
+
 def preview(col: str | Column, n: int = 500) -> Column:
     """The first ``n`` characters, with an ellipsis only if something was cut off."""
     c = as_col(col)
@@ -42,9 +51,9 @@ def normalize_text(col: str | Column) -> Column:
 
 
 def figure_refs(col: str | Column) -> Column:
-    """Distinct figure mentions, sorted."""
+    """Distinct figure mentions, sorted. Spaces and digits count in any script."""
     c = as_col(col)
-    found = [F.regexp_extract_all(c, F.lit(p), F.lit(0)) for p in FIGURE_PATTERNS]
+    found = [F.regexp_extract_all(c, F.lit("(?U)" + p), F.lit(0)) for p in FIGURE_PATTERNS]
     return F.array_sort(F.array_distinct(F.flatten(F.array(*found))))
 
 
@@ -98,9 +107,11 @@ def decode_text(col: str | Column) -> Column:
 def first_int(col: str | Column) -> Column:
     """First signed integer in a text, 0 when there is none.
 
-    The sign counts: a judge's "-1" is a rejection, so it must not read as 1.
+    The sign counts: a judge's "-1" is a rejection, so it must not read as 1. Full-width digits
+    are digits.
     """
-    digits = F.regexp_extract(F.coalesce(as_col(col), F.lit("")), r"-?\d+", 0)
+    text = F.translate(F.coalesce(as_col(col), F.lit("")), "０１２３４５６７８９", "0123456789")
+    digits = F.regexp_extract(text, r"-?\d+", 0)
     return F.coalesce(digits.try_cast("int"), F.lit(0))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.functions.reply import typed_json
-from qaloom.functions.text import as_col, hash_bucket, hash_fraction
+from qaloom.functions.text import as_col, hash_bucket, hash_fraction, strip
 from qaloom.operators.model import Client, drop_failed, model_map
 from qaloom.operators.prompts import render, template_fields
 
@@ -58,10 +58,8 @@ def rewrite_sample(df: DataFrame, *key: str, ratio: float = REWRITE_RATIO, seed:
 
 
 def instruction_compose(instruction: str = "instruction", extra: str = "input") -> Column:
-    def trimmed(c: str) -> Column:
-        return F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"^\s+|\s+$", "")
-
-    return F.concat(trimmed(instruction), F.lit("\r\n"), trimmed(extra))
+    first, second = (strip(F.coalesce(F.col(c), F.lit(""))) for c in (instruction, extra))
+    return F.concat(first, F.lit("\r\n"), second)
 
 
 def evolve_prompts(df: DataFrame, templates: Mapping[str, str]) -> DataFrame:
@@ -102,9 +100,10 @@ def evolve_dataset(
     The answer prompt may use {prompt}, {answer}, {reasoning}, {strategy} and {instruction}.
     Rows with a failed call are dropped.
     """
-    seeds = evolve_select(df, templates, *key, seed=seed)
+    trimmed = df.withColumns({c: strip(c) for c in ("prompt", "answer", "reasoning")})
+    seeds = evolve_select(trimmed, templates, *key, seed=seed)
     evolved = drop_failed(model_map(seeds, client_factory, "evolve_prompt", "_evolved", "_e1", **call), "_evolved")
-    evolved = evolved.withColumn("instruction", F.trim("_evolved"))
+    evolved = evolved.withColumn("instruction", strip("_evolved"))
     names = {n: n for n in template_fields(answer_template)}
     answered = model_map(
         evolved.withColumn("_ap", render(answer_template, **names)), client_factory, "_ap", "new_output", "_e2", **call
@@ -141,6 +140,7 @@ def preference_sample(
     drawn = df.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     drawn = drawn.withColumn("_cp", render(candidate_prompt, **{f: f for f in template_fields(candidate_prompt)}))
     drawn = drop_failed(model_map(drawn, sampler_factory, "_cp", "response", "_e1", **call), "response")
+    drawn = drawn.withColumn("response", strip("response"))
     drawn = drawn.withColumn("_jp", render(judge_prompt, **{f: f for f in template_fields(judge_prompt)}))
     judged = model_map(drawn, judge_factory, "_jp", "_verdict", "_e2", **call)
     label = F.coalesce(typed_json("_verdict", "label string")["label"], F.lit("negative"))

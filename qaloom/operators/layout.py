@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.functions.text import let
+from qaloom.functions.text import has_text, let
 
 PAGE_BUCKET = 64
 IMAGES_PER_SPLIT = 256
@@ -153,7 +153,7 @@ def pages_to_markdown(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) ->
     """
     part = F.expr(f"(page_num - 1) div {int(pages_per_part)}")
     heading = F.concat(F.lit("## Page "), F.col("page_num").cast("string"), F.lit("\n"))
-    body = F.when(F.coalesce(F.col("text"), F.lit("")).rlike(r"\S"), F.array("text", F.lit("\n"))).otherwise(
+    body = F.when(has_text(F.coalesce(F.col("text"), F.lit(""))), F.array("text", F.lit("\n"))).otherwise(
         F.array().cast("array<string>")
     )
     links = F.transform(

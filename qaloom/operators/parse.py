@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qaloom.functions.reply import REFUSAL, fenced_json, reply_json, typed_json
-from qaloom.functions.text import image_rel_path
+from qaloom.functions.text import has_text, image_rel_path
 
 # Fields a cleaned record must have, and the longest a field may be.
 REQUIRED_FIELDS = ["imageDescription", "analysisResults", "relatedKnowledge"]
@@ -131,7 +131,7 @@ def failing_fields(required: list[str], max_length: int = MAX_FIELD_LENGTH) -> C
         F.array(
             *[
                 F.when(
-                    ~F.coalesce(F.col(n).rlike(r"\S") & (F.char_length(n) <= max_length), F.lit(False)), F.lit(n)
+                    ~F.coalesce(has_text(n) & (F.char_length(n) <= max_length), F.lit(False)), F.lit(n)
                 )
                 for n in required
             ]

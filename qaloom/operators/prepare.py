@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.functions.text import hash_bucket
+from qaloom.functions.text import has_text, hash_bucket
 
 # Text lengths worth sending to a model.
 MIN_TEXT_LENGTH = 50
@@ -16,7 +16,7 @@ def length_filter(
     df: DataFrame, col: str = "content", low: int = MIN_TEXT_LENGTH, high: int = MAX_TEXT_LENGTH
 ) -> DataFrame:
     """Texts of ``low`` to ``high`` characters that are not blank."""
-    return df.filter(F.char_length(col).between(low, high) & F.col(col).rlike(r"\S"))
+    return df.filter(F.char_length(col).between(low, high) & has_text(col))
 
 
 def sample_documents(df: DataFrame, n: int, *key: str, seed: str = "0") -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.functions.text import base_name, decode_text, file_type
+from qaloom.functions.text import base_name, decode_text, file_type, has_text
 
 # How the content of each kind of file was obtained.
 EXTRACTION_METHODS = {"pdf": "pdf_extraction", "text": "direct_read"}
@@ -21,7 +21,7 @@ def text_source(spark: SparkSession, path: str | list[str], glob: str = "*.txt")
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("value").alias("content"),
-    ).filter(F.col("content").rlike(r"\S"))
+    ).filter(has_text("content"))
 
 
 def multi_input(spark: SparkSession, dirs: dict[str, str] | list[str], glob: str = "*.txt") -> DataFrame:
@@ -61,7 +61,7 @@ def file_catalog(df: DataFrame) -> DataFrame:
     kind = file_type("file_path")
     known = kind != "unknown"
     text = F.when(known, F.coalesce("content", F.lit(""))).otherwise(F.lit(""))
-    filled = text.rlike(r"\S")
+    filled = has_text(text)
     error = F.when(~known, F.concat(F.lit("unsupported file type: "), kind)).when(
         ~filled, "empty content"
     )

@@ -12,7 +12,7 @@ def one(spark, column, **values):
 
 
 @pytest.mark.parametrize(
-    "text, score", [("-1", -1), ("1", 1), ("0", 0), ("10", 10), ("none", 0), ("", 0), (None, 0), ("Score: -1/10", -1), ("99999999999", 0)]
+    "text, score", [("-1", -1), ("1", 1), ("0", 0), ("10", 10), ("none", 0), ("", 0), (None, 0), ("Score: -1/10", -1), ("99999999999", 0), ("得分：１", 1)]
 )
 def test_first_int(spark, text, score):
     assert one(spark, tx.first_int(F.lit(text).cast("string"))) == score
@@ -82,10 +82,16 @@ def test_data_uri_has_no_line_breaks(spark):
 
 
 def test_figure_refs(spark):
+    assert one(spark, tx.figure_refs(F.lit("见图\u30003"))) == ["图\u30003"]
     text = "Figure 1 and fig. 2, 图 3，图片4; Figure A1, Fig B, Figure 1 again"
     assert one(spark, tx.figure_refs(F.lit(text))) == ["Fig B", "Figure 1", "Figure A1", "fig. 2", "图 3", "图片4"]
 
 
+def test_white_space_of_any_script(spark):
+    assert one(spark, tx.has_text(F.lit("\u3000\u00a0\n"))) is False
+    assert one(spark, tx.strip(F.lit("\u3000 a b\n"))) == "a b"
+
+
 def test_normalize(spark):
     assert one(spark, tx.normalize_text(F.lit("  a \t b \n\n\n\n c  \n"))) == "a b\n\nc"
 
