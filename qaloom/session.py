@@ -113,10 +113,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A configuration table (its row count is known to the driver), with a broadcast hint
-    when short enough."""
+    """A configuration table; its size is known here, and a small one gets a broadcast hint."""
     df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= BROADCAST_MAX_ROWS else df
+    n_bytes = sum(len(str(value)) for row in rows for value in row)
+    small = len(rows) <= BROADCAST_MAX_ROWS and n_bytes <= BROADCAST_MAX_BYTES
+    return F.broadcast(df) if small else df
 
 
 def global_index(
