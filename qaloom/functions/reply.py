@@ -41,20 +41,39 @@ def reply_json(col: str | Column, fallback: str = "raw", which: str = "last") ->
     return F.coalesce(fenced_json(c, which), others[fallback])
 
 
+def as_json(col: str | Column) -> Column:
+    """A dictionary literal as JSON: constants renamed, commas before a closing bracket dropped."""
+    text = as_col(col)
+    for constant, name in (("True", "true"), ("False", "false"), ("None", "null")):
+        text = F.regexp_replace(text, rf"([:\[,]\s*){constant}(?=\s*[,\]}}])", f"$1{name}")
+    return F.regexp_replace(text, r",(?=\s*[}\]])", "")
+
+
 def typed_json(col: str | Column, schema: T.StructType | str) -> Column:
     """Parse JSON text to ``schema``; NULL for invalid text or anything but an object.
 
-    Single-quoted literals parse as well. Spark alone answers invalid input with a struct of
-    NULLs, which looks like an empty object; the corrupt-record field tells the two apart.
+    Single-quoted texts parse as well, and what does not is tried once more as a dictionary
+    literal. Spark alone answers invalid input with a struct of NULLs, which looks like an
+    empty object; the corrupt-record field tells the two apart.
     """
     fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     marked = T.StructType([*fields.fields, T.StructField(BAD_RECORD, T.StringType())])
     options = {"columnNameOfCorruptRecord": BAD_RECORD}
-    parsed = let(as_col(col), lambda t: F.from_json(F.when(F.ltrim(t).startswith("{"), t), marked, options))
-    return let(
-        parsed,
-        lambda p: F.when(p.isNotNull() & p[BAD_RECORD].isNull(), F.struct(*[p[n].alias(n) for n in fields.fieldNames()])),
-    )
+
+    def usable(p: Column) -> Column:
+        return p.isNotNull() & p[BAD_RECORD].isNull()
+
+    def parsed(text: Column, otherwise: Column | None) -> Column:
+        def keep(p: Column) -> Column:
+            record = F.when(usable(p), F.struct(*[p[n].alias(n) for n in fields.fieldNames()]))
+            return record if otherwise is None else record.otherwise(otherwise)
+
+        return let(F.from_json(text, marked, options), keep)
+
+    def attempt(text: Column) -> Column:
+        return parsed(text, parsed(as_json(text), None))
+
+    return let(as_col(col), lambda t: F.when(F.ltrim(t).startswith("{"), attempt(t)))
 
 
 def resolve_choice(answer: str | Column, choices: str | Column) -> Column:

@@ -44,6 +44,9 @@ def test_fences(spark):
         ("{'a': 'x'}", ("x", None)),
         ('{"a": null}', (None, None)),
         ("{}", (None, None)),
+        ('{"a": "x", "b": 1,}', ("x", 1)),
+        ("{'a': True, 'b': None}", ("true", None)),
+        ("{'a': 'is: True', 'b': 2, 'c': [False, None,], }", ("is: True", 2)),
         ('{"a": [', None),
         ("plain", None),
         ("[1]", None),
