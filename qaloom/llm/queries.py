@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import packing, sharding, topk
-from qaloom.llm.common import table
+from qaloom.llm import packing, sharding, topk, toxicity
+from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -46,3 +46,11 @@ def op3_proportional_interleaving(spark, sf_dir):
         "doc_id", "source", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     return sharding.interleave(rows).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op6_weak_supervision_toxicity")
+def op6_weak_supervision_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(docs, classifier).select(
+        "doc_id", held_out("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
