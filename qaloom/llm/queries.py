@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import packing, sharding, topk, toxicity
+from qaloom.llm import decontamination, packing, sharding, topk, toxicity
 from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
 
@@ -54,3 +54,34 @@ def op6_weak_supervision_toxicity(spark, sf_dir):
     classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_texts(docs, classifier).select(
         "doc_id", held_out("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), i AS (
+  SELECT item_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), iw AS (
+  SELECT item_id, least(len(w), 10) AS n, array_to_string(w[s + 1 : s + least(len(w), 10)], ' ') AS g
+  FROM (SELECT *, unnest(range(greatest(len(w) - 10, 0) + 1)) AS s FROM i WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM iw), dw AS (
+  SELECT r, s, n, array_to_string(w[s + 1 : s + n], ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS s FROM d, sizes WHERE len(w) >= n)
+), hit AS (SELECT DISTINCT r, s, dw.n, item_id FROM dw JOIN iw USING (g)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS xs FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(xs, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query("op9_positional_index_decontamination", OP9_SQL)
+def op9_positional_index_decontamination(spark, sf_dir):
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
