@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import decontamination, packing, sharding, topk, toxicity
+from qaloom.llm import decontamination, jaccard, packing, sharding, topk, toxicity
 from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
 
@@ -85,3 +85,30 @@ def op9_positional_index_decontamination(spark, sf_dir):
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(greatest(len(w) - 3, 1))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y USING (g) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (
+  SELECT doc_id AS node, doc_id AS least FROM d
+  UNION
+  SELECT e.b, reach.least FROM reach JOIN e ON e.a = reach.node WHERE reach.least < e.b
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(least) AS component_id FROM reach GROUP BY node) c USING (doc_id)
+"""
+
+
+@query("op10_ngram_jaccard_join", OP10_SQL)
+def op10_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
