@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import decontamination, jaccard, packing, sharding, topk, toxicity
+from qaloom.llm import decontamination, jaccard, packing, pii, sharding, topk, toxicity
 from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
 
@@ -112,3 +112,16 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(least) AS com
 @query("op10_ngram_jaccard_join", OP10_SQL)
 def op10_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op4_bilstm_crf_pii")
+def op4_bilstm_crf_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, pii.fit(docs))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
