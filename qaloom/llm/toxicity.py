@@ -10,16 +10,17 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.llm.common import held_out
+from qaloom.session import materialize
 
 # Labelled rows (smallest id hashes first) that lexicons and the classifier are fitted on.
 SAMPLE_ROWS = 12_000
@@ -59,24 +60,14 @@ class Voters:
         return hits
 
 
-def build_voters(term_sets: list[set[str]], labels: np.ndarray, least: int = 4, odds: float = 3.0) -> Voters:
-    """Lexicons: terms of at least ``least`` labelled texts whose log odds of the toxic class exceed ``odds``."""
-    seen, toxic = Counter(), Counter()
-    for terms, label in zip(term_sets, labels):
-        seen.update(terms)
-        if label:
-            toxic.update(terms)
-    bad, good = max(int(labels.sum()), 1), max(int(len(labels) - labels.sum()), 1)
-    scored = {}
-    for term, n in toxic.items():
-        if n >= least:
-            ratio = math.log((n + 0.5) / (bad + 1)) - math.log((seen[term] - n + 0.5) / (good + 1))
-            if ratio > odds:
-                scored[term] = ratio
+def build_voters(counts: dict[str, tuple[int, int]], bad: int, good: int, odds: float = 3.0) -> Voters:
+    """Lexicons: terms whose log odds of the toxic class exceed ``odds``. ``counts``: (texts, toxic texts) of a term."""
+    chosen = [(t, toxic) for t, (n, toxic) in counts.items()
+              if toxic and math.log((toxic + 0.5) / (bad + 1)) - math.log((n - toxic + 0.5) / (good + 1)) > odds]
     voters = Voters()
     for kind in (0, 1):
-        ranked = sorted((t for t in scored if t.startswith("^") == bool(kind)), key=lambda t: (-toxic[t], t))
-        for k, term in enumerate(ranked):
+        ranked = sorted(((t, n) for t, n in chosen if t.startswith("^") == bool(kind)), key=lambda x: (-x[1], x[0]))
+        for k, (term, _) in enumerate(ranked):
             voters.masks[term] = 1 << (k % LEXICONS + kind * LEXICONS)
     return voters
 
@@ -137,38 +128,21 @@ def fit_label_model(n: float, hits: np.ndarray, both: np.ndarray, prior: float)
 
 # --- linear classifier ------------------------------------------------------------------------------
 
-def fit_linear(term_sets: list[set[str]], targets: np.ndarray, least: int = 4, chi_square: float = 15.0,
-               steps: int = 200, decay: float = 1e-5) -> tuple[dict[str, float], float]:
-    """Term weights and intercept: logistic regression on soft targets, full-batch Adam.
-
-    Terms of fewer than ``least`` texts, and those whose presence hardly depends on the target, are
-    left out: with more terms than texts the fit would remember texts.
-    """
-    seen, mass = Counter(), Counter()
-    for terms, target in zip(term_sets, targets.tolist()):
-        seen.update(terms)
-        if target > 1e-3:
-            for term in terms:
-                mass[term] += target
-    n, total = len(targets), float(targets.sum())
-    rate = min(max(total / max(n, 1), 1e-6), 1 - 1e-6)
-    kept = (t for t, k in seen.items()
-            if k >= least and (mass[t] - k * rate) ** 2 > chi_square * k * rate * (1 - rate))
-    index = {t: k for k, t in enumerate(sorted(kept))}
-    flat = [np.array(sorted(index[t] for t in terms if t in index), int) for terms in term_sets]
-    sizes = np.array([len(f) for f in flat])
-    rows, cols = np.repeat(np.arange(len(flat)), sizes), np.concatenate(flat) if flat else np.zeros(0, int)
-    start = math.log((targets.mean() + 1e-3) / (1 - targets.mean() + 1e-3)) if len(targets) else 0.0
-    w, b = np.zeros(len(index)), start
-    m, s = np.zeros(len(index) + 1), np.zeros(len(index) + 1)
+def fit_linear(rows: np.ndarray, columns: np.ndarray, width: int, targets: np.ndarray, steps: int = 200,
+               decay: float = 1e-5) -> tuple[np.ndarray, float]:
+    """Weights and intercept: logistic regression of soft targets on the terms (columns) of texts (rows),
+    full-batch Adam."""
+    n = len(targets)
+    w, b = np.zeros(width), math.log((targets.mean() + 1e-3) / (1 - targets.mean() + 1e-3)) if n else 0.0
+    m, s = np.zeros(width + 1), np.zeros(width + 1)
     for t in range(1, steps + 1):
-        z = np.bincount(rows, w[cols], len(flat)) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - targets) / max(len(targets), 1)
-        gradient = np.append(np.bincount(cols, error[rows], len(index)) + decay * w, error.sum())
+        z = np.bincount(rows, w[columns], n) + b
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - targets) / max(n, 1)
+        gradient = np.append(np.bincount(columns, error[rows], width) + decay * w, error.sum())
         m, s = 0.9 * m + 0.1 * gradient, 0.999 * s + 0.001 * gradient**2
         move = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-10)
         w, b = w - move[:-1], b - move[-1]
-    return {t: float(w[k]) for t, k in index.items() if abs(w[k]) > 1e-3}, float(b)
+    return w, float(b)
 
 
 # --- the operator -------------------------------------------------------------------------------------
@@ -185,20 +159,59 @@ class Classifier:
         return 1 / (1 + math.exp(-max(min(z, 500.0), -500.0)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int, rows: int, id_col: str, text_col: str, label: str):
-    """Texts and labels of at most ``rows`` labelled documents outside fold 0, smallest id hashes first.
+def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int, rows: int, id_col: str, text_col: str, label: str) -> DataFrame:
+    """``id, text, label`` of at most ``rows`` labelled documents outside fold 0, smallest id hashes first.
 
-    Conflicting labels of one id count as toxic. Only ids travel to find the sample; they are a
-    bounded table, so the documents are not shuffled.
+    Conflicting labels of one id count as toxic; of a repeated id one text is taken. Only ids travel
+    to find the sample; they are a bounded table, so the documents are not shuffled.
     """
     ids = (labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(id_col, folds))
-           .groupBy(id_col).agg(F.max(label).alias("_label"))
+           .groupBy(id_col).agg((F.max(label) == 1).cast("int").alias("_label"))
            .orderBy(F.xxhash64(id_col), id_col).limit(rows))
-    found = docs.select(id_col, text_col).join(F.broadcast(ids), id_col).select(id_col, text_col, "_label").toArrow()
-    order = sorted(zip(found.column(0).to_pylist(), (t or "" for t in found.column(1).to_pylist()), found.column(2).to_pylist()))
-    # A repeated id would exceed the bound on rows: one row for each id.
-    kept = {key: (text, value) for key, text, value in order}
-    return [t for t, _ in kept.values()], np.array([int(v == 1) for _, v in kept.values()])
+    found = docs.select(id_col, text_col).join(F.broadcast(ids), id_col)
+    return materialize(found.groupBy(F.col(id_col).alias("id")).agg(
+        F.min(F.coalesce(text_col, F.lit(""))).alias("text"), F.max("_label").alias("label")), "labelled")
+
+
+def telling_terms(sample: DataFrame, bad: int, total: int, least: int = 4, chi_square: float = 15.0) -> dict[str, tuple[int, int]]:
+    """(texts, toxic texts) of the terms whose presence depends on the label.
+
+    Rare terms and those unrelated to the label are left out by Spark, so what comes back is a
+    part of a bounded sample's words: with more terms than texts the fit would remember texts.
+    """
+
+    def terms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for text, label in zip(part.column(0), part.column(1).to_pylist()):
+                found = list(terms_of(text.as_py()))
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([label] * len(found), pa.int64())], names=["term", "toxic"])
+
+    rate = min(max(bad / max(total, 1), 1e-6), 1 - 1e-6)
+    counts = (sample.select("text", F.col("label").cast("long")).mapInArrow(terms, "term string, toxic long")
+              .groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
+              .where(F.col("n") >= least)
+              .where(F.pow(F.col("toxic") - F.col("n") * rate, 2) > F.col("n") * (chi_square * rate * (1 - rate))))
+    return {r["term"]: (r["n"], r["toxic"]) for r in counts.collect()}
+
+
+def sample_features(sample: DataFrame, voters: Voters, index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(votes of each text, rows, columns): the sample's known terms as sparse coordinates."""
+
+    def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            votes, columns = [], []
+            for text in part.column(1):
+                terms = terms_of(text.as_py())
+                votes.append(voters.votes(text.as_py(), terms))
+                columns.append(sorted(index[t] for t in terms & index.keys()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(votes, pa.int64()), pa.array(columns, pa.list_(pa.int32()))],
+                                             names=["id", "votes", "columns"])
+
+    found = sample.select("id", "text").mapInArrow(features, "id long, votes long, columns array<int>").orderBy("id").toArrow()
+    columns = found.column("columns").combine_chunks()
+    sizes = pa.compute.list_value_length(columns).to_numpy(zero_copy_only=False)
+    return (found.column("votes").to_numpy(), np.repeat(np.arange(len(sizes)), sizes),
+            columns.flatten().to_numpy(zero_copy_only=False))
 
 
 def count_votes(docs: DataFrame, voters: Voters, text_col: str) -> tuple[float, np.ndarray, np.ndarray]:
@@ -234,15 +247,20 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_rows: int = S
     Rows of fold 0 are never learnt from. Without labelled rows, or without toxic ones, there are no
     lexicons and every score is near the (smoothed) share of toxic labels.
     """
-    texts, known = labelled_sample(docs, labels, folds, sample_rows, id_col, text_col, label)
-    term_sets = [terms_of(t) for t in texts]
-    prior = (known.sum() + 0.5) / (len(known) + 2)
-    voters = build_voters(term_sets, known)
+    sample = labelled_sample(docs, labels, folds, sample_rows, id_col, text_col, label)
+    size = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad")).first()
+    prior = (size["bad"] + 0.5) / (size["n"] + 2)
+    counts = telling_terms(sample, size["bad"], size["n"])
+    voters = build_voters(counts, max(size["bad"], 1), max(size["n"] - size["bad"], 1))
     n, hits, joint = count_votes(docs.where(~held_out(id_col, folds)), voters, text_col)
     model = fit_label_model(n, hits, joint, prior)
-    targets = np.array([model.posterior(voters.votes(t, s)) for t, s in zip(texts, term_sets)])
-    weights, bias = fit_linear(term_sets, targets) if len(texts) else ({}, math.log(prior / (1 - prior)))
-    return Classifier(weights, bias, model)
+    if not size["n"]:
+        return Classifier({}, math.log(prior / (1 - prior)), model)
+    index = {t: k for k, t in enumerate(sorted(counts))}
+    votes, rows, columns = sample_features(sample, voters, index)
+    posterior = {v: model.posterior(v) for v in set(votes.tolist())}
+    weights, bias = fit_linear(rows, columns, len(index), np.array([posterior[v] for v in votes.tolist()]))
+    return Classifier({t: float(weights[k]) for t, k in index.items() if abs(weights[k]) > 1e-3}, bias, model)
 
 
 def score_texts(docs: DataFrame, classifier: Classifier, text_col: str = "text", name: str = "score") -> DataFrame:
