@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import decontamination, jaccard, packing, pii, sharding, topk, toxicity
+from qaloom.llm import decontamination, jaccard, lm, packing, pii, sharding, topk, toxicity
 from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
 
@@ -126,3 +126,8 @@ def op4_bilstm_crf_pii(spark, sf_dir):
     kinds = F.transform(base, lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@query("op8_log_bilinear_lm")
+def op8_log_bilinear_lm(spark, sf_dir):
+    return lm.score_documents(table(spark, sf_dir, "documents"))
