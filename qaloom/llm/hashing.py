@@ -27,14 +27,22 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 _LETTER = mix(np.arange(1, 257, dtype=np.uint64), 1)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
+    """base**0 .. base**(n-1) modulo 2**64; kept for the next call up to a fixed length."""
+    have = _POWERS.get(base)
+    if have is not None and len(have) >= n:
+        return have[:n]
     out = np.ones(max(n, 1), np.uint64)
     filled = 1
     while filled < n:
         take = min(filled, n - filled)
         out[filled: filled + take] = out[:take] * np.uint64(pow(base, filled, 1 << 64))
         filled += take
+    if n <= 1 << 22:
+        _POWERS[base] = out
     return out[:n]
 
 

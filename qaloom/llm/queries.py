@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import decontamination, jaccard, lm, packing, pii, sharding, topk, toxicity
+from qaloom.llm import decontamination, jaccard, lm, packing, pii, sharding, suffixes, topk, toxicity
 from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
 
@@ -131,3 +131,9 @@ def op4_bilstm_crf_pii(spark, sf_dir):
 @query("op8_log_bilinear_lm")
 def op8_log_bilinear_lm(spark, sf_dir):
     return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_columnwise_suffix_dedup")
+def op5_columnwise_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
