@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import decontamination, jaccard, lm, packing, pii, sharding, suffixes, topk, toxicity
+from qaloom.llm import decontamination, fmindex, jaccard, lm, packing, pii, sharding, suffixes, topk, toxicity
 from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
 
@@ -137,3 +137,9 @@ def op8_log_bilinear_lm(spark, sf_dir):
 def op5_columnwise_suffix_dedup(spark, sf_dir):
     return suffixes.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_fm_index_dedup")
+def op7_fm_index_dedup(spark, sf_dir):
+    return fmindex.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -9,9 +9,12 @@ chunks whose core occurs twice matter, and they can be compared column by column
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,6 +111,95 @@ def repeated_chunks(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept, materialize(distinct.select("core", "context", "times", "_at.*"), "contexts")
 
 
+def read_stretches(docs: DataFrame, contexts: DataFrame, read: Callable, text_col: str) -> DataFrame:
+    """``contexts`` plus ``data``: their stretches, read again from one document each (``key`` and text in
+    ``docs``). ``read(text, starts, counts)`` returns their bytes."""
+    wanted = contexts.groupBy("key").agg(F.collect_list(F.struct("core", "context", "times", "start", "lead", "count")).alias("_chunks"))
+    met = docs.select("key", text_col).join(checked_broadcast(wanted), "key").select(F.col(text_col).cast("binary"), "_chunks")
+    names = ["core", "context", "times", "lead", "data"]
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for text, items in zip(part.column(0), part.column(1)):
+                chunk = items.values
+                pieces = read(text, chunk.field("start").to_numpy(), chunk.field("count").to_numpy())
+                yield pa.RecordBatch.from_arrays([*(chunk.field(c) for c in names[:4]), pa.array(pieces, pa.binary())], names=names)
+
+    # Repeated rows share a key: each stretch is kept once.
+    return met.mapInArrow(cut, "core long, context long, times long, lead short, data binary").dropDuplicates(["core", "context"])
+
+
+def _stretch_hits(marks: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, first, last) of runs of marked windows, counted from the stretch's start."""
+    wide = np.zeros((len(marks), marks.shape[1] + 2), np.int8)
+    wide[:, 1:-1] = marks
+    step = np.diff(wide, axis=1)
+    k, low = np.nonzero(step == 1)
+    _, high = np.nonzero(step == -1)
+    return k, low - lead[k], high - 1 - lead[k]
+
+
+def repeated_windows(stretches: DataFrame, shape: Shape, marks_of: Callable, most: int, unit: int = 1) -> DataFrame:
+    """``core, context, low, high``: first and last window of each stretch of repeated windows.
+
+    ``marks_of(group, lead, times, stretches, shape)`` judges whole groups of at most ``most`` distinct
+    stretches together; larger groups are judged by the windows' own content. A symbol takes
+    ``unit`` bytes of ``data``.
+    """
+    stretches = materialize(stretches, "stretches")
+    sizes = stretches.groupBy("core").agg(F.count("*").alias("_n"))
+    large = materialize(sizes.where(F.col("_n") > most).select("core"), "large")
+    usual = stretches.join(checked_broadcast(large), "core", "left_anti")
+
+    def build(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solve(table: pa.Table) -> pa.RecordBatch:
+            lead = table.column("lead").to_numpy().astype(np.int64)
+            marks = marks_of(table.column("core").to_numpy(), lead, table.column("times").to_numpy(), table.column("data").to_pylist(), shape)
+            k, low, high = _stretch_hits(marks, lead)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(table.column("core").to_numpy()[k]), pa.array(table.column("context").to_numpy()[k]), pa.array(low), pa.array(high)],
+                names=["core", "context", "low", "high"])
+
+        held, size = [], 0
+        for part in parts:
+            held.append(part)
+            size += part.num_rows
+            if size >= most:
+                table = pa.Table.from_batches(held)
+                cores = table.column("core").to_numpy()
+                # The last group may go on in the next batch.
+                done = int(np.searchsorted(cores, cores[-1]))
+                if done:
+                    yield solve(table.slice(0, done))
+                held = table.slice(done).to_batches()
+                size -= done
+        if size:
+            yield solve(pa.Table.from_batches(held))
+
+    wire = "core long, context long, low long, high long"
+    built = usual.repartition("core").sortWithinPartitions("core").select("core", "context", "times", "lead", "data").mapInArrow(build, wire)
+    return built.unionByName(by_window(stretches.join(checked_broadcast(large), "core", "left_semi"), shape, unit))
+
+
+def by_window(stretches: DataFrame, shape: Shape, unit: int) -> DataFrame:
+    """The same for groups too large for one construction: windows are dealt by place and content, so
+    the group is spread out and counted where its rows are before anything is shuffled."""
+
+    def windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for core, context, times, lead, data in zip(*(part.column(k).to_pylist() for k in range(5))):
+                n = len(data) // unit - shape.window + 1
+                content = [hashlib.blake2b(data[k * unit: (k + shape.window) * unit], digest_size=16).digest() for k in range(n)]
+                yield pa.RecordBatch.from_arrays([pa.array([core] * n), pa.array([context] * n), pa.array([times] * n), pa.array([lead + k for k in range(n)]),
+                                                  pa.array(range(n)), pa.array(content)], names=["core", "context", "times", "place", "at", "content"])
+
+    each = stretches.select("core", "context", "times", F.col("lead").cast("long"), "data").mapInArrow(
+        windows, "core long, context long, times long, place long, at long, content binary")
+    often = each.groupBy("core", "place", "content").agg(F.sum("times").alias("n")).where("n > 1")
+    met = each.join(often, ["core", "place", "content"])
+    return met.select("core", "context", F.col("at").alias("low"), F.col("at").alias("high"))
+
+
 def covered_runs(kept: DataFrame, hits: DataFrame, window: int) -> DataFrame:
     """``key, runs``: symbol ranges (start, end exclusive) that repeated windows cover, unmerged, per row.
 
@@ -119,11 +211,6 @@ def covered_runs(kept: DataFrame, hits: DataFrame, window: int) -> DataFrame:
     return met.groupBy("key").agg(F.sort_array(F.collect_set("run")).alias("runs"))
 
 
-def with_runs(docs: DataFrame, key, runs: DataFrame) -> DataFrame:
-    """``docs`` plus ``runs`` by row key; rows without any have null. ``runs`` travels whole only if small."""
-    return docs.withColumn("key", key).join(checked_broadcast(runs), "key", "left")
-
-
 def merged(runs: list[dict] | None) -> list[tuple[int, int]]:
     """Maximal runs from sorted, overlapping or touching ones."""
     out: list[list[int]] = []

@@ -13,7 +13,6 @@ same windows but reads the whole transform again for every symbol of the longest
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 from collections.abc import Iterator
 
@@ -45,22 +44,13 @@ def find_chunks(docs: DataFrame, shape: repeats.Shape, text_col: str) -> DataFra
 
 
 def read_stretches(docs: DataFrame, contexts: DataFrame, window: int, text_col: str) -> DataFrame:
-    """``contexts`` plus ``bytes``, read again from one document each."""
-    wanted = contexts.groupBy("key").agg(F.collect_list(F.struct("core", "context", "times", "start", "lead", "count")).alias("_chunks"))
-    met = docs.select("key", text_col).join(checked_broadcast(wanted), "key").select(F.col(text_col).cast("binary").alias("text"), "_chunks")
+    """``contexts`` plus ``data``, the bytes of each stretch, read again from one document each."""
 
-    def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for text, items in zip(part.column(0), part.column(1)):
-                data, items = text.as_buffer(), items.values
-                start, count = items.field("start").to_numpy(), items.field("count").to_numpy()
-                view = memoryview(data)
-                pieces = [bytes(view[s: s + c - 1 + window]) for s, c in zip(start.tolist(), count.tolist())]
-                yield pa.RecordBatch.from_arrays([items.field(c) for c in ("core", "context", "times", "lead", "count")] + [pa.array(pieces, pa.binary())],
-                                                 names=["core", "context", "times", "lead", "count", "bytes"])
+    def read(text: pa.Scalar, start: np.ndarray, count: np.ndarray) -> list[bytes]:
+        view = memoryview(text.as_buffer())
+        return [bytes(view[s: s + c - 1 + window]) for s, c in zip(start.tolist(), count.tolist())]
 
-    # Repeated rows share a key: each stretch is kept once.
-    return met.mapInArrow(read, "core long, context long, times long, lead short, count short, bytes binary").dropDuplicates(["core", "context"])
+    return repeats.read_stretches(docs, contexts, read, text_col)
 
 
 def construct(group: np.ndarray, lead: np.ndarray, times: np.ndarray, stretches: list[bytes], shape: repeats.Shape) -> np.ndarray:
@@ -111,72 +101,6 @@ def construct(group: np.ndarray, lead: np.ndarray, times: np.ndarray, stretches:
     return marks
 
 
-def _stretch_hits(marks: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(stretch, first, last) of runs of marked windows, counted from the stretch's start."""
-    wide = np.zeros((len(marks), marks.shape[1] + 2), np.int8)
-    wide[:, 1:-1] = marks
-    step = np.diff(wide, axis=1)
-    k, low = np.nonzero(step == 1)
-    _, high = np.nonzero(step == -1)
-    return k, low - lead[k], high - 1 - lead[k]
-
-
-def repeated_windows(stretches: DataFrame, shape: repeats.Shape, most: int = MOST_TOGETHER) -> DataFrame:
-    """``core, context, low, high`` of stretches of repeated windows."""
-    stretches = materialize(stretches, "stretches")
-    sizes = stretches.groupBy("core").agg(F.count("*").alias("_n"))
-    large = materialize(sizes.where(F.col("_n") > most).select("core"), "large")
-    usual = stretches.join(checked_broadcast(large), "core", "left_anti")
-
-    def build(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(table: pa.Table) -> pa.RecordBatch:
-            lead = table.column("lead").to_numpy().astype(np.int64)
-            marks = construct(table.column("core").to_numpy(), lead, table.column("times").to_numpy(), table.column("bytes").to_pylist(), shape)
-            k, low, high = _stretch_hits(marks, lead)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(table.column("core").to_numpy()[k]), pa.array(table.column("context").to_numpy()[k]), pa.array(low), pa.array(high)],
-                names=["core", "context", "low", "high"])
-
-        held, size = [], 0
-        for part in parts:
-            held.append(part)
-            size += part.num_rows
-            if size >= most:
-                table = pa.Table.from_batches(held)
-                cores = table.column("core").to_numpy()
-                # The last group may go on in the next batch.
-                done = int(np.searchsorted(cores, cores[-1]))
-                if done:
-                    yield solve(table.slice(0, done))
-                held = table.slice(done).to_batches()
-                size -= done
-        if size:
-            yield solve(pa.Table.from_batches(held))
-
-    wire = "core long, context long, low long, high long"
-    built = usual.repartition("core").sortWithinPartitions("core").select("core", "context", "times", "lead", "bytes").mapInArrow(build, wire)
-    return built.unionByName(by_window(stretches.join(checked_broadcast(large), "core", "left_semi"), shape))
-
-
-def by_window(stretches: DataFrame, shape: repeats.Shape) -> DataFrame:
-    """The same for groups too large for one construction: windows are dealt by place and content, so
-    the group is spread out and counted where its rows are before anything is shuffled."""
-
-    def windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for core, context, times, lead, data in zip(*(part.column(k).to_pylist() for k in range(5))):
-                n = len(data) - shape.window + 1
-                content = [hashlib.blake2b(data[k: k + shape.window], digest_size=16).digest() for k in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([core] * n), pa.array([context] * n), pa.array([times] * n), pa.array([lead + k for k in range(n)]),
-                                                  pa.array(range(n)), pa.array(content)], names=["core", "context", "times", "place", "at", "content"])
-
-    each = stretches.select("core", "context", "times", F.col("lead").cast("long"), "bytes").mapInArrow(
-        windows, "core long, context long, times long, place long, at long, content binary")
-    often = each.groupBy("core", "place", "content").agg(F.sum("times").alias("n")).where("n > 1")
-    met = each.join(often, ["core", "place", "content"])
-    return met.select("core", "context", F.col("at").alias("low"), F.col("at").alias("high"))
-
-
 def repeated_spans(docs: DataFrame, shape: repeats.Shape = SHAPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id>, <text>, key, runs``: every row with the byte ranges that repeated windows cover (null: none).
 
@@ -187,7 +111,7 @@ def repeated_spans(docs: DataFrame, shape: repeats.Shape = SHAPE, id_col: str =
     """
     keyed = docs.select(id_col, text_col).withColumn("key", F.xxhash64(id_col, text_col))
     kept, contexts = repeats.repeated_chunks(materialize(find_chunks(keyed, shape, text_col), "chunks"))
-    hits = repeated_windows(read_stretches(keyed, contexts, shape.window, text_col), shape)
+    hits = repeats.repeated_windows(read_stretches(keyed, contexts, shape.window, text_col), shape, construct, MOST_TOGETHER)
     runs = materialize(repeats.covered_runs(kept, materialize(hits, "hits"), shape.window), "runs")
     return keyed.join(checked_broadcast(runs), "key", "left")
 
