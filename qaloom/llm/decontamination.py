@@ -145,3 +145,11 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str
     return index.documents.join(hits, "key", "left").select(
         id_col, "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(listed).cast("long").alias("n_items"), listed.alias("items"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold a window of any item; other columns pass through."""
+    found = contamination(docs, items, size, id_col, text_col)
+    gone = materialize(found.where("n_hit > 0").select(F.col("key").alias("_row_key")).distinct(), "contaminated")
+    keyed = docs.withColumn("_row_key", F.xxhash64(id_col, text_col))
+    return keyed.join(checked_broadcast(gone), "_row_key", "left_anti").select(docs.columns)

@@ -23,6 +23,8 @@ from qaloom.session import checked_broadcast, materialize
 FREQUENT = 64
 # Frequent columns travel with the tasks; the limit is raised until they fit this bound.
 MOST_FREQUENT_COLUMNS = 500_000
+# Rows of a block of the product, columns of a column block, and rows of a family that is multiplied whole.
+BLOCK_ROWS, COLUMN_BLOCK, MOST_FAMILY = 512, 1024, 8192
 # Min-hash keys of a row; rows sharing two with a common leader are tried against it first.
 KEYS = 6
 
@@ -148,58 +150,184 @@ def leader_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return met.groupBy(F.col("leader.row").alias("a"), F.col("row").alias("b")).agg(F.count("*").alias("m")).where("m > 1").select("a", "b")
 
 
-def prefix_pairs(rows: DataFrame, labels: DataFrame, percent: int, block: int = FREQUENT) -> DataFrame:
-    """First column block of the product: pairs of rows in different components that may link.
+def open_columns(rows: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``gram, m, row, n, part, rest``: prefix columns whose rows are not all one component yet.
 
-    Overlaps within the block are summed per pair; a pair goes on only if they reach the overlap
-    it needs less what its other columns could hold. Columns whose rows already are one component
-    are left out. A long column is cut into salted blocks of rows, so it is no hot task.
+    ``m`` is the column's number of rows, ``part`` the row's component, ``rest`` how many of its
+    n-grams lie behind its prefix.
     """
     p = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
     marked = rows.join(labels, F.col("row") == F.col("node"), "left").select(
         "row", "n", "prefix", F.coalesce("component", "row").alias("part"), (F.col("n") - p).alias("rest"))
     postings = materialize(marked.select("row", "n", "part", "rest", F.explode("prefix").alias("gram")), "columns")
-    open_columns = postings.groupBy("gram").agg(F.count("*").alias("m"), F.min("part").alias("_p"), F.max("part").alias("_q"))
-    open_columns = open_columns.where("_p <> _q").select("gram", F.ceil(F.col("m") / F.lit(block)).cast("int").alias("cuts"))
-    postings = materialize(postings.join(open_columns, "gram"), "open")
-    left = postings.withColumn("cut", F.pmod(F.xxhash64("row"), F.col("cuts").cast("long")).cast("int"))
-    right = postings.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    x, y = left.alias("x"), right.alias("y")
-    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cut") == F.col("y.cut")) & (F.col("x.row") < F.col("y.row"))
-                 & (F.col("x.part") != F.col("y.part")) & similar_sizes("x.n", "y.n", percent))
-    need = F.floor((F.col("x.n") + F.col("y.n")) * percent / F.lit(100 + percent) + F.lit(1 - 1e-9)) - F.greatest("x.rest", "y.rest")
+    mixed = postings.groupBy("gram").agg(F.count("*").alias("m"), F.min("part").alias("_p"), F.max("part").alias("_q"))
+    return materialize(postings.join(mixed.where("_p <> _q").select("gram", "m"), "gram"), "open")
+
+
+def families(columns: DataFrame) -> DataFrame:
+    """``row, family``: rows tied by long columns (more than FREQUENT rows), as components of a star each."""
+    long = columns.where(F.col("m") > FREQUENT).select("gram", "row")
+    stars = long.join(long.groupBy("gram").agg(F.min("row").alias("head")), "gram").select(F.col("row").alias("a"), F.col("head").alias("b"))
+    return components(stars.distinct()).toDF("row", "family")
+
+
+def prefix_pairs(columns: DataFrame, family: DataFrame, percent: int) -> DataFrame:
+    """First column block of the product, short columns: pairs of rows that may link.
+
+    Overlaps within the block are summed per pair; a pair goes on only if they reach the overlap
+    it needs less what its other columns could hold. Pairs of one component are settled, those of one
+    family are multiplied whole; others share no long column.
+    """
+    short = columns.where(F.col("m") <= FREQUENT).join(family, "row", "left").withColumn("family", F.coalesce("family", "row"))
+    x, y = short.alias("x"), short.alias("y")
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.row") < F.col("y.row")) & (F.col("x.part") != F.col("y.part"))
+                 & (F.col("x.family") != F.col("y.family")) & similar_sizes("x.n", "y.n", percent))
+    need = needed("x.n", "y.n", percent) - F.greatest("x.rest", "y.rest")
     counted = met.groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")).agg(
         F.count("*").alias("o"), F.first(need).alias("need"))
     return counted.where("o >= need").select("a", "b")
 
 
+def needed(x: str, y: str, percent: int):
+    """Least overlap of linked rows of these sizes: ceil(percent (x + y) / (100 + percent))."""
+    return F.expr(f"CAST(({percent} * ({x} + {y}) + {99 + percent}) DIV {100 + percent} AS LONG)")
+
+
+def family_links(docs: DataFrame, rows: DataFrame, columns: DataFrame, family: DataFrame, percent: int, size: int,
+                 id_col: str, text_col: str) -> DataFrame:
+    """Links ``a, b`` inside families: whole rows, multiplied block of rows by block of rows.
+
+    A family is cut into blocks of BLOCK_ROWS rows and every pair of blocks is one task of bounded
+    size. A family too large for that falls back to its long columns, one by one. Of each product only
+    links that join what is not joined yet are given: a spanning forest.
+    """
+    small = family.groupBy("family").agg(F.count("*").alias("_m")).where(F.col("_m") <= MOST_FAMILY).select("family")
+    placed = family.join(small.withColumn("_whole", F.lit(True)), "family", "left")
+    whole = placed.where("_whole").select(F.col("family").alias("unit"), "row")
+    apart = (columns.where(F.col("m") > FREQUENT).join(placed.where("_whole IS NULL").select("row"), "row")
+             .select(F.xxhash64("gram").alias("unit"), "row"))
+    units = materialize(whole.unionByName(apart), "units")
+    cuts = units.groupBy("unit").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("cuts"))
+    cut = units.join(cuts, "unit").withColumn("own", F.pmod(F.xxhash64("row"), F.col("cuts").cast("long")).cast("int"))
+    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).select(
+        "row", "unit", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+    ends = units.select("row").distinct().join(rows.select("row", "key"), "row")
+    grams = full_rows(docs, ends, size, id_col, text_col).dropDuplicates(["row"])
+    parts = columns.select("row", "part").distinct()
+    filled = dealt.join(grams.join(parts, "row"), "row")
+
+    def multiply(table: pa.Table) -> pa.Table:
+        own = table.column("own").to_numpy()
+        lists = table.column("grams").combine_chunks()
+        a, b = block_links(table.column("row").to_numpy(), table.column("part").to_numpy(), lists.flatten().to_numpy(),
+                           lists.value_lengths().to_numpy(), own == table.column("i")[0].as_py(), own == table.column("j")[0].as_py(), percent)
+        return pa.table({"a": a, "b": b})
+
+    return filled.groupBy("unit", "i", "j").applyInArrow(multiply, "a long, b long")
+
+
+def block_links(row: np.ndarray, part: np.ndarray, grams: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray,
+                percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the left and the right rows of a block that join different components.
+
+    Column blocks are multiplied in turn; a row without a pair that can still reach the overlap it
+    needs leaves the product.
+    """
+    _, column, seen = np.unique(grams, return_inverse=True, return_counts=True)
+    own = np.repeat(np.arange(len(row)), sizes)
+    shared = seen[column] > 1
+    own, column = own[shared], column[shared]
+    # Most frequent columns first: they decide soonest. Only shared columns can add to an overlap.
+    place = np.empty(len(seen), np.int64)
+    place[np.argsort(-seen, kind="stable")] = np.arange(len(seen))
+    column = place[column]
+    order = np.argsort(column, kind="stable")
+    own, column = own[order], column[order]
+    i, j = np.flatnonzero(left), np.flatnonzero(right)
+    need = -(-percent * (sizes[i][:, None] + sizes[j][None, :]) // (100 + percent))
+    overlap = np.zeros((len(i), len(j)), np.float32)
+    remaining = np.bincount(own, minlength=len(row))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMN_BLOCK):
+        a, b = np.searchsorted(column, [low, low + COLUMN_BLOCK])
+        block = np.zeros((len(row), COLUMN_BLOCK), np.float32)
+        block[own[a:b], column[a:b] - low] = 1
+        overlap += block[i] @ block[j].T
+        remaining = remaining - np.bincount(own[a:b], minlength=len(row))
+        alive = overlap + np.minimum(remaining[i][:, None], remaining[j][None, :]) >= need
+        rows_left, columns_left = alive.any(1), alive.any(0)
+        if not rows_left.any():
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not (rows_left.all() and columns_left.all()):
+            i, j = i[rows_left], j[columns_left]
+            overlap, need = overlap[rows_left][:, columns_left], need[rows_left][:, columns_left]
+    x, y = np.nonzero(overlap >= need)
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while root.setdefault(v, v) != v:
+            root[v] = root[root[v]]
+            v = root[v]
+        return v
+
+    links = []
+    for u, v in zip(i[x].tolist(), j[y].tolist()):
+        p, q = find(int(part[u])), find(int(part[v]))
+        if u != v and p != q:
+            root[max(p, q)] = min(p, q)
+            links.append((row[u], row[v]))
+    found = np.array(links, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``<id>, n_shingles, component_id``: components of documents linked by n-gram Jaccard similarity.
+    """``<id>, n_shingles, component_id, key, kept_key``: components of documents linked by n-gram Jaccard similarity.
 
     Two documents link when 100 * overlap >= percent * union. A text with fewer words than ``size`` is one
     n-gram; without words it is linked with nothing. Equal sets are one row of the matrix, so copies
     cost one row each and no pair; near copies are first tied to a leader they share min-hash
-    keys with, which leaves few pairs inside large groups. Both only save work: every other pair
-    that may reach the threshold is still met in ``prefix_pairs``. ``component_id`` is the smallest id
+    keys with. Both only save work: every other pair that may reach the threshold shares a prefix
+    column, and is met in ``family_links`` (long columns) or ``prefix_pairs`` (short ones). ``component_id`` is the smallest id
     of the component, nulls aside (null where all are null). Repeated rows get equal results.
     """
     docs = docs.select(id_col, text_col)
     frequent = frequent_columns(docs, size, percent, text_col)
     found = materialize(incidence(docs, frequent, size, percent, id_col, text_col), "incidence")
-    rows = found.where("n > 0").groupBy("row", "check", "n").agg(
-        F.min("id").alias("id"), F.min("key").alias("key"), F.first("prefix").alias("prefix"), F.first("keys").alias("keys"))
+    # The document that stands for a set: smallest id, nulls last.
+    named = F.min(F.struct(F.col("id").isNull().alias("_null"), "id", "key")).alias("_at")
+    rows = found.where("n > 0").groupBy("row", "check", "n").agg(named, F.first("prefix").alias("prefix"), F.first("keys").alias("keys"))
+    rows = rows.select("row", "check", "n", "_at", F.col("_at.key").alias("key"), "prefix", "keys")
     rows = materialize(rows, "rows")
 
     near = materialize(verified(docs, materialize(leader_pairs(rows, percent), "pairs"), rows, size, percent, id_col, text_col), "links")
     labels = components(near)
-    pairs = materialize(prefix_pairs(rows, labels, percent), "pairs")
+    columns = open_columns(rows, labels, percent)
+    family = materialize(families(columns), "families")
+    inside = materialize(family_links(docs, rows, columns, family, percent, size, id_col, text_col), "links")
+    pairs = materialize(prefix_pairs(columns, family, percent), "pairs")
     far = verified(docs, pairs, rows, size, percent, id_col, text_col)
-    labels = components(materialize(near.unionByName(far), "links"))
+    labels = components(materialize(near.unionByName(inside).unionByName(far), "links"))
 
-    parts = rows.join(labels, F.col("row") == F.col("node"), "left").select("row", "id", F.coalesce("component", "row").alias("part"))
+    parts = rows.join(labels, F.col("row") == F.col("node"), "left").select("row", "check", "n", "_at", F.coalesce("component", "row").alias("part"))
     parts = materialize(parts, "parts")
-    smallest = parts.groupBy("part").agg(F.min("id").alias("component_id"))
-    named = parts.join(smallest, "part").select("row", "component_id")
-    linked = found.where("n > 0").select("id", "row", "n").join(named, "row")
-    return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id").unionByName(
-        found.where("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
+    smallest = parts.groupBy("part").agg(F.min("_at").alias("_first"))
+    placed = parts.join(smallest, "part").select("row", "check", "n", F.col("_first.id").alias("component_id"), F.col("_first.key").alias("kept_key"))
+    linked = found.where("n > 0").select("id", "key", "row", "check", "n").join(placed, ["row", "check", "n"])
+    return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "key", "kept_key").unionByName(
+        found.where("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), "key", F.col("key").alias("kept_key")))
+
+
+def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id. Other columns pass through.
+
+    Rows without words are linked with nothing and stay. Of rows with the same id and text one stays.
+    Only the keys of rows that go are matched with the documents.
+    """
+    found = materialize(jaccard_components(docs, size, percent, id_col, text_col), "components")
+    gone = found.where("key <> kept_key").select("key").distinct()
+    again = found.where("key = kept_key AND n_shingles > 0").groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key")
+    keyed = docs.withColumn("_row_key", F.xxhash64(id_col, text_col))
+    stay = keyed.join(checked_broadcast(materialize(gone.toDF("_row_key"), "gone")), "_row_key", "left_anti")
+    again = checked_broadcast(materialize(again.toDF("_row_key"), "again"))
+    single = stay.join(again, "_row_key", "left_anti")
+    repeated = stay.join(again, "_row_key", "left_semi").dropDuplicates(["_row_key"])
+    return single.unionByName(repeated).select(docs.columns)

@@ -111,7 +111,7 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(least) AS com
 
 @query("op10_ngram_jaccard_join", OP10_SQL)
 def op10_ngram_jaccard_join(spark, sf_dir):
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op4_bilstm_crf_pii")
