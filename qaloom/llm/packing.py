@@ -27,6 +27,8 @@ MAX_TOKENS = 2048
 # Rows of one length are ranked in this many separate groups, so a hot length is no hot task.
 RANK_GROUPS = 1024
 _RANK_BITS = 44
+# Shares of the fitted repeat counts that are tried.
+SHARES = (1.0, 0.95, 0.8, 0.5, 0.2)
 
 
 # --- tokens ---------------------------------------------------------------------------------
@@ -211,10 +213,13 @@ def plan_packing(counts: np.ndarray, max_tokens: int = MAX_TOKENS) -> Plan:
     if left[max_tokens]:
         chosen.append(((max_tokens,), int(left[max_tokens])))
         left[max_tokens] = 0
-    if len(patterns):
-        fitted, left = round_repeats(patterns, fit_repeats(patterns, left.astype(float)), left)
-        chosen += fitted
-    chosen += pack_rest(left, max_tokens)
+    repeats = fit_repeats(patterns, left.astype(float))
+    # Rounding errs less the more is left to best fit: the share of the fit with fewest sequences counts.
+    options = []
+    for share in SHARES:
+        fitted, rest = round_repeats(patterns, share * repeats, left)
+        options.append(fitted + pack_rest(rest, max_tokens))
+    chosen += min(options, key=lambda option: sum(n for _, n in option))
 
     taken = np.zeros(max_tokens + 1, np.int64)
     rows, sequences = [], 0
