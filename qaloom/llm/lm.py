@@ -102,10 +102,12 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
             break
         least, room = value, room - v
     carried = counts.where(level >= least).select("token", "n").toArrow() if least is not None else None
-    tokens = carried.column("token").to_numpy().view(np.uint64) if carried else np.zeros(0, np.uint64)
-    order = np.argsort(tokens)
-    return Vocabulary(hashes, frequency / frequency.sum(), np.log10(held[0] + SMOOTH * (held[1] + 1)), tokens[order],
-                      carried.column("n").to_numpy()[order] if carried else np.zeros(0, np.int64), int(totals["n"]), int(totals["v"]))
+    tokens, known = hashes, word_counts.astype(np.int64)
+    if carried:
+        tokens, at = np.unique(np.concatenate([carried.column("token").to_numpy().view(np.uint64), hashes]), return_index=True)
+        known = np.concatenate([carried.column("n").to_numpy(), known])[at]
+    return Vocabulary(hashes, frequency / frequency.sum(), np.log10(held[0] + SMOOTH * (held[1] + 1)), tokens, known,
+                      int(totals["n"]), int(totals["v"]))
 
 
 # --- model --------------------------------------------------------------------------------------
@@ -245,8 +247,8 @@ def score_rows(docs: DataFrame, words: Vocabulary, model: Model, id_col: str, te
                 base = log_count - math.log10(words.total + SMOOTH * (words.distinct + 1))
                 n = np.diff(first)
                 rare = ~known
-                # A token that is a unit but not carried: only without training rows; its count is 0 in the join.
-                sums = [np.add.reduceat(v, first[:-1]) for v in (base, chance, known.astype(np.int64))]
+                met = known & (words.carried_counts[place] > 0)
+                sums = [np.add.reduceat(v, first[:-1]) for v in (base, chance, met.astype(np.int64))]
                 ends = np.concatenate([[0], np.cumsum(np.add.reduceat(rare.astype(np.int64), first[:-1]))])
                 rows = slice(row, row + len(n))
                 yield pa.RecordBatch.from_arrays(
