@@ -93,29 +93,31 @@ def fit_label_model(n: float, hits: np.ndarray, both: np.ndarray, prior: float)
     """Accuracies and correlations from counts of hits and of joint hits over ``n`` texts.
 
     Voters independent given the label have covariances prior (1 - prior) d_i d_j with d the
-    difference of the class-conditional hit rates: one factor. Pairs far off that factor are
-    correlated beyond the label; they are left out and the factor is fitted again.
+    difference of the class-conditional hit rates: one factor. It is first read off triples of voters
+    (the median of c_ij c_ik / c_jk is robust against correlated pairs); pairs far off it are
+    correlated beyond the label, are left out, and the factor is fitted again to the others.
     """
     v = len(hits)
     mean = hits / max(n, 1)
     covariance = both / max(n, 1) - np.outer(mean, mean)
     spread = prior * (1 - prior)
-    use = ~np.eye(v, dtype=bool)
-    factor = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
-    for _ in range(4):
-        for _ in range(200):
-            weight = use * factor[None, :]
-            factor = np.maximum((weight * covariance).sum(1) / np.maximum((weight * factor[None, :]).sum(1), 1e-12), 0)
-        rest = np.abs(covariance - np.outer(factor, factor))
-        scale = np.sqrt(np.outer(mean * (1 - mean), mean * (1 - mean))) + 1e-12
-        off = rest / scale
-        limit = max(0.1, 3 * float(np.median(off[~np.eye(v, dtype=bool)])) if v > 1 else 0.1)
-        new = (off <= limit) & ~np.eye(v, dtype=bool)
-        # Every voter keeps at least two partners to be judged by.
-        new |= use & (new.sum(1) < 2)[:, None]
-        if (new == use).all():
-            break
-        use = new
+    scale = np.sqrt(np.outer(mean * (1 - mean), mean * (1 - mean))) + 1e-12
+    others = ~np.eye(v, dtype=bool)
+    factor = np.zeros(v)
+    for i in range(v):
+        c = covariance[i]
+        j, k = np.triu_indices(v, 1)
+        fit = (j != i) & (k != i) & (covariance[j, k] > 1e-3 * scale[j, k])
+        j, k = j[fit], k[fit]
+        factor[i] = math.sqrt(max(float(np.median(c[j] * c[k] / covariance[j, k])), 0.0)) if len(j) else 0.0
+    off = np.abs(covariance - np.outer(factor, factor)) / scale
+    limit = max(0.1, 3 * float(np.median(off[others]))) if v > 1 else 0.1
+    use = (off <= limit) & others
+    # Every voter keeps at least two partners to be judged by.
+    use |= others & (use.sum(1) < 2)[:, None]
+    for _ in range(200):
+        weight = use * factor[None, :]
+        factor = np.maximum((weight * covariance).sum(1) / np.maximum((weight * factor[None, :]).sum(1), 1e-12), 0)
     correlated = [(i, j) for i in range(v) for j in range(i) if not use[i, j]]
     difference = factor / math.sqrt(spread)
     one = np.clip(mean + (1 - prior) * difference, 1e-3, 1 - 1e-3)
