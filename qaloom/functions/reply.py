@@ -41,12 +41,24 @@ def reply_json(col: str | Column, fallback: str = "raw", which: str = "last") ->
     return F.coalesce(fenced_json(c, which), others[fallback])
 
 
+# A quoted string, a stretch without quotes, or a quote that is never closed. Loops are possessive:
+# long strings neither backtrack nor overflow the stack.
+_TOKEN = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"]"""
+
+
 def as_json(col: str | Column) -> Column:
-    """A dictionary literal as JSON: constants renamed, commas before a closing bracket dropped."""
-    text = as_col(col)
-    for constant, name in (("True", "true"), ("False", "false"), ("None", "null")):
-        text = F.regexp_replace(text, rf"([:\[,]\s*){constant}(?=\s*[,\]}}])", f"$1{name}")
-    return F.regexp_replace(text, r",(?=\s*[}\]])", "")
+    """A dictionary literal as JSON: constants renamed, commas before a closing bracket dropped.
+
+    Only what stands outside quoted strings is touched.
+    """
+
+    def repaired(text: Column) -> Column:
+        for constant, name in (("True", "true"), ("False", "false"), ("None", "null")):
+            text = F.regexp_replace(text, rf"([:\[,]\s*){constant}(?=\s*[,\]}}])", f"$1{name}")
+        return F.regexp_replace(text, r",(?=\s*[}\]])", "")
+
+    tokens = F.regexp_extract_all(as_col(col), F.lit(_TOKEN), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(r"^['\"]"), t).otherwise(repaired(t))), "")
 
 
 def typed_json(col: str | Column, schema: T.StructType | str) -> Column:

@@ -13,7 +13,6 @@ from qaloom.functions.text import has_text, let
 
 PAGE_BUCKET = 64
 IMAGES_PER_SPLIT = 256
-PAGES_PER_PART = 4096
 
 # Characters that cannot occur in markdown stand in for image links while they are replaced.
 _OPEN, _CLOSE = "\u0001", "\u0002"
@@ -144,14 +143,8 @@ def figure_span(blocks: DataFrame) -> DataFrame:
     )
 
 
-def pages_to_markdown(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
-    """Documents as markdown from page rows (``doc, page_num, text, images``).
-
-    A document comes out as one row until it has more than ``pages_per_part`` pages; then each
-    run of that many pages is a row, ``part_index`` telling their order, so that no cell and no
-    task holds an unbounded document. Joining the parts with a newline gives the whole text.
-    """
-    part = F.expr(f"(page_num - 1) div {int(pages_per_part)}")
+def pages_to_markdown(pages: DataFrame) -> DataFrame:
+    """Documents as markdown, one row each, from page rows (``doc, page_num, text, images``)."""
     heading = F.concat(F.lit("## Page "), F.col("page_num").cast("string"), F.lit("\n"))
     body = F.when(has_text(F.coalesce(F.col("text"), F.lit(""))), F.array("text", F.lit("\n"))).otherwise(
         F.array().cast("array<string>")
@@ -162,16 +155,10 @@ def pages_to_markdown(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) ->
     )
     page_text = F.array_join(F.flatten(F.array(F.array(heading), body, links)), "\n")
     return (
-        pages.select("doc", part.alias("part_index"), "page_num", page_text.alias("_page"))
-        .groupBy("doc", "part_index")
+        pages.select("doc", "page_num", page_text.alias("_page"))
+        .groupBy("doc")
         .agg(F.expr("listagg(_page, '\n') WITHIN GROUP (ORDER BY page_num)").alias("_body"))
-        .select(
-            "doc",
-            "part_index",
-            F.when(F.col("part_index") == 0, F.concat(F.lit("# "), F.col("doc").cast("string"), F.lit("\n\n"), "_body"))
-            .otherwise(F.col("_body"))
-            .alias("markdown"),
-        )
+        .select("doc", F.concat(F.lit("# "), F.col("doc").cast("string"), F.lit("\n\n"), "_body").alias("markdown"))
     )
 
 

@@ -1,8 +1,7 @@
-"""Put the replies of one source's chunks together again.
+"""Put the replies of one source's chunks together again: one row per source, whatever its size.
 
-A source is one row until it has more than ``chunks_per_part`` chunks. Beyond that each run of
-that many chunks is a row of its own, numbered by ``part_index``: the groups Spark has to hold
-stay bounded however large one source grows, and the parts in order are the whole result.
+``chunk_values`` is the long form, one row per source and distinct value, for sources whose merged
+lists should not sit in one row.
 """
 
 from __future__ import annotations
@@ -10,30 +9,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNKS_PER_PART = 4096
+from qaloom.session import checked_broadcast
 
 PAIR = "question string, answer string, question_type string, difficulty string, reasoning string"
 KNOWLEDGE_LISTS = ("key_concepts", "materials", "parameters", "methods")
+_PATHS = ("key_concepts", "technical_details.materials", "technical_details.parameters", "technical_details.methods")
 
 _POSITION_BITS = 32
 
 
-def part_index(chunks_per_part: int) -> Column:
-    return F.expr(f"coalesce(chunk_index, 0) div {int(chunks_per_part)}")
-
-
-def merge_chunk_text(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART) -> DataFrame:
+def merge_chunk_text(df: DataFrame) -> DataFrame:
     """Per source: reply contents joined by a blank line, texts by a newline, in chunk order."""
     return (
         df.filter("source_file IS NOT NULL")
         .select(
             "source_file",
-            part_index(chunks_per_part).alias("part_index"),
             F.coalesce("chunk_index", F.lit(0)).alias("_i"),
             F.coalesce("content", F.lit("")).alias("_content"),
             F.coalesce("text_content", F.lit("")).alias("_text"),
         )
-        .groupBy("source_file", "part_index")
+        .groupBy("source_file")
         .agg(
             F.expr("listagg(_content, '\n\n') WITHIN GROUP (ORDER BY _i)").alias("content"),
             F.expr("listagg(_text, '\n') WITHIN GROUP (ORDER BY _i)").alias("full_text"),
@@ -45,36 +40,65 @@ def _list(col: str) -> Column:
     return F.coalesce(F.col(col), F.array())
 
 
-def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART) -> DataFrame:
-    """Merge knowledge records of multi-chunk sources; single-chunk records pass through.
+def _chunked() -> Column:
+    return F.coalesce(F.col("chunk_index").isNotNull() & (F.col("total_chunks") > 1), F.lit(False))
+
+
+def chunk_values(df: DataFrame) -> DataFrame:
+    """``source_file, list, value, position``: each distinct list value of a multi-chunk source once.
+
+    ``position`` orders values by first occurrence. Values are reduced where they are before the
+    shuffle, so neither a long source nor a repeated value makes a large group.
+    """
+
+    def tag(name: str, path: str) -> Column:
+        at = F.shiftleft(F.coalesce("chunk_index", F.lit(0)).cast("bigint"), _POSITION_BITS)
+        return F.transform(
+            _list(path),
+            lambda v, i: F.struct(F.lit(name).alias("list"), v.alias("value"), (at + i).alias("position")),
+        )
 
-    Any further columns (chunk position, text) stay with the records that pass through and are
-    NULL on merged ones.
+    tagged = F.flatten(F.array(*[tag(n, p) for n, p in zip(KNOWLEDGE_LISTS, _PATHS)]))
+    return (
+        df.filter(_chunked())
+        .select("source_file", F.explode(tagged).alias("item"))
+        .select("source_file", "item.*")
+        .groupBy("source_file", "list", "value")
+        .agg(F.min("position").alias("position"))
+    )
 
-    QA pairs and findings are concatenated in chunk order. Concepts, materials, parameters and
-    methods are concatenated and keep their first occurrence in the whole source. Duplicates
-    within a part fall away when the part is packed; sources of several parts are read in a
-    branch of their own, which also drops what an earlier part already has.
+
+def merge_chunk_knowledge(df: DataFrame) -> DataFrame:
+    """Merge knowledge records of multi-chunk sources; single-chunk records pass through.
+
+    QA pairs and findings are concatenated in chunk order; concepts, materials, parameters and
+    methods are too and keep their first occurrence. Records that pass through are not shuffled
+    and keep their further columns (chunk position, text), which are NULL on merged rows.
     """
-    lists = ["key_concepts", "technical_details.materials", "technical_details.parameters", "technical_details.methods"]
-    chunked = F.coalesce(F.col("chunk_index").isNotNull() & (F.col("total_chunks") > 1), F.lit(False))
     known = ("source_file", "qa_pairs", "key_concepts", "technical_details", "main_findings")
     others = [c for c in df.columns if c not in known]
     flat = df.select(
         "source_file",
         *others,
         F.coalesce("qa_pairs", F.array().cast(df.schema["qa_pairs"].dataType)).alias("qa_pairs"),
-        *[_list(path).alias(name) for name, path in zip(KNOWLEDGE_LISTS, lists)],
+        *[_list(path).alias(name) for name, path in zip(KNOWLEDGE_LISTS, _PATHS)],
         _list("main_findings").alias("main_findings"),
-        chunked.alias("_chunked"),
+        _chunked().alias("_chunked"),
+    )
+    fields = ["qa_pairs", *KNOWLEDGE_LISTS, "main_findings"]
+    gathered = (
+        flat.filter("_chunked")
+        .groupBy("source_file")
+        .agg(F.sort_array(F.collect_list(F.struct("chunk_index", *fields))).alias("_chunks"))
     )
-    many_parts = F.col("_chunked") & (F.col("total_chunks") > chunks_per_part)
-    merged = _pack(flat.filter(~many_parts), chunks_per_part, others).unionByName(
-        _first_part_only(_pack(flat.filter(many_parts), chunks_per_part, [])), allowMissingColumns=True
+    joined = {name: F.flatten(f"_chunks.{name}") for name in fields}
+    merged = gathered.select(
+        "source_file",
+        *[(F.array_distinct(c) if name in KNOWLEDGE_LISTS else c).alias(name) for name, c in joined.items()],
     )
-    return merged.select(
+    single = flat.filter(~F.col("_chunked")).select("source_file", *fields, *others)
+    return single.unionByName(merged, allowMissingColumns=True).select(
         "source_file",
-        "part_index",
         "qa_pairs",
         "key_concepts",
         F.struct("materials", "parameters", "methods").alias("technical_details"),
@@ -83,71 +107,14 @@ def merge_chunk_knowledge(df: DataFrame, chunks_per_part: int = CHUNKS_PER_PART)
     )
 
 
-def _pack(flat: DataFrame, chunks_per_part: int, others: list[str]) -> DataFrame:
-    """One row per source and part. Unchunked records each get a group of their own."""
-    apart = F.when(F.col("_chunked"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
-    part = F.when(F.col("_chunked"), part_index(chunks_per_part)).otherwise(F.lit(0))
-    packed = (
-        flat.withColumns({"part_index": part, "_apart": apart})
-        .groupBy("source_file", "part_index", "_apart")
-        .agg(
-            F.bool_or("_chunked").alias("_chunked"),
-            *[F.any_value(F.when(~F.col("_chunked"), F.col(c))).alias(c) for c in others],
-            F.sort_array(
-                F.collect_list(F.struct("chunk_index", "qa_pairs", *KNOWLEDGE_LISTS, "main_findings"))
-            ).alias("_chunks"),
-        )
-    )
-
-    def values(name: str) -> Column:
-        joined = F.flatten(f"_chunks.{name}")
-        return F.when(F.col("_chunked"), F.array_distinct(joined)).otherwise(joined)
-
-    return packed.select(
-        "source_file",
-        "part_index",
-        F.flatten("_chunks.qa_pairs").alias("qa_pairs"),
-        *[values(name).alias(name) for name in KNOWLEDGE_LISTS],
-        F.flatten("_chunks.main_findings").alias("main_findings"),
-        *others,
-    )
-
-
-def _first_part_only(packed: DataFrame) -> DataFrame:
-    """Keep each list value in the first part of its source that has it."""
-    def tag(name: str) -> Column:
-        return F.transform(
-            name,
-            lambda v, i: F.struct(F.lit(name).alias("list"), v.alias("value"), i.cast("bigint").alias("pos")),
-        )
-
-    tagged = F.flatten(F.array(*[tag(name) for name in KNOWLEDGE_LISTS]))
-    at = F.shiftleft(F.col("part_index").cast("bigint"), _POSITION_BITS) + F.col("item.pos")
-    firsts = (
-        packed.select("source_file", "part_index", F.explode(tagged).alias("item"))
-        .groupBy("source_file", F.col("item.list").alias("list"), F.col("item.value").alias("value"))
-        .agg(F.min(at).alias("at"))
-        .groupBy("source_file", F.shiftright("at", _POSITION_BITS).alias("part_index"))
-        .agg(F.sort_array(F.collect_list(F.struct("at", "list", "value"))).alias("_items"))
-    )
-
-    def values(name: str) -> Column:
-        mine = F.filter(F.coalesce("_items", F.array().cast(firsts.schema["_items"].dataType)), lambda i: i["list"] == name)
-        return F.transform(mine, lambda i: i["value"])
-
-    rest = packed.select("source_file", "part_index", "qa_pairs", "main_findings")
-    return rest.join(firsts, ["source_file", "part_index"], "left").select(
-        "source_file", "part_index", "qa_pairs", *[values(n).alias(n) for n in KNOWLEDGE_LISTS], "main_findings"
-    )
-
-
 def dedup_records(df: DataFrame, keys: list[str], keep: str, fold: bool = False) -> DataFrame:
     """Of records equal in ``keys`` keep the one with the lowest ``keep`` (unique, orderable).
 
-    Records meet by the SHA-256 of their keys, so no texts are shuffled to compare them, and
-    each group is reduced to its minimum before the shuffle, so one holding a third of all rows
-    costs no more than any other. ``fold`` compares texts without case, punctuation and
-    spacing, which also catches re-worded copies of that degree.
+    Records meet by the SHA-256 of their keys: only digests and ``keep`` are shuffled, each group
+    reduced to its minimum first, so one holding a third of all rows costs no more than any
+    other. The records that go, usually few, are then taken out by an anti join, which sends them to
+    the records while they are small by measure. ``fold`` compares texts without case,
+    punctuation and spacing, which also catches re-worded copies of that degree.
     """
 
     def part(name: str) -> Column:
@@ -158,5 +125,7 @@ def dedup_records(df: DataFrame, keys: list[str], keep: str, fold: bool = False)
         return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
     digest = F.sha2(F.concat(*[part(k) for k in keys]), 256)
-    kept = df.groupBy(digest.alias("_key")).agg(F.min(keep).alias("_keep"))
-    return df.join(kept.select("_keep"), F.col(keep) == F.col("_keep"), "left_semi")
+    slim = df.select(digest.alias("_key"), F.col(keep).alias("_keep"))
+    repeated = slim.groupBy("_key").agg(F.min("_keep").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    gone = slim.join(repeated.select("_key", "_first"), "_key").filter("_keep <> _first").select("_keep")
+    return df.join(checked_broadcast(gone), F.col(keep) == F.col("_keep"), "left_anti")

@@ -148,13 +148,18 @@ def useful_filter(df: DataFrame, judge: str = "judge_json") -> tuple[DataFrame,
     return judged.filter(useful).drop("_v"), judged.filter(~useful).drop("_v")
 
 
-def choice_correct(answer: str = "answer", gt: str = "gt", choices: str = "choices") -> Column:
+def choice_correct(answer: str = "answer", gt: str = "gt", choices: str = "choices", resolve: bool = False) -> Column:
+    """Whether the answer is the choice at ``gt`` (from 0), as texts; a missing choice is not.
+
+    With ``resolve`` an integer answer first stands for the choice at that place.
+    """
+    given = resolve_choice(answer, choices) if resolve else F.col(answer)
     right = F.try_element_at(F.col(choices), F.col(gt).cast("int") + 1)
-    return F.coalesce(resolve_choice(answer, choices) == right, F.lit(False))
+    return F.coalesce(given == right, F.lit(False))
 
 
-def choice_accuracy(df: DataFrame, *by: str) -> DataFrame:
-    right = choice_correct()
+def choice_accuracy(df: DataFrame, *by: str, resolve: bool = False) -> DataFrame:
+    right = choice_correct(resolve=resolve)
     return df.groupBy(*by).agg(
         F.count("*").alias("total"),
         F.count_if(right).alias("correct"),

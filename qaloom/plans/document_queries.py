@@ -208,7 +208,7 @@ def sample_documents(spark, sf_dir):
 )
 def pages_to_markdown(spark, sf_dir):
     return layout.pages_to_markdown(pagedocs(spark, sf_dir)).select(
-        "doc", "part_index", F.md5("markdown").alias("markdown_md5")
+        "doc", F.lit(0).alias("part_index"), F.md5("markdown").alias("markdown_md5")
     )
 
 

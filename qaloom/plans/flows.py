@@ -55,7 +55,7 @@ def text_to_qa(
     records = parse.attach_lineage(parse.parse_reply(replies, KNOWLEDGE_SCHEMA))
     knowledge = materialize(merge.merge_chunk_knowledge(records), "knowledge")
 
-    keys = ["source_file", "part_index"]
+    keys = ["source_file"]
     planned = planning.plan_question_types(knowledge.select(keys), *keys, ratios=ratios)
     tasks = planning.explode_tasks(
         context_fallback(knowledge).select(*keys, "qa_context").join(planned, keys), registry, type_prompts

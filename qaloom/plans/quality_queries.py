@@ -174,6 +174,15 @@ def useful_filter(spark, sf_dir):
     SELECT status, count(*) AS total, count(*) FILTER (WHERE ok) AS correct, round(avg(ok::INT), 6) AS accuracy FROM r GROUP BY status""",
 )
 def choice_accuracy(spark, sf_dir):
+    return quality.choice_accuracy(mcq(spark, sf_dir), "status", resolve=True).withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query(
+    "choice_accuracy_literal",
+    f"""WITH {MCQ_SQL}, r AS (SELECT status, coalesce(answer = choices[gt + 1], false) AS ok FROM mcq)
+    SELECT status, count(*) AS total, count(*) FILTER (WHERE ok) AS correct, round(avg(ok::INT), 6) AS accuracy FROM r GROUP BY status""",
+)
+def choice_accuracy_literal(spark, sf_dir):
     return quality.choice_accuracy(mcq(spark, sf_dir), "status").withColumn("accuracy", F.round("accuracy", 6))
 
 

@@ -19,7 +19,7 @@ from qaloom.plans.registry import query
 )
 def merge_chunk_text(spark, sf_dir):
     return merge.merge_chunk_text(replies(spark, sf_dir)).select(
-        "source_file", "part_index", F.md5("content").alias("content_md5"), F.md5("full_text").alias("text_md5")
+        "source_file", F.lit(0).alias("part_index"), F.md5("content").alias("content_md5"), F.md5("full_text").alias("text_md5")
     )
 
 

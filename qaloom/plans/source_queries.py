@@ -161,7 +161,7 @@ def qa_flatten(spark, sf_dir):
 )
 def quality_fanout(spark, sf_dir):
     checked = qa(spark, sf_dir).withColumn("quality_label", ((F.col("conv_id") + F.col("turn")) % 3).cast("int"))
-    out = records.quality_fanout(checked, quality_report(checked), new_scratch_path(spark, "fanout"))
+    out = records.quality_fanout(checked, quality_report, new_scratch_path(spark, "fanout"))
 
     def count(name, df):
         return df.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n")

@@ -17,7 +17,6 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def build_session(
@@ -39,7 +38,7 @@ def build_session(
     }
     if input_bytes:
         wanted = -(-input_bytes // PARTITION_BYTES)
-        settings["spark.sql.shuffle.partitions"] = str(min(max(wanted, 200), MAX_SHUFFLE_PARTITIONS))
+        settings["spark.sql.shuffle.partitions"] = str(max(wanted, 200))
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app_name)
     if master:

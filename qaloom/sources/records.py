@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,11 +78,11 @@ def domain_sink(df: DataFrame, path: str, run: str, domain: str = "domain") -> N
     df.withColumn("run", F.lit(run)).write.mode("append").partitionBy(domain, "run").json(path)
 
 
-def quality_fanout(checked: DataFrame, report: DataFrame, path: str) -> dict[str, str]:
+def quality_fanout(checked: DataFrame, report: Callable[[DataFrame], DataFrame], path: str) -> dict[str, str]:
     """Write a checked set as detailed, high-quality, CSV and report outputs.
 
-    The detailed rows are written first and the other outputs read them back, so the judge
-    model behind ``checked`` runs once.
+    The detailed rows are written first; the other outputs, ``report`` of the rows among them, read
+    them back, so the judge model behind ``checked`` runs once and all outputs agree.
     """
     spark = checked.sparkSession
     out = {name: f"{path.rstrip('/')}/{name}" for name in ("detailed", "high_quality", "results", "report")}
@@ -88,5 +90,5 @@ def quality_fanout(checked: DataFrame, report: DataFrame, path: str) -> dict[str
     stored = spark.read.schema(checked.schema).json(out["detailed"])
     json_sink(stored.filter("quality_label = 1"), out["high_quality"])
     csv_sink(stored, out["results"])
-    json_sink(report, out["report"])
+    json_sink(report(stored), out["report"])
     return out

@@ -74,8 +74,18 @@ def test_pages_to_markdown(spark):
     pages = spark.createDataFrame([("d", 1, "one", ["i/a.png"]), ("d", 2, " ", []), ("d", 3, None, None)], "doc string, page_num int, text string, images array<string>")
     want = "# d\n\n## Page 1\n\none\n\n\n![Image](< image >) <!-- i/a.png -->\n\n## Page 2\n\n## Page 3\n"
     assert layout.pages_to_markdown(pages).first().markdown == want
-    parts = layout.pages_to_markdown(pages, 1).orderBy("part_index").collect()
-    assert len(parts) == 3 and "\n".join(p.markdown for p in parts) == want
+    many = spark.range(1, 5001).selectExpr("'m' AS doc", "CAST(id AS INT) AS page_num", "'t' AS text", "CAST(NULL AS array<string>) AS images")
+    assert layout.pages_to_markdown(many).count() == 1
+
+
+def test_markdown_of_pages_feeds_slices_once(spark):
+    pages = spark.createDataFrame([("d", k, f"text {k}", []) for k in range(1, 7)], "doc string, page_num int, text string, images array<string>")
+    blocks = spark.createDataFrame(
+        [("d", 0, "text", "text 2", None, [], 1), ("d", 1, "image", None, "i/a.png", [], 1), ("d", 2, "text", "text 3", None, [], 2)],
+        "doc string, ord int, type string, text string, img_path string, img_caption array<string>, page_idx int",
+    )
+    got = layout.markdown_slice(blocks, layout.pages_to_markdown(pages)).collect()
+    assert len(got) == 1 and got[0].md_content.startswith("text 2") and got[0].md_content.endswith("text 3")
 
 
 def test_image_listing(spark):

@@ -41,24 +41,35 @@ def brute(rows):
     return out
 
 
-def merged(spark, rows, per_part, parts=3):
-    df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+def merged(spark, rows, parts=3):
+    found = merge.merge_chunk_knowledge(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()
+    assert len(found) == len({r[0] for r in rows})
     out = {}
-    for r in merge.merge_chunk_knowledge(df, per_part).orderBy("source_file", "part_index").collect():
+    for r in found:
         d = r.technical_details
-        lists = [[p.question for p in r.qa_pairs], r.key_concepts, d.materials, d.parameters, d.methods, r.main_findings]
-        have = out.setdefault(r.source_file, [[] for _ in lists])
-        for a, b in zip(have, lists):
-            a.extend(b)
-    return {k: tuple(v) for k, v in out.items()}
+        out[r.source_file] = ([p.question for p in r.qa_pairs], r.key_concepts, d.materials, d.parameters, d.methods, r.main_findings)
+    return out
 
 
-def test_knowledge_matches_brute_force_whatever_the_parts(spark):
+def test_knowledge_matches_brute_force_one_row_a_source(spark):
     rows = records()
     want = brute(rows)
-    for per_part in (100, 4, 1):
-        assert merged(spark, rows, per_part) == want
-    assert merged(spark, rows, 4, parts=1) == want
+    assert merged(spark, rows) == want
+    assert merged(spark, rows, parts=1) == want
+    long = [("long", i, 5000, [(f"q{i}",)], [f"v{i % 7}"], ([], [], []), []) for i in range(5000)]
+    only = merge.merge_chunk_knowledge(spark.createDataFrame(long, SCHEMA)).collect()
+    assert len(only) == 1 and len(only[0].qa_pairs) == 5000 and only[0].key_concepts == [f"v{i}" for i in range(7)]
+
+
+def test_long_form_agrees_with_the_rows(spark):
+    rows = records()
+    want = {k: v for k, v in brute(rows).items() if k != "s0"}
+    got = {}
+    for r in merge.chunk_values(spark.createDataFrame(rows, SCHEMA)).orderBy("source_file", "list", "position").collect():
+        got.setdefault(r.source_file, {}).setdefault(r["list"], []).append(r.value)
+    for source, (_, concepts, materials, parameters, methods, _) in want.items():
+        lists = dict(key_concepts=concepts, materials=materials, parameters=parameters, methods=methods)
+        assert got[source] == {k: v for k, v in lists.items() if v}
 
 
 def test_single_records_stay_apart(spark):
@@ -71,19 +82,11 @@ def test_single_records_stay_apart(spark):
     assert texts == {("s", None, "whole"), ("s", 0, "whole"), ("t", None, None)}
 
 
-def test_parts_are_bounded(spark):
-    df = spark.createDataFrame(records(), SCHEMA)
-    sizes = merge.merge_chunk_knowledge(df, 4).select(F.size("qa_pairs").alias("n")).collect()
-    assert max(r.n for r in sizes) <= 4
-
-
-def test_text_merge_in_order_and_in_parts(spark):
+def test_text_merge_in_order(spark):
     rows = [("a", i, f"c{i}", None if i == 1 else f"t{i}") for i in (3, 0, 2, 1)] + [("b", None, "only", "t")]
     df = spark.createDataFrame(rows, "source_file string, chunk_index int, content string, text_content string")
     out = {r.source_file: (r.content, r.full_text) for r in merge.merge_chunk_text(df).collect()}
     assert out == {"a": ("c0\n\nc1\n\nc2\n\nc3", "t0\n\nt2\nt3"), "b": ("only", "t")}
-    parts = merge.merge_chunk_text(df, 2).filter("source_file = 'a'").orderBy("part_index").collect()
-    assert "\n\n".join(p.content for p in parts) == out["a"][0]
 
 
 def test_dedup_keeps_the_lowest_id(spark):

@@ -100,7 +100,7 @@ def test_batches(spark):
 
 def test_fanout(spark):
     df = spark.createDataFrame([("q", "a", "factual", 1), ("q", "a", None, 0), ("q", "a", None, 2)], "question string, answer string, question_type string, quality_label int")
-    out = records.quality_fanout(df, quality_report(df), f"{folder()}/o")
+    out = records.quality_fanout(df, quality_report, f"{folder()}/o")
     assert spark.read.json(out["detailed"]).count() == 3 and spark.read.json(out["high_quality"]).count() == 1
     assert spark.read.csv(out["results"], header=True).count() == 3
     assert spark.read.json(out["report"]).first().total_qa_pairs == 3
