@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from qaloom.llm import repeats
 from qaloom.llm.hashing import text_blocks, words_in
-from qaloom.session import checked_broadcast, materialize
+from qaloom.session import materialize
 
 SHAPE = repeats.Shape(window=35, gram=6, grid=15)
 # Stretches of one index; larger groups are split by the window's own hash.
@@ -177,7 +177,7 @@ def repeated_words(docs: DataFrame, shape: repeats.Shape = SHAPE, id_col: str =
     stretches = read_stretches(keyed, contexts, shape.window, text_col)
     hits = repeats.repeated_windows(stretches, shape, shard_marks, MOST_TOGETHER, unit=8)
     runs = materialize(repeats.covered_runs(kept, materialize(hits, "hits"), shape.window), "runs")
-    return keyed.join(checked_broadcast(runs), "key", "left")
+    return repeats.with_runs(keyed, runs)
 
 
 def remove_repeats(docs: DataFrame, shape: repeats.Shape = SHAPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

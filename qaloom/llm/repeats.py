@@ -23,6 +23,8 @@ from qaloom.session import checked_broadcast, materialize
 
 _PLACE = (1 << 20) - 1
 _MOST = 1 << 19
+# Bits of the bitmap that tells which texts may take part: 8 MB.
+KEY_BITS = 1 << 26
 CHUNK_COLUMNS = ("core", "context", "key", "start", "lead", "count")
 
 
@@ -115,7 +117,9 @@ def read_stretches(docs: DataFrame, contexts: DataFrame, read: Callable, text_co
     """``contexts`` plus ``data``: their stretches, read again from one document each (``key`` and text in
     ``docs``). ``read(text, starts, counts)`` returns their bytes."""
     wanted = contexts.groupBy("key").agg(F.collect_list(F.struct("core", "context", "times", "start", "lead", "count")).alias("_chunks"))
-    met = docs.select("key", text_col).join(checked_broadcast(wanted), "key").select(F.col(text_col).cast("binary"), "_chunks")
+    wanted = materialize(wanted, "wanted")
+    likely = marked(docs.select("key", text_col), wanted).where("_likely")
+    met = likely.join(wanted, "key").select(F.col(text_col).cast("binary"), "_chunks")
     names = ["core", "context", "times", "lead", "data"]
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,6 +215,28 @@ def covered_runs(kept: DataFrame, hits: DataFrame, window: int) -> DataFrame:
     return met.groupBy("key").agg(F.sort_array(F.collect_set("run")).alias("runs"))
 
 
+def marked(docs: DataFrame, keys: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """``docs`` plus ``_likely``: false only for rows whose ``key`` is not in ``keys``.
+
+    A bitmap of hashed keys, of a fixed size whatever the input, goes to every task, so the texts
+    of rows that surely take no part are not shuffled. Rows marked by chance fall out of the join after.
+    """
+    slot = F.pmod(F.xxhash64(F.col("key")), F.lit(bits))
+    place = F.bitmap_bit_position(slot)
+    maps = materialize(keys.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(F.bitmap_construct_agg(place).alias("_bits")), "bitmap")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.expr("CAST(_place DIV 8 AS INT) + 1"), F.lit(1))), 16, 10).cast("int")
+    met = docs.withColumn("_bucket", F.bitmap_bucket_number(slot)).withColumn("_place", place).join(F.broadcast(maps), "_bucket", "left")
+    set_ = byte.bitwiseAND(F.expr("CAST(shiftleft(1, CAST(_place % 8 AS INT)) AS INT)")) > 0
+    return met.withColumn("_likely", F.coalesce(set_, F.lit(False))).drop("_bucket", "_place", "_bits")
+
+
+def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """``docs`` (with ``key``) plus ``runs``; null for rows without any."""
+    both = marked(docs, runs)
+    none = both.where(~F.col("_likely")).withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType))
+    return both.where("_likely").join(runs, "key", "left").unionByName(none).drop("_likely")
+
+
 def merged(runs: list[dict] | None) -> list[tuple[int, int]]:
     """Maximal runs from sorted, overlapping or touching ones."""
     out: list[list[int]] = []

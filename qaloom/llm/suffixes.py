@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from qaloom.llm import repeats
 from qaloom.llm.hashing import _LETTER, text_blocks
-from qaloom.session import checked_broadcast, materialize
+from qaloom.session import materialize
 
 SHAPE = repeats.Shape(window=400, gram=40, grid=192)
 # Stretches that one construction takes; larger groups are split by the window's own hash.
@@ -113,7 +113,7 @@ def repeated_spans(docs: DataFrame, shape: repeats.Shape = SHAPE, id_col: str =
     kept, contexts = repeats.repeated_chunks(materialize(find_chunks(keyed, shape, text_col), "chunks"))
     hits = repeats.repeated_windows(read_stretches(keyed, contexts, shape.window, text_col), shape, construct, MOST_TOGETHER)
     runs = materialize(repeats.covered_runs(kept, materialize(hits, "hits"), shape.window), "runs")
-    return keyed.join(checked_broadcast(runs), "key", "left")
+    return repeats.with_runs(keyed, runs)
 
 
 def remove_repeats(docs: DataFrame, shape: repeats.Shape = SHAPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
