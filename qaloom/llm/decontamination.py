@@ -19,6 +19,8 @@ from qaloom.session import checked_broadcast, materialize
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Stands behind a document's last word; no word can equal it, since words hold no capitals A-Z.
 END = "Z"
+# Document keys that are sent to the postings at most; beyond that postings are shuffled by key.
+MOST_KEYS = 2_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -84,6 +86,12 @@ def adjusted(index: Index, terms: DataFrame) -> DataFrame:
     return found.select("window", "size", "key", (F.col("position") - F.col("offset")).alias("start")).where("start >= 0").distinct()
 
 
+def in_documents(index: Index, found: DataFrame) -> DataFrame:
+    """Postings of the documents in ``found``; their keys travel to the postings while few by measure."""
+    keys = materialize(found.select("key").distinct(), "keys")
+    return index.postings.join(checked_broadcast(keys, max_rows=MOST_KEYS), "key", "left_semi")
+
+
 def phrases(index: Index, windows: DataFrame) -> DataFrame:
     """Exact occurrences of every window: ``window, size, key, start``."""
     terms = materialize(ranked_terms(index, windows), "terms")
@@ -93,7 +101,7 @@ def phrases(index: Index, windows: DataFrame) -> DataFrame:
     met = materialize(both.unionByName(rarest.where("size = 1")), "met")
     rest = met.where("size > 2").join(checked_broadcast(terms.where("rank > 2").select("window", "offset", "term")), "window")
     rest = rest.withColumn("position", F.col("start") + F.col("offset"))
-    near = index.postings.join(met.select("key").distinct(), "key", "left_semi")
+    near = in_documents(index, met)
     whole = (rest.join(near, ["key", "position", "term"]).select(*place, "offset").distinct()
              .groupBy(*place).agg(F.count("*").alias("n")).where("n = size - 2").select(*place))
     return whole.unionByName(met.where("size <= 2"))
@@ -107,7 +115,7 @@ def proximity_matches(index: Index, windows: DataFrame, slop: int = 2, share: fl
     shift = F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("shift")
     rest = seeds.join(checked_broadcast(terms.where("rank > 1").select("window", "offset", "term")), "window").select("*", shift)
     rest = rest.withColumn("position", F.col("start") + F.col("offset") + F.col("shift"))
-    near = index.postings.join(seeds.select("key").distinct(), "key", "left_semi")
+    near = in_documents(index, seeds)
     place = ["window", "size", "key", "start"]
     counted = (rest.join(near, ["key", "position", "term"]).select(*place, "offset").distinct()
                .groupBy(*place).agg((F.count("*") + 1).alias("matched")))
