@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.session import checked_broadcast
+from qaloom.session import checked_broadcast, materialize
 
 PAIR = "question string, answer string, question_type string, difficulty string, reasoning string"
 KNOWLEDGE_LISTS = ("key_concepts", "materials", "parameters", "methods")
@@ -125,7 +125,8 @@ def dedup_records(df: DataFrame, keys: list[str], keep: str, fold: bool = False)
         return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
     digest = F.sha2(F.concat(*[part(k) for k in keys]), 256)
-    slim = df.select(digest.alias("_key"), F.col(keep).alias("_keep"))
+    # Written: the digests are used twice, and folding texts is the expensive part.
+    slim = materialize(df.select(digest.alias("_key"), F.col(keep).alias("_keep")), "digests")
     repeated = slim.groupBy("_key").agg(F.min("_keep").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
     gone = slim.join(repeated.select("_key", "_first"), "_key").filter("_keep <> _first").select("_keep")
     return df.join(checked_broadcast(gone), F.col(keep) == F.col("_keep"), "left_anti")
