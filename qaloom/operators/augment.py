@@ -93,22 +93,25 @@ def evolve_dataset(
     answer_template: str,
     *key: str,
     seed: str = "",
+    with_reasoning: bool = False,
     **call,
 ) -> DataFrame:
     """Evolve each instruction (``prompt, answer, reasoning``) and answer the evolved one.
 
-    The answer prompt may use {prompt}, {answer}, {reasoning}, {strategy} and {instruction}.
-    Rows with a failed call are dropped.
+    The answer prompt may use {prompt}, {answer}, {reasoning}, {strategy}, {method} and
+    {instruction}; the method is the reasoning of the evolving call, else the strategy's name. With
+    ``with_reasoning`` the answering call's reasoning is added as ``reasoning_content``. Rows with
+    a failed call are dropped.
     """
     trimmed = df.withColumns({c: strip(c) for c in ("prompt", "answer", "reasoning")})
     seeds = evolve_select(trimmed, templates, *key, seed=seed)
-    evolved = drop_failed(model_map(seeds, client_factory, "evolve_prompt", "_evolved", "_e1", **call), "_evolved")
-    evolved = evolved.withColumn("instruction", strip("_evolved"))
+    evolved = drop_failed(model_map(seeds, client_factory, "evolve_prompt", "_evolved", "_e1", reasoning="_why", **call), "_evolved")
+    evolved = evolved.withColumns({"instruction": strip("_evolved"), "method": F.coalesce("_why", "strategy")})
     names = {n: n for n in template_fields(answer_template)}
     answered = model_map(
-        evolved.withColumn("_ap", render(answer_template, **names)), client_factory, "_ap", "new_output", "_e2", **call
+        evolved.withColumn("_ap", render(answer_template, **names)), client_factory, "_ap", "new_output", "_e2", reasoning="reasoning_content", **call
     )
-    carried = [c for c in ("image_path",) if c in df.columns]
+    carried = [c for c in ("image_path",) if c in df.columns] + (["reasoning_content"] if with_reasoning else [])
     return drop_failed(answered, "new_output").select(
         *key,
         "strategy",

@@ -1,7 +1,7 @@
 """The model-call surface: callers bring the client, Spark brings the batches.
 
-A client is any callable taking one prompt and returning one reply; ``client_factory`` builds
-it once per task, on the executor. Replies are neither cheap nor repeatable, so write them
+A client is any callable taking one prompt (and, if asked, an image) and returning one reply, or a pair of
+reply and reasoning; ``client_factory`` builds it once per task, on the executor. Replies are neither cheap nor repeatable, so write them
 out (:func:`qaloom.session.materialize`) before more than one thing reads them.
 """
 
@@ -15,29 +15,30 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Client = Callable[[str], str]
+Client = Callable[..., "str | tuple[str, str | None]"]
 
 # Tries per prompt and the pause between them.
 MAX_TRIES = 16
 RETRY_SECONDS = 5.0
 
 
-def ask(client: Client, prompt: str | None, tries: int, pause: float) -> tuple[str | None, str | None]:
-    """Reply and error of one call; exactly one of them is set for a non-NULL prompt."""
-    if prompt is None:
-        return None, None
+def ask(client: Client, given: tuple, tries: int, pause: float) -> tuple[str | None, str | None, str | None]:
+    """Reply, error and reasoning of one call; reply or error is set for a non-NULL prompt."""
+    if given[0] is None:
+        return None, None, None
     error = "no attempt made"
     for attempt in range(tries):
         try:
-            reply = client(prompt)
+            answer = client(*given)
+            reply, reasoning = answer if isinstance(answer, tuple) else (answer, None)
             if reply is not None:
-                return reply, None
+                return reply, None, reasoning
             error = "empty reply"
         except Exception as problem:  # a failed row must not fail the job
             error = f"{type(problem).__name__}: {problem}"
         if pause and attempt + 1 < tries:
             time.sleep(pause)
-    return None, error
+    return None, error, None
 
 
 def model_map(
@@ -50,33 +51,40 @@ def model_map(
     tries: int = MAX_TRIES,
     pause: float = RETRY_SECONDS,
     partitions: int | None = None,
+    image: str | None = None,
+    reasoning: str | None = None,
 ) -> DataFrame:
     """Add ``reply`` and ``error`` columns by calling a model on the ``prompt`` column.
 
+    With ``image`` the client gets that column's value as a second argument (a link, a data URI or
+    NULL). With ``reasoning`` the second part of a paired reply is kept under that name.
+
     At most ``concurrency`` calls are in flight per task; ``partitions`` spreads the rows over
     that many tasks first, bounding the total. Only prompts and replies cross to Python. A
     call that keeps failing leaves a NULL reply and its error text.
     """
 
-    @F.pandas_udf("reply string, error string")
-    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    inputs = [prompt, image] if image else [prompt]
+
+    @F.pandas_udf("reply string, error string, reasoning string")
+    def call(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         client = client_factory()
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
-            for prompts in batches:
-                texts = [None if pd.isna(p) else p for p in prompts]
+            for columns in batches:
+                columns = columns if isinstance(columns, tuple) else (columns,)
+                given = list(zip(*[[None if pd.isna(v) else v for v in c] for c in columns]))
                 if concurrency == 1:
-                    answers = [ask(client, p, tries, pause) for p in texts]
+                    answers = [ask(client, g, tries, pause) for g in given]
                 else:
-                    answers = list(pool.map(lambda p: ask(client, p, tries, pause), texts))
-                yield pd.DataFrame(answers, columns=["reply", "error"])
+                    answers = list(pool.map(lambda g: ask(client, g, tries, pause), given))
+                yield pd.DataFrame(answers, columns=["reply", "error", "reasoning"], dtype=object)
 
     call = call.asNondeterministic()
     spread = df.repartition(partitions) if partitions else df
-    kept = [c for c in df.columns if c not in (reply, error)]
-    called = spread.select("*", call(F.col(prompt)).alias("_model_call"))
-    return called.select(
-        *kept, F.col("_model_call.reply").alias(reply), F.col("_model_call.error").alias(error)
-    )
+    names = {"reply": reply, "error": error} | ({"reasoning": reasoning} if reasoning else {})
+    kept = [c for c in df.columns if c not in names.values()]
+    called = spread.select("*", call(*[F.col(c) for c in inputs]).alias("_model_call"))
+    return called.select(*kept, *[F.col(f"_model_call.{field}").alias(name) for field, name in names.items()])
 
 
 def drop_failed(df: DataFrame, reply: str = "reply") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.functions.text import has_text, hash_bucket
+from qaloom.session import first_rows
 
 # Text lengths worth sending to a model.
 MIN_TEXT_LENGTH = 50
@@ -22,9 +23,9 @@ def length_filter(
 def sample_documents(df: DataFrame, n: int, *key: str, seed: str = "0") -> DataFrame:
     """``n`` rows drawn without replacement, the same ones for the same seed and keys.
 
-    Runs as top-n per partition and one merge, so it never sorts the whole frame.
+    ``key`` should be unique.
     """
-    return df.orderBy(hash_bucket(*key, seed=seed), *key).limit(n)
+    return first_rows(df, n, hash_bucket(*key, seed=seed), *key)
 
 
 def corpus_summary(df: DataFrame) -> DataFrame:

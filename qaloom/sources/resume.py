@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.functions.text import as_col, path_tail
-from qaloom.session import global_index
+from qaloom.session import first_rows, global_index
 
 
 def resume(df: DataFrame, history: DataFrame, key: str | Column = "source_file") -> DataFrame:
@@ -35,8 +35,9 @@ def merge_history(new: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def task_limit(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
-    """The first ``n`` rows in ``order``. Place it before a model call so only they are sent."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` rows in ``order``, which should end in a unique column. Place it before a
+    model call so only they are sent."""
+    return first_rows(df, n, *order)
 
 
 def batch_assign(df: DataFrame, size: int, *order: str) -> DataFrame:

@@ -20,11 +20,11 @@ def test_ask_retries_until_it_works():
             raise TimeoutError("slow")
         return "ok"
 
-    assert ask(flaky, "p", 5, 0.0) == ("ok", None)
+    assert ask(flaky, ("p",), 5, 0.0) == ("ok", None, None)
     assert len(calls) == 3
-    assert ask(lambda p: None, "p", 2, 0.0) == (None, "empty reply")
-    assert ask(lambda p: 1 / 0, "p", 2, 0.0)[1].startswith("ZeroDivisionError")
-    assert ask(lambda p: "x", None, 2, 0.0) == (None, None)
+    assert ask(lambda p: None, ("p",), 2, 0.0) == (None, "empty reply", None)
+    assert ask(lambda p: 1 / 0, ("p",), 2, 0.0)[1].startswith("ZeroDivisionError")
+    assert ask(lambda p: "x", (None,), 2, 0.0) == (None, None, None)
 
 
 def shout():
@@ -120,3 +120,49 @@ def test_preference_bad_judge_is_negative(spark):
     assert [(s.response, s.label) for s in row.samples] == [("0", "negative"), ("1", "positive"), ("2", "negative")]
     split = augment.preference_pairs(out).first()
     assert split.positives == ["1"] and split.negatives == ["0", "2"]
+
+
+def test_images_and_reasoning_reach_the_client(spark):
+    def factory():
+        return lambda prompt, image: (f"{prompt}+{image}", f"because {prompt}")
+
+    df = spark.createDataFrame([(1, "a", "x.png"), (2, "b", None), (3, None, "y.png")], "id int, prompt string, img string")
+    got = {r.id: (r.reply, r.error, r.why) for r in model_map(df, factory, image="img", reasoning="why", tries=1, pause=0).collect()}
+    assert got == {1: ("a+x.png", None, "because a"), 2: ("b+None", None, "because b"), 3: (None, None, None)}
+
+
+def test_evolving_keeps_the_reasoning(spark):
+    def factory():
+        return lambda prompt: (prompt.upper(), f"r{len(prompt)}")
+
+    df = spark.createDataFrame([(1, "q", "a", "z")], "id int, prompt string, answer string, reasoning string")
+    row = augment.evolve_dataset(df, factory, {"deepen": "d: {prompt}"}, "{method}|{instruction}", "id", with_reasoning=True, tries=1, pause=0).first()
+    assert row.new_output == "R4|D: Q" and row.reasoning_content == "r7"
+
+
+def test_first_rows_by_cut(spark, monkeypatch):
+    from qaloom import session
+
+    df = spark.range(50).selectExpr("id", "id % 7 AS g").repartition(4)
+    want = [r.id for r in session.first_rows(df, 11, "g", "id").orderBy("g", "id").collect()]
+    monkeypatch.setattr(session, "ROWS_IN_ONE_TASK", 5)
+    assert [r.id for r in session.first_rows(df, 11, "g", "id").orderBy("g", "id").collect()] == want
+
+
+def test_fan_out_asks_once(spark, tmp_path):
+    from qaloom.sources import records
+
+    log = tmp_path / "calls"
+
+    def factory():
+        def judge(prompt):
+            with open(log, "a") as f:
+                f.write("x")
+            return "1"
+
+        return judge
+
+    df = spark.createDataFrame([(i, str(i)) for i in range(10)], "id int, prompt string")
+    checked = model_map(df, factory, tries=1, pause=0).withColumn("quality_label", F.col("reply").cast("int"))
+    records.quality_fanout(checked, lambda rows: rows.groupBy("quality_label").count(), str(tmp_path / "out"))
+    assert len(log.read_text()) == 10
