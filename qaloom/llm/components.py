@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qaloom.session import materialize
@@ -16,16 +16,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     written to the shared folder. Null ends and self links are ignored.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    edges = materialize(edges.distinct(), "edges")
-    before = None
+    edges, before = written(edges.distinct())
     for _ in range(most_rounds):
+        if not before[0]:
+            break
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        # Larger neighbours move to the smallest neighbour, then smaller ones do.
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = materialize(small.union(least).distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        edges, now = written(small.union(least).distinct())
         if now == before:
             break
         before = now
@@ -33,3 +34,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select("v", "v").distinct().toDF("node", "component"))
+
+
+def written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their number and a sum of their hashes, both taken while writing."""
+    seen = Observation()
+    marked = edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+    stored = materialize(marked, "edges")
+    found = seen.get
+    return stored, (found["n"], found["h"])
