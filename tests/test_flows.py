@@ -70,3 +70,37 @@ def test_documents_to_judged_pairs(spark):
     assert report.total_qa_pairs == len(pairs) and report.passed_qa_pairs == len(pairs) - bad.count()
     chunks = sum(1 if len(t) <= 2000 else len(knowledge["b.txt"].main_findings) for n, t in docs if t.strip())
     assert sent.value == chunks + len(pairs) + 2 * len(pairs)
+
+
+def test_final_set_and_stage_counts(spark):
+    sent = spark.sparkContext.accumulator(0)
+
+    def factory():
+        ask = stub(sent)()
+
+        def client(prompt):
+            if prompt.startswith("REWRITE"):
+                return '{"question": "better %s", "answer": "b"}' % prompt[8:15] if "factual" in prompt else "no json"
+            if prompt.startswith("KNOW broken"):
+                return "not json"
+            if prompt.startswith("KNOW down"):
+                raise ConnectionError("down")
+            return ask(prompt)
+
+        return client
+
+    docs = [("a.txt", "w1"), ("d.txt", "w4"), ("broken.txt", "w1"), ("down.txt", "w2")]
+    out = text_to_qa(
+        spark.createDataFrame(docs, "source_file string, content string"), factory, REGISTRY, 9, "ANSWER {question}",
+        "JUDGE {question} {standard_answer} {model_answer}", rewrite_template="REWRITE {question} {answer}", meta={"run": "r1"}, tries=1, pause=0.0,
+    )
+    final = out["final"].collect()
+    verified = out["verified"].collect()
+    assert len(final) == sum(r.quality_label == 1 for r in verified) and {r.run for r in final} == {"r1"}
+    assert {r.question.startswith("better") for r in final if r.question_type == "factual"} == {True}
+    assert not any(r.question.startswith("better") for r in final if r.question_type != "factual")
+    stages = {r.stage: (r.rows_in, r.failed, r.rejected, r.rows_out) for r in out["stages"].collect()}
+    assert stages["knowledge"] == (4, 1, 1, 2)
+    assert stages["judgement"] == (len(verified), 0, len(verified) - len(final), len(final))
+    assert stages["rewriting"][0] == len(final) and stages["rewriting"][2] == sum(r.question_type != "factual" for r in final)
+    assert out["summary"].first().total_qa_pairs == len(verified)
