@@ -19,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send at most ``rows`` rows to Python at once, for the rest of the session.
+
+    Whole texts make large batches: the default of 10,000 rows holds tens of megabytes several times
+    over, in the executor and in each of its Python workers.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def held_out(doc_id: Column | str, folds: int) -> Column:
     """True for rows of fold 0: crc32 of the id as text, modulo ``folds``. A null id is never held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

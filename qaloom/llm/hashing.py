@@ -60,7 +60,7 @@ def run_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: in
     return mix((total[ends] - total[starts]) * back[starts])
 
 
-def text_blocks(texts: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_blocks(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) of consecutive rows of about ``most`` bytes; null rows are empty.
 
     A longer text is a block of its own.
