@@ -12,28 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.llm import decontamination, jaccard, packing, pii, toxicity
-from qaloom.llm.common import table
+from qaloom.llm.common import small_batches, table
 from qaloom.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored under 0.5, unchanged. Labels of fold 0 are not learnt from."""
+    small_batches(spark)
     classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_texts(docs, classifier, name="_score").where(F.col("_score") < 0.5).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word-shingle Jaccard similarity 0.8 or more, that with the smallest id."""
+    small_batches(spark)
     return jaccard.one_of_each(docs, size=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten-word window of a benchmark item."""
+    small_batches(spark)
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def cover_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind in brackets; ``n_chars`` follows the text."""
+    small_batches(spark)
     covered = pii.redact(docs, pii.fit(docs))
     if "n_chars" in docs.columns:
         covered = covered.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -42,6 +46,7 @@ def cover_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of a document, with its sequence and place there."""
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
