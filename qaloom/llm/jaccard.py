@@ -165,10 +165,16 @@ def open_columns(rows: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 
 
 def families(columns: DataFrame) -> DataFrame:
-    """``row, family``: rows tied by long columns (more than FREQUENT rows), as components of a star each."""
+    """``row, family, whole``: rows tied by long columns (more than FREQUENT rows), as components of a star each.
+
+    ``whole`` says whether the family has at most MOST_FAMILY rows, and so is multiplied whole.
+    """
     long = columns.where(F.col("m") > FREQUENT).select("gram", "row")
     stars = long.join(long.groupBy("gram").agg(F.min("row").alias("head")), "gram").select(F.col("row").alias("a"), F.col("head").alias("b"))
-    return components(stars.distinct()).toDF("row", "family")
+    found = materialize(components(stars.distinct()).toDF("row", "family"), "tied")
+    # One row for more than MOST_FAMILY rows each.
+    large = found.groupBy("family").agg(F.count("*").alias("_m")).where(F.col("_m") > MOST_FAMILY).select("family", F.lit(False).alias("whole"))
+    return found.join(checked_broadcast(large), "family", "left").select("row", "family", F.coalesce("whole", F.lit(True)).alias("whole"))
 
 
 def prefix_pairs(columns: DataFrame, family: DataFrame, percent: int) -> DataFrame:
@@ -176,9 +182,11 @@ def prefix_pairs(columns: DataFrame, family: DataFrame, percent: int) -> DataFra
 
     Overlaps within the block are summed per pair; a pair goes on only if they reach the overlap
     it needs less what its other columns could hold. Pairs of one component are settled, those of one
-    family are multiplied whole; others share no long column.
+    family that is multiplied whole are left out. Others, rows of a larger family among them, either
+    share no long column and are counted in full here, or are met by the long column.
     """
-    short = columns.where(F.col("m") <= FREQUENT).join(family, "row", "left").withColumn("family", F.coalesce("family", "row"))
+    whole = family.where("whole").select("row", "family")
+    short = columns.where(F.col("m") <= FREQUENT).join(whole, "row", "left").withColumn("family", F.coalesce("family", "row"))
     x, y = short.alias("x"), short.alias("y")
     met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.row") < F.col("y.row")) & (F.col("x.part") != F.col("y.part"))
                  & (F.col("x.family") != F.col("y.family")) & similar_sizes("x.n", "y.n", percent))
@@ -198,13 +206,12 @@ def family_links(docs: DataFrame, rows: DataFrame, columns: DataFrame, family: D
     """Links ``a, b`` inside families: whole rows, multiplied block of rows by block of rows.
 
     A family is cut into blocks of BLOCK_ROWS rows and every pair of blocks is one task of bounded
-    size. A family too large for that falls back to its long columns, one by one. Of each product only
+    size. A family too large for that falls back to its long columns, one by one; its pairs without
+    a shared long column are left to ``prefix_pairs``. Of each product only
     links that join what is not joined yet are given: a spanning forest.
     """
-    small = family.groupBy("family").agg(F.count("*").alias("_m")).where(F.col("_m") <= MOST_FAMILY).select("family")
-    placed = family.join(small.withColumn("_whole", F.lit(True)), "family", "left")
-    whole = placed.where("_whole").select(F.col("family").alias("unit"), "row")
-    apart = (columns.where(F.col("m") > FREQUENT).join(placed.where("_whole IS NULL").select("row"), "row")
+    whole = family.where("whole").select(F.col("family").alias("unit"), "row")
+    apart = (columns.where(F.col("m") > FREQUENT).join(family.where("NOT whole").select("row"), "row")
              .select(F.xxhash64("gram").alias("unit"), "row"))
     units = materialize(whole.unionByName(apart), "units")
     cuts = units.groupBy("unit").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("cuts"))

@@ -419,6 +419,25 @@ def test_jaccard_components(docs, empty, monkeypatch, frequent, block, family):
         assert jaccard.jaccard_components(empty).collect() == [] and jaccard.one_of_each(empty).collect() == []
 
 
+@pytest.mark.parametrize("family", [3, 8192])
+def test_pair_of_short_columns_in_a_large_family(spark, monkeypatch, family):
+    # One key a row never ties two, and hash order is the order of columns: only the product can find the pair.
+    for name, value in (("FREQUENT", 2), ("MOST_FAMILY", family), ("KEYS", 1), ("MOST_FREQUENT_COLUMNS", 0)):
+        monkeypatch.setattr(jaccard, name, value)
+    words = [f"w{k}" for k in range(100)]
+    text = "".join(words).encode()
+    grams, _ = jaccard.sets_of(np.frombuffer(text, np.uint8), np.cumsum([0] + [len(w) for w in words]), 1)
+    first = [words[k] for k in np.argsort(grams, kind="stable")]
+    own, short, rest, last = first[:6], first[6:9], first[50:54], first[54:]
+    # 7 of 13 words are shared; of the six prefix columns three are, and those stand in no other row.
+    texts = [own[0::2] + short + rest, own[1::2] + short + rest]
+    # Rows that make the first words of both long columns, and tie both rows into one family.
+    texts += [[own[0], own[1]] + last[k * 8: k * 8 + 8] for k in range(5)]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = jaccard.jaccard_components(docs, size=1, percent=50).collect()
+    same([(r.doc_id, r.n_shingles, r.component_id) for r in got], [(k, len(t), 0 if k == 1 else k) for k, t in enumerate(texts)])
+
+
 def test_block_links_match_sets():
     rng = np.random.default_rng(0)
     sets = [np.unique(np.concatenate([np.arange(40), rng.integers(100, 112, k % 6)])) for k in range(40)]
