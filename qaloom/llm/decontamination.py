@@ -68,14 +68,15 @@ def windows_of(items: DataFrame, size: int = 10, id_col: str = "item_id", text_c
             cut.select("window", "item").where("item IS NOT NULL").distinct())
 
 
-def ranked_terms(index: Index, windows: DataFrame) -> DataFrame:
+def ranked_terms(index: Index, windows: DataFrame, lacking: bool = False) -> DataFrame:
     """``window, size, offset, term, rank``: rank 1 is the term with the shortest list. Windows with a
-    term that the corpus lacks are left out."""
+    term that the corpus lacks are left out, unless ``lacking``: such terms then rank first."""
     lengths = index.postings.groupBy("term").agg(F.count("*").alias("length"))
     terms = windows.select("window", F.size("words").alias("size"), F.posexplode("words").alias("offset", "word"))
     terms = terms.withColumn("term", F.xxhash64("word")).drop("word").join(lengths, "term", "left")
     per_window = Window.partitionBy("window")
-    terms = terms.withColumn("_least", F.min(F.coalesce("length", F.lit(0))).over(per_window)).where("_least > 0")
+    if not lacking:
+        terms = terms.withColumn("_least", F.min(F.coalesce("length", F.lit(0))).over(per_window)).where("_least > 0")
     order = per_window.orderBy("length", "offset")
     return terms.withColumn("rank", F.row_number().over(order)).select("window", "size", "offset", "term", "rank")
 
@@ -109,18 +110,25 @@ def phrases(index: Index, windows: DataFrame) -> DataFrame:
 
 def proximity_matches(index: Index, windows: DataFrame, slop: int = 2, share: float = 0.8) -> DataFrame:
     """Places where at least ``share`` of a window's terms stand within ``slop`` words of where the
-    phrase has them, the rarest term in its place: ``window, size, key, start, matched``."""
-    terms = materialize(ranked_terms(index, windows), "terms")
-    seeds = adjusted(index, terms.where("rank = 1"))
+    phrase has them, one of them in its place: ``window, size, key, start, matched``.
+
+    The others may be missing, from the corpus too. ``start`` is negative where a document begins inside
+    the phrase. Of the rarest terms, one more than may be missing are looked up: each such place has one
+    of them within ``slop``.
+    """
+    terms = materialize(ranked_terms(index, windows, lacking=True), "terms")
+    need = F.ceil(F.col("size") * F.lit(share))
     shift = F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("shift")
-    rest = seeds.join(checked_broadcast(terms.where("rank > 1").select("window", "offset", "term")), "window").select("*", shift)
+    rare = terms.where(F.col("rank") <= F.col("size") - need + 1).select("window", "size", "offset", "term")
+    found = index.postings.join(checked_broadcast(rare), "term").select("*", shift)
+    place = ["window", "size", "key", "start"]
+    seeds = materialize(found.withColumn("start", F.col("position") - F.col("offset") - F.col("shift")).select(*place).distinct(), "seeds")
+    rest = seeds.join(checked_broadcast(terms.select("window", "offset", "term")), "window").select("*", shift)
     rest = rest.withColumn("position", F.col("start") + F.col("offset") + F.col("shift"))
     near = in_documents(index, seeds)
-    place = ["window", "size", "key", "start"]
-    counted = (rest.join(near, ["key", "position", "term"]).select(*place, "offset").distinct()
-               .groupBy(*place).agg((F.count("*") + 1).alias("matched")))
-    alone = seeds.where("size = 1").withColumn("matched", F.lit(1).cast("long"))
-    return counted.unionByName(alone).where(F.col("matched") >= F.ceil(F.col("size") * F.lit(share)))
+    held = rest.join(near, ["key", "position", "term"]).groupBy(*place, "offset").agg(F.min(F.abs("shift")).alias("_off"))
+    counted = held.groupBy(*place).agg(F.count("*").alias("matched"), F.min("_off").alias("_off"))
+    return counted.where((F.col("matched") >= need) & (F.col("_off") == 0)).drop("_off")
 
 
 def hit_spans(found: DataFrame) -> DataFrame:

@@ -381,6 +381,29 @@ def test_proximity(spark):
     assert {r.doc_id for r in decontamination.phrases(index, windows).join(ids, "key").collect()} == {1}
 
 
+def test_proximity_without_the_rarest_terms(spark):
+    phrase = "aa bb cc dd ee ff gg hh ii jj".split()
+    texts = ["k aa bb cc dd XX ee ff gg hh ii", "aa bb qq dd ee ff gg hh ii jj", "aa bb qq dd ee rr gg hh ii jj", "aa qq cc rr ee ss gg hh ii jj",
+             "bb qq dd ee ff gg hh ii jj", "n aa bb cc x dd ee ff gg y y y hh ii jj", "aa bb dd cc ee ff gg ii hh jj", "jj ii hh gg", "aa aa aa"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for lacks in ("zz", "cc"):  # a word the corpus lacks, and a rare one
+        items = [phrase[:2] + [lacks] + phrase[3:], ["aa", "bb"], ["jj"]]
+        windows, _ = decontamination.windows_of(spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string"))
+        index = decontamination.build_index(docs, windows.select(F.explode("words").alias("word")))
+        want = []
+        for key, t in enumerate(texts):
+            w = bench_words(t)
+            for g in items:
+                for start in range(-12, len(w) + 3):
+                    shifts = [min([abs(s) for s in (-2, -1, 0, 1, 2) if 0 <= start + o + s < len(w) and w[start + o + s] == x], default=None) for o, x in enumerate(g)]
+                    held = [s for s in shifts if s is not None]
+                    if len(held) >= math.ceil(len(g) * 0.8) and 0 in held:
+                        want.append((key, " ".join(g), start, len(held)))
+        assert {1, 2, 4} <= {w[0] for w in want if len(w[1]) > 9}
+        near = decontamination.proximity_matches(index, windows).join(index.documents, "key").join(windows, "window")
+        same([(r.doc_id, " ".join(r.words), r.start, r.matched) for r in near.collect()], want)
+
+
 # --- Jaccard ---
 
 @pytest.mark.parametrize("frequent,block,family", [(64, 512, 8192), (2, 3, 8192), (2, 3, 4)])
