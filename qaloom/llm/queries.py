@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qaloom.llm import decontamination, fmindex, jaccard, lm, packing, pii, sharding, suffixes, topk, toxicity
+from qaloom.llm import alignment, decontamination, fmindex, jaccard, lm, packing, pii, sharding, simple8b, suffixes, topk, toxicity, zfast
 from qaloom.llm.common import held_out, table
 from qaloom.llm.registry import ORACLES, QUERIES, query
+from qaloom.session import new_scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -143,3 +144,59 @@ def op5_columnwise_suffix_dedup(spark, sf_dir):
 def op7_fm_index_dedup(spark, sf_dir):
     return fmindex.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_simple8b_ids")
+def op11_simple8b_ids(spark, sf_dir):
+    path = new_scratch_path(spark, "token-ids")
+    simple8b.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1, by_word=True)
+    return simple8b.read_ids(spark, path)
+
+
+@query("op12_diagonal_run_alignment")
+def op12_diagonal_run_alignment(spark, sf_dir):
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+# crc32 of the decimal id, bit by bit: a character is xored in, then eight shifts (-1) follow.
+OP13_SQL = r"""
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                 md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS BIGINT) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda l: [CAST(ord(l) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+         lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a // 2, (a % 2) * 3988292384) END), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)
+), t AS (
+  SELECT c.conv_id, 0 AS own, p, r, x FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 5 WHERE p < h
+  UNION ALL SELECT c.conv_id, 1, p, r, x FROM c JOIN o ON o.conv_id = c.conv_id WHERE p >= h
+), s AS (
+  SELECT c.conv_id, coalesce(q.s, []) AS s, coalesce(q.b, []) AS b
+  FROM c LEFT JOIN (SELECT conv_id, list(length(r) || ':' || r || x ORDER BY own, p) AS s, list(CAST(strlen(x) AS BIGINT) ORDER BY own, p) AS b
+                    FROM t GROUP BY conv_id) q ON q.conv_id = c.conv_id
+), m AS (
+  SELECT conv_id, d, s[1:d] AS k, CASE WHEN d > 0 THEN b[d] ELSE 0 END AS size, d = len(s) AS ends
+  FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM s)
+), n AS (
+  SELECT k, CAST(min(d) AS BIGINT) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(size) AS size,
+         coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS e
+  FROM m GROUP BY k
+), kids AS (SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.k = n.k),
+sub AS (
+  SELECT k[1:a] AS k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS a FROM w) GROUP BY ALL
+)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, CAST(sub.n_leaves AS BIGINT) AS n_leaves,
+       CAST(sub.saved_tokens AS BIGINT) AS saved_tokens, sha256(w.e) AS ends_sha256
+FROM w JOIN sub ON sub.k = w.k LEFT JOIN w p ON w.depth > 0 AND p.k = w.k[1:w.depth - 1]
+"""
+
+
+@query("op13_zfast_conversation_trie", OP13_SQL)
+def op13_zfast_conversation_trie(spark, sf_dir):
+    return zfast.conversation_trie(table(spark, sf_dir, "conversations"))
