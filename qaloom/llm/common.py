@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,3 +46,15 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 8192) -> Itera
             held = []
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives at the first call in a process; the same object ever after.
+
+    Modules of this package travel to tasks by value and are new in each of them, so the object hangs on a
+    module of the process. For what is dear to load and of a fixed size.
+    """
+    holder = sys.modules.setdefault("_qaloom_kept", types.ModuleType("_qaloom_kept")).__dict__
+    if name not in holder:
+        holder[name] = make()
+    return holder[name]

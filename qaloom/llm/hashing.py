@@ -24,9 +24,11 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_LETTER = mix(np.arange(1, 257, dtype=np.uint64), 1)
+LETTER_HASHES = mix(np.arange(1, 257, dtype=np.uint64), 1)
 
 
+# One block of text_blocks; longer rows have their powers worked out anew.
+KEPT_POWERS = (1 << 20) + 1
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -41,7 +43,7 @@ def powers(base: int, n: int) -> np.ndarray:
         take = min(filled, n - filled)
         out[filled: filled + take] = out[:take] * np.uint64(pow(base, filled, 1 << 64))
         filled += take
-    if n <= 1 << 22:
+    if n <= KEPT_POWERS:
         _POWERS[base] = out
     return out[:n]
 
@@ -95,7 +97,7 @@ def words_in(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.nda
     stops[lasts] |= ~gap[lasts - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
     letters = LOWER[data] if lower else data
-    hashes = run_hashes(sums(_LETTER[letters]), starts, ends)
+    hashes = run_hashes(sums(LETTER_HASHES[letters]), starts, ends)
     return starts, ends, hashes, np.searchsorted(starts, offsets)
 
 

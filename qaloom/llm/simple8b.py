@@ -21,17 +21,27 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import batches
+from qaloom.llm.common import batches, kept
+from qaloom.llm.hashing import BASE, LETTER_HASHES, LOWER, run_hashes, sums, text_blocks
 from qaloom.session import checked_broadcast
 
 BLOCK = 1024
 # A multiple of BLOCK.
 SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 96
-CACHED_WORDS = 200_000
+KEPT_PIECES = 1_000_000
+# Marks that no token joins with a letter; the apostrophe can begin a token of letters.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Kinds of bytes: 1 a letter, 2 a mark, 3 a space or line end, 0 anything else.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 1
+_KINDS[list(_MARKS)] = 2
+_KINDS[list(b" \n")] = 3
+_OTHER_BASE = 0xD6E8FEB86659FD93
 MAGIC = b"S8B1\0\0\0\0"
 _HEAD = "<8s5Q"
 
@@ -89,15 +99,20 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray,
     first_escape = np.concatenate([[0], np.cumsum(np.add.reduceat(wide, starts))])[:-1]
 
     # The selector of most ids that all fit, for a word that would begin at each id.
-    at = np.arange(n)
-    block_end = np.minimum((of_block + 1) * block, n)
+    at = np.arange(n, dtype=np.int32)
+    block_end = np.minimum((of_block + 1) * block, n).astype(np.int32)
+    width = width.astype(np.int8)
     best = np.full(n, len(BITS) - 1, np.int8)
     room, last = None, None
     for selector in range(len(BITS) - 2, -1, -1):
         if BITS[selector] != last:
             last = BITS[selector]
-            stop = np.where(width > last, at, n)
-            room = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], block_end) - at
+            narrow = width <= last
+            if np.count_nonzero(narrow) < COUNTS[selector]:
+                break
+            # Up to the next id that does not fit, or the end of the block.
+            stop = np.where(narrow, block_end, at)
+            room = np.minimum.accumulate(stop[::-1])[::-1] - at
         best[room >= COUNTS[selector]] = selector
 
     # Words follow each other; all blocks take their steps at once.
@@ -195,42 +210,154 @@ def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray)
 
 # --- documents --------------------------------------------------------------------------------
 
-def batch_encoder(vocabulary: str, by_word: bool) -> Callable[[list[str]], list[list[int]]]:
-    """texts -> token ids of the ``tokenizers`` file ``vocabulary``, without added special tokens.
+class WordIds:
+    """Ids of texts piece by piece, the ids of pieces being kept.
 
-    ``by_word`` is for vocabularies that drop white space and never join over it: what stands between spaces and
-    line ends is then encoded once and remembered, up to a fixed number of words.
+    For vocabularies that drop white space, fold case, mark ends of words and never join letters with punctuation. Texts are
+    cut at spaces and line ends, and between a Latin letter and a mark of ``_MARKS``; all else stays together and
+    is the library's to cut. Pieces are known by two 64-bit hashes. Up to ``KEPT_PIECES`` are kept, those
+    met least lately go first. One object serves a Python worker for all its tasks.
     """
+
+    def __init__(self, vocabulary: str):
+        self._encode = plain_encoder(vocabulary)
+        tokenizer = self._encode.__self__
+        self._special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        self._ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        self._ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self._forget(np.zeros(0, np.int64))
+
+    def _forget(self, keep: np.ndarray) -> None:
+        """Only the pieces at ``keep`` stay."""
+        if not len(keep):
+            self._hash, self._other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            self._at, self._n, self._pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        else:
+            self._pool = self._pool[flat_ranges(self._at[keep], self._n[keep])]
+            self._hash, self._other, self._n = self._hash[keep], self._other[keep], self._n[keep]
+            self._at = np.cumsum(self._n) - self._n
+        self._met = np.zeros(len(self._hash), bool)
+
+    def _texts(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self._encode(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[np.ndarray]:
+        """Words of letters only, many in one text: each ends with a token that the vocabulary marks as a word's end."""
+        found = []
+        for at in range(0, len(words), 1000):
+            some = words[at: at + 1000]
+            ids = self._texts([" ".join(some)])[0]
+            cuts = np.flatnonzero(self._ends[ids]) + 1
+            found += np.split(ids, cuts[:-1]) if len(cuts) == len(some) else self._texts(some)
+        return found
+
+    def _learn(self, hashes: np.ndarray, others: np.ndarray, pieces: list[str], plain: np.ndarray) -> None:
+        """Takes in pieces with ascending new hashes."""
+        ids: list[np.ndarray] = [None] * len(pieces)
+        for kind, of in ((plain, self._words), (~plain, self._texts)):
+            rows = np.flatnonzero(kind).tolist()
+            for row, own in zip(rows, of([pieces[r] for r in rows])):
+                ids[row] = own
+        sizes = np.array([len(x) for x in ids])
+        place = np.searchsorted(self._hash, hashes)
+        starts = len(self._pool) + np.cumsum(sizes) - sizes
+        self._pool = np.concatenate([self._pool, *ids])
+        for name, values in (("_hash", hashes), ("_other", others), ("_at", starts), ("_n", sizes), ("_met", np.ones(len(sizes), bool))):
+            setattr(self, name, np.insert(getattr(self, name), place, values))
+
+    def _block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, first id of each row and the end)."""
+        kind = _KINDS[data]
+        lead = np.flatnonzero(data[:-1] == 0xC3)  # letters of two bytes, but for the two signs among them
+        lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = 1
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:-1] = (kind[1:] != 3) & ((kind[:-1] == 3) | (kind[:-1] + kind[1:] == 3) & (kind[:-1] != 0) & (kind[1:] != 0))
+        filled = offsets[:-1][offsets[:-1] < offsets[1:]]
+        begins[filled] = kind[filled] != 3
+        starts = np.flatnonzero(begins)
+        # A piece ends at the next start or gap, or with its row.
+        stops = begins.copy()
+        stops[:-1] |= kind == 3
+        stops[offsets] = True
+        marks = np.flatnonzero(stops)
+        ends = marks[np.searchsorted(marks, starts, "right")]
+        odd = np.concatenate([[0], np.cumsum(kind != 1)])
+        plain = odd[starts] == odd[ends]
+        spelt = data.copy()
+        folded = flat_ranges(starts[plain], (ends - starts)[plain])
+        spelt[folded] = LOWER[spelt[folded]]
+        letters = LETTER_HASHES[spelt]
+        hashes, others = (run_hashes(sums(letters, base), starts, ends, base) for base in (BASE, _OTHER_BASE))
+        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        for attempt in (0, 1):
+            place = np.minimum(np.searchsorted(self._hash, unique), max(len(self._hash) - 1, 0))
+            known = self._hash[place] == unique if len(self._hash) else np.zeros(len(unique), bool)
+            if attempt or known.all():
+                break
+            if len(self._hash) + len(unique) > KEPT_PIECES:
+                self._met[place[known]] = True
+                keep = np.flatnonzero(self._met)
+                self._forget(keep if len(keep) < KEPT_PIECES // 2 else keep[:0])
+                place = np.minimum(np.searchsorted(self._hash, unique), max(len(self._hash) - 1, 0))
+                known = self._hash[place] == unique if len(self._hash) else known & False
+            new = first[~known]
+            self._learn(unique[~known], others[new], [spelt[a:b].tobytes().decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())], plain[new])
+        self._met[place] = True
+        of_piece = place[inverse]
+        if (self._other[of_piece] != others).any():
+            raise HashClash
+        sizes = self._n[of_piece]
+        ids = self._pool[flat_ranges(self._at[of_piece], sizes)]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, before[np.searchsorted(starts, offsets)]
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        texts = texts.fill_null("")
+        whole = np.zeros(len(texts), bool)
+        for special in self._special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        for row, data, offsets in text_blocks(texts):
+            rows = range(row, row + len(offsets) - 1)
+            try:
+                ids, first = self._block(data, offsets) if len(data) else (np.zeros(0, np.uint32), offsets)
+            except HashClash:
+                whole[row: rows.stop] = True
+            for k, r in enumerate(rows):
+                yield self._texts([texts[r].as_py()])[0] if whole[r] else ids[first[k]: first[k + 1]]
+
+
+class HashClash(Exception):
+    """Two pieces of one hash."""
+
+
+def flat_ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges [start, start + size), one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def plain_encoder(vocabulary: str) -> Callable:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(vocabulary)
+    return Tokenizer.from_file(vocabulary).encode_batch_fast
 
-    def ids_of(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    if not by_word:
-        return ids_of
-    known: dict[str, list[int]] = {}
+def batch_encoder(vocabulary: str, by_word: bool) -> Callable[[pa.Array], Iterator[np.ndarray]]:
+    """texts -> token ids of the ``tokenizers`` file ``vocabulary``, without added special tokens. ``by_word``: see ``WordIds``."""
+    if by_word:
+        return kept(f"words of {vocabulary}", lambda: WordIds(vocabulary))
+    encode_texts = kept(f"ids of {vocabulary}", lambda: plain_encoder(vocabulary))
 
-    def encode_words(texts: list[str]) -> list[list[int]]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = set().union(*split)
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        new = [w for w in wanted if w not in known]
-        known.update(zip(new, ids_of(new)))
-        found = []
-        for words in split:
-            ids: list[int] = []
-            for w in words:
-                ids += known[w]
-            found.append(ids)
-        return found
+    def ids_of(texts: pa.Array) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), 64):
+            for found in encode_texts([t or "" for t in texts[at: at + 64].to_pylist()], add_special_tokens=False):
+                yield np.array(found.ids, "<u4")
 
-    return encode_words
+    return ids_of
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -260,15 +387,13 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["segment"])
 
         for part in parts:
-            keys, texts = part.column(0).to_pylist(), part.column(1)
-            for at in range(0, len(keys), 256):
-                for key, ids in zip(keys[at: at + 256], encode_texts(texts[at: at + 256].to_pylist())):
-                    held_ids.append(key)
-                    held.append(np.array([*ids, end_id], np.uint32))
-                    size += len(held[-1])
-                    if size >= SEGMENT_IDS:
-                        yield segment()
-                        held_ids, held, size = [], [], 0
+            for key, ids in zip(part.column(0).to_pylist(), encode_texts(part.column(1))):
+                held_ids.append(key)
+                held.append(np.append(ids, np.uint32(end_id)))
+                size += len(held[-1])
+                if size >= SEGMENT_IDS:
+                    yield segment()
+                    held_ids, held, size = [], [], 0
         if held:
             yield segment()
 

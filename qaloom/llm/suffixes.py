@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.llm import repeats
-from qaloom.llm.hashing import _LETTER, text_blocks
+from qaloom.llm.hashing import LETTER_HASHES, text_blocks
 from qaloom.session import materialize
 
 SHAPE = repeats.Shape(window=400, gram=40, grid=192)
@@ -35,7 +35,7 @@ def find_chunks(docs: DataFrame, shape: repeats.Shape, text_col: str) -> DataFra
         for part in parts:
             keys = part.column(0).to_numpy(zero_copy_only=False)
             for at, data, offsets in text_blocks(part.column(1)):
-                row, start, lead, count, core, context = repeats.chunks(_LETTER[data], offsets, shape)
+                row, start, lead, count, core, context = repeats.chunks(LETTER_HASHES[data], offsets, shape)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core.view(np.int64)), pa.array(context.view(np.int64)), pa.array(keys[at + row]), pa.array(start),
                      pa.array(lead.astype(np.int16)), pa.array(count.astype(np.int16))], names=list(repeats.CHUNK_COLUMNS))

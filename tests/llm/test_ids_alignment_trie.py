@@ -80,7 +80,7 @@ def test_id_files(spark, docs, tmp_path, monkeypatch, small):
     if small:
         monkeypatch.setattr(simple8b, "SEGMENT_IDS", 1024)
         monkeypatch.setattr(simple8b, "SEGMENTS_PER_FILE", 2)
-        monkeypatch.setattr(simple8b, "CACHED_WORDS", 50)
+        monkeypatch.setattr(simple8b, "KEPT_PIECES", 50)
     path = str(tmp_path / "ids")
     simple8b.write_ids(docs, path, WORD_JSON, 1, by_word=True, partitions=5)
     got = simple8b.read_ids(spark, path, keep_ids=True).collect()
