@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +62,32 @@ def kept(name: str, make: Callable[[], object]) -> object:
     if name not in holder:
         holder[name] = make()
     return holder[name]
+
+
+def flat_ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges [start, start + size), one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def release_memory() -> None:
+    """Give back what this process holds but no longer uses; workers live on for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
+def released(step: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``step`` of mapInArrow, after which the worker gives its free memory back."""
+
+    @functools.wraps(step)
+    def run(parts):
+        try:
+            yield from step(parts)
+        finally:
+            release_memory()
+
+    return run

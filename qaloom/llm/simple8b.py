@@ -25,15 +25,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import batches, kept
-from qaloom.llm.hashing import BASE, LETTER_HASHES, LOWER, run_hashes, sums, text_blocks
+from qaloom.llm.common import batches, flat_ranges, kept, released
+from qaloom.llm.hashing import LETTER_HASHES, LOWER, run_hashes, sums, text_blocks
 from qaloom.session import checked_broadcast
 
 BLOCK = 1024
 # A multiple of BLOCK.
 SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 96
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 500_000
+BLOCK_BYTES = 1 << 19
 # Marks that no token joins with a letter; the apostrophe can begin a token of letters.
 _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Kinds of bytes: 1 a letter, 2 a mark, 3 a space or line end, 0 anything else.
@@ -41,7 +42,6 @@ _KINDS = np.zeros(256, np.uint8)
 _KINDS[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 1
 _KINDS[list(_MARKS)] = 2
 _KINDS[list(b" \n")] = 3
-_OTHER_BASE = 0xD6E8FEB86659FD93
 MAGIC = b"S8B1\0\0\0\0"
 _HEAD = "<8s5Q"
 
@@ -215,7 +215,7 @@ class WordIds:
 
     For vocabularies that drop white space, fold case, mark ends of words and never join letters with punctuation. Texts are
     cut at spaces and line ends, and between a Latin letter and a mark of ``_MARKS``; all else stays together and
-    is the library's to cut. Pieces are known by two 64-bit hashes. Up to ``KEPT_PIECES`` are kept, those
+    is the library's to cut. Pieces are known by a 64-bit hash and the sum of their bytes' hashes. Up to ``KEPT_PIECES`` are kept, those
     met least lately go first. One object serves a Python worker for all its tasks.
     """
 
@@ -284,11 +284,13 @@ class WordIds:
         ends = marks[np.searchsorted(marks, starts, "right")]
         odd = np.concatenate([[0], np.cumsum(kind != 1)])
         plain = odd[starts] == odd[ends]
-        spelt = data.copy()
-        folded = flat_ranges(starts[plain], (ends - starts)[plain])
-        spelt[folded] = LOWER[spelt[folded]]
+        spelt = LOWER[data]
+        kept_case = flat_ranges(starts[~plain], (ends - starts)[~plain])
+        spelt[kept_case] = data[kept_case]
         letters = LETTER_HASHES[spelt]
-        hashes, others = (run_hashes(sums(letters, base), starts, ends, base) for base in (BASE, _OTHER_BASE))
+        hashes = run_hashes(sums(letters), starts, ends)
+        up_to = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters)])
+        others = up_to[ends] - up_to[starts]
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         for attempt in (0, 1):
             place = np.minimum(np.searchsorted(self._hash, unique), max(len(self._hash) - 1, 0))
@@ -317,7 +319,7 @@ class WordIds:
         whole = np.zeros(len(texts), bool)
         for special in self._special:
             whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
-        for row, data, offsets in text_blocks(texts):
+        for row, data, offsets in text_blocks(texts, BLOCK_BYTES):
             rows = range(row, row + len(offsets) - 1)
             try:
                 ids, first = self._block(data, offsets) if len(data) else (np.zeros(0, np.uint32), offsets)
@@ -331,12 +333,6 @@ class HashClash(Exception):
     """Two pieces of one hash."""
 
 
-def flat_ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """All numbers of the ranges [start, start + size), one after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 def plain_encoder(vocabulary: str) -> Callable:
     import os
 
@@ -397,7 +393,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
         if held:
             yield segment()
 
-    coded = ranged.sortWithinPartitions(*order).select("id", "text").mapInArrow(cut, "segment binary")
+    coded = ranged.sortWithinPartitions(*order).select("id", "text").mapInArrow(released(cut), "segment binary")
     coded.select(F.col("segment").cast("string")).write.option("lineSep", "\n").option("compression", "none").option(
         "maxRecordsPerFile", SEGMENTS_PER_FILE).text(f"{path}/ids")
 
@@ -409,7 +405,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
                 yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=["file", "n_docs", "n_ids"])
 
     # One row a file, so the window is over a table of files.
-    sizes = id_files(docs.sparkSession, path).mapInArrow(count, "file string, n_docs long, n_ids long")
+    sizes = id_files(docs.sparkSession, path).mapInArrow(released(count), "file string, n_docs long, n_ids long")
     numbers = [F.regexp_extract("file", r"part-(\d+)-.*?(?:-c(\d+))?\.[a-z]+$", k) for k in (1, 2)]
     before = Window.orderBy(*[F.coalesce(x.try_cast("long"), F.lit(0)) for x in numbers]).rowsBetween(Window.unboundedPreceding, -1)
     sizes.select("*", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first_id")).write.parquet(f"{path}/files")
@@ -443,7 +439,7 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
                     before += segment.n_ids
 
     wanted = "file string, doc_id long, at long, n_tokens long, ids_crc32 long" + (", ids array<long>" if keep_ids else "")
-    found = id_files(spark, path).mapInArrow(lambda parts: batches(rows(parts), schema), wanted)
+    found = id_files(spark, path).mapInArrow(released(lambda parts: batches(rows(parts), schema)), wanted)
     files = spark.read.schema("file string, n_docs long, n_ids long, first_id long").parquet(f"{path}/files").select("file", "first_id")
     return found.join(checked_broadcast(files), "file").select(
         "doc_id", (F.col("first_id") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if keep_ids else []))
