@@ -16,51 +16,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qaloom.llm.common import flat_ranges, released
 from qaloom.llm.packing import LONG_RUN
 from qaloom.session import materialize
 
 # Texts aligned together, and so the size of a group of the last join; a longer text is a block of its own.
 BLOCK_BYTES = 2 << 20
+FIRST_PROBE = 4
 # Groups of more id pairs than this are counted by distinct ids, and pairs are reduced whenever so many are held.
 WIDE_GROUP = 1 << 10
 HELD_PAIRS = 1 << 22
 
 
-def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Number of tokens of each side before the end of each group: every place where both sides end.
+def irregular_groups(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
+    """Groups that are not one token to one: (first, after last) of ``a``, then of ``b``.
 
     ``a`` and ``b`` are strictly ascending ends with the same last value, or both empty.
     """
-    ends_a: list[int] = []
-    ends_b: list[int] = []
+    found = []
     i = j = 0
-    n, m = len(a), len(b)
+    n = len(a)
     while i < n:
-        # The diagonal: slices of 1, 2, 4, ... ends at the shift j - i.
-        width = 1
-        begin = i
+        # The diagonal: slices of 4, 8, 16, ... ends at the shift j - i.
+        width = FIRST_PROBE
         while i < n:
             ours, theirs = a[i: i + width], b[j: j + width]
-            if ours == theirs:
-                i += len(ours)
-                j += len(ours)
-                width *= 2
-                continue
-            step = 0
-            for x, y in zip(ours, theirs):
-                if x != y:
-                    break
-                step += 1
-            i += step
-            j += step
-            break
-        if i > begin:
-            shift = j - i
-            ends_a.extend(range(begin + 1, i + 1))
-            ends_b.extend(range(begin + 1 + shift, j + 1))
-        if i >= n:
+            if ours != theirs:
+                break
+            i += len(ours)
+            j += len(ours)
+            width *= 2
+        else:
             break
+        for x, y in zip(ours, theirs):
+            if x != y:
+                break
+            i += 1
+            j += 1
         # Off the diagonal: whichever side is behind takes its next token, until both end at one place.
+        first_i, first_j = i, j
         x, y = a[i], b[j]
         while x != y:
             if x < y:
@@ -71,9 +65,19 @@ def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
                 y = b[j]
         i += 1
         j += 1
-        ends_a.append(i)
-        ends_b.append(j)
-    return ends_a, ends_b
+        found.append((first_i, i, first_j, j))
+    return found
+
+
+def group_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of tokens of each side before the end of each group: every place where both sides end."""
+    found = np.array(irregular_groups(a.tolist(), b.tolist()), np.int64).reshape(-1, 4)
+    ends = []
+    for side, (first, after) in zip((a, b), ((found[:, 0], found[:, 1]), (found[:, 2], found[:, 3]))):
+        last = np.ones(len(side), bool)
+        last[flat_ranges(first, after - first - 1)] = False
+        ends.append(np.flatnonzero(last) + 1)
+    return ends[0], ends[1]
 
 
 # --- the two tokenizers -----------------------------------------------------------------------
@@ -96,16 +100,16 @@ class BytePieces:
         for token, rank in merges.items():
             self.pieces[rank] = token
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if not LONG_RUN.search(text):
-            return self._quick.encode_ordinary(" " + text)
+            return self._quick.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
         # Merges of the quicker library are quadratic in a run's length.
         if self._slow is None:
             from tokenizers import Tokenizer
 
             self._slow = Tokenizer.from_file(self._vocabulary)
             self._slow.encode_special_tokens = True
-        return self._slow.encode(" " + text, add_special_tokens=False).ids
+        return np.array(self._slow.encode(" " + text, add_special_tokens=False).ids, np.int64)
 
 
 class SentencePieces:
@@ -119,8 +123,20 @@ class SentencePieces:
         self.pieces = [bytes([int(name[3:5], 16)]) if self._model.is_byte(i) else name.replace("▁", " ").encode()
                        for i, name in enumerate(names)]
 
-    def encode(self, text: str) -> list[int]:
-        return self._model.encode(text, num_threads=1)
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self._model.encode(text, num_threads=1), np.int64)
+
+
+class Pool:
+    """Byte strings end to end; ``take`` joins those of many ids at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(x) for x in strings])
+        self._starts = np.cumsum(self.sizes) - self.sizes
+        self._data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def take(self, ids: np.ndarray) -> bytes:
+        return self._data[flat_ranges(self._starts[ids], self.sizes[ids])].tobytes()
 
 
 # --- blocks of texts --------------------------------------------------------------------------
@@ -169,19 +185,17 @@ def reduced(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return found, np.bincount(place, counts, len(found)).astype(np.int64) if len(found) else counts
 
 
-def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, names: list[str]) -> str:
+def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, names: Pool) -> bytes:
     """``a1,a2|b1;a3|b2``: ids of each group, both sides in order. ``names`` holds id * 3 + separator as text."""
-    n = len(ids_a) + len(ids_b)
     # A token of A stands behind all tokens of earlier groups, one of B also behind its own group's A.
-    of_a = np.repeat(np.arange(len(ends_a)), np.diff(ends_a, prepend=0))
-    of_b = np.repeat(np.arange(len(ends_b)), np.diff(ends_b, prepend=0))
-    before_b = np.concatenate([[0], ends_b[:-1]])
-    codes = np.zeros(n, np.int64)
-    codes[np.arange(len(ids_a)) + before_b[of_a]] = ids_a * 3
-    codes[np.arange(len(ids_b)) + ends_a[of_b]] = ids_b * 3
+    sizes_a, sizes_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+    before_b = ends_b - sizes_b
+    codes = np.zeros(len(ids_a) + len(ids_b), np.int64)
+    codes[np.arange(len(ids_a)) + np.repeat(before_b, sizes_a)] = ids_a * 3
+    codes[np.arange(len(ids_b)) + np.repeat(ends_a, sizes_b)] = ids_b * 3
     codes[ends_a + before_b - 1] += 1
     codes[ends_a + ends_b - 1] += 2
-    return "".join([names[c] for c in codes.tolist()])[:-1]
+    return names.take(codes)[:-1]
 
 
 FIELDS = pa.schema([
@@ -205,8 +219,8 @@ def aligned_rows(docs: DataFrame, vocabulary: str, ranks: str, model: str, id_co
 
         task = TaskContext.get().partitionId()
         first, second = BytePieces(vocabulary, ranks), SentencePieces(model)
-        sizes = [np.array([len(p) for p in side.pieces]) for side in (first, second)]
-        names = [f"{i}{sep}" for i in range(max(map(len, sizes))) for sep in ",|;"]
+        pools = [Pool(side.pieces) for side in (first, second)]
+        names = Pool([f"{i}{sep}".encode() for i in range(max(len(p.sizes) for p in pools)) for sep in ",|;"])
         number = 0
         keys: list[int | None] = []
         texts: list[str] = []
@@ -217,16 +231,13 @@ def aligned_rows(docs: DataFrame, vocabulary: str, ranks: str, model: str, id_co
             rows, pairs = [], []
             for key, text in zip(keys, texts):
                 whole = (" " + text).encode()
-                ids = (first.encode(text), second.encode(text)) if text else ((), ())
-                same = bool(text) and all(b"".join([side.pieces[i] for i in found]) == whole for side, found in zip((first, second), ids))
-                if not same:
+                a, b = (side.encode(text) if text else np.zeros(0, np.int64) for side in (first, second))
+                if not text or any(pool.take(ids) != whole for pool, ids in zip(pools, (a, b))):
                     rows.append((key, 0, 0, 0, 0, ""))
                     pairs.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
                     continue
-                a, b = (np.array(found, np.int64) for found in ids)
-                marks = group_ends(*(np.cumsum(size[x]).tolist() for size, x in zip(sizes, (a, b))))
-                ends_a, ends_b = (np.array(x, np.int64) for x in marks)
-                digest = hashlib.sha256(groups_text(a, b, ends_a, ends_b, names).encode()).hexdigest()
+                ends_a, ends_b = group_ends(*(np.cumsum(pool.sizes[ids]) for pool, ids in zip(pools, (a, b))))
+                digest = hashlib.sha256(groups_text(a, b, ends_a, ends_b, names)).hexdigest()
                 linked, times = link_keys(a, b, ends_a, ends_b)
                 rows.append((key, len(a), len(b), len(ends_a), int(times.sum()), digest))
                 pairs.append((linked, times))
@@ -254,7 +265,7 @@ def aligned_rows(docs: DataFrame, vocabulary: str, ranks: str, model: str, id_co
         if keys:
             yield from block()
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(align, FIELDS_SQL)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(released(align), FIELDS_SQL)
 
 
 def align_documents(docs: DataFrame, vocabulary: str, ranks: str, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -115,7 +115,7 @@ def by_hand(texts):
     for text in texts:
         text = text or ""
         a = slow.encode(" " + text, add_special_tokens=False).ids if text else []
-        b = second.encode(text) if text else []
+        b = second.encode(text).tolist() if text else []
         whole = (" " + text).encode()
         if not text or b"".join(first.pieces[x] for x in a) != whole or b"".join(second.pieces[x] for x in b) != whole:
             info.append((0, 0, 0, ""))
@@ -159,9 +159,9 @@ def test_group_ends(a, b, long):
     a, b = sorted(a | {61}), sorted(b | {61})
     if long:  # a stretch of one-to-one ends on a shifted diagonal
         a, b = a + list(range(62, 200)), b + list(range(62, 200))
-    ends_a, ends_b = alignment.group_ends(a, b)
+    ends_a, ends_b = alignment.group_ends(np.array(a), np.array(b))
     both = sorted(set(a) & set(b))
-    assert ends_a == [a.index(x) + 1 for x in both] and ends_b == [b.index(x) + 1 for x in both]
+    assert ends_a.tolist() == [a.index(x) + 1 for x in both] and ends_b.tolist() == [b.index(x) + 1 for x in both]
 
 
 # --- conversation trie ---
