@@ -64,6 +64,14 @@ def kept(name: str, make: Callable[[], object]) -> object:
     return holder[name]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def flat_ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All numbers of the ranges [start, start + size), one after the other."""
     ends = np.cumsum(sizes)

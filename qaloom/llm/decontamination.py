@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import UPPER
+from qaloom.llm.common import UPPER, free_name
 from qaloom.session import checked_broadcast, materialize
 
 # Everything between words, once A-Z are lower-cased: ASCII other than digits and a-z.
@@ -166,6 +166,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a window of any item; other columns pass through."""
     found = contamination(docs, items, size, id_col, text_col)
-    gone = materialize(found.where("n_hit > 0").select(F.col("key").alias("_row_key")).distinct(), "contaminated")
-    keyed = docs.withColumn("_row_key", F.xxhash64(id_col, text_col))
-    return keyed.join(checked_broadcast(gone), "_row_key", "left_anti").select(docs.columns)
+    name = free_name(docs, "row_key")
+    gone = materialize(found.where("n_hit > 0").select(F.col("key").alias(name)).distinct(), "contaminated")
+    keyed = docs.withColumn(name, F.xxhash64(id_col, text_col))
+    return keyed.join(checked_broadcast(gone), name, "left_anti").select(docs.columns)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from qaloom.llm.components import components
 from qaloom.llm.hashing import mix, shingle_hashes, text_blocks, words_in
+from qaloom.llm.common import free_name, released
 from qaloom.session import checked_broadcast, materialize
 
 # A column with more rows than this is frequent: it comes last in the order of columns.
@@ -25,6 +26,8 @@ FREQUENT = 64
 MOST_FREQUENT_COLUMNS = 500_000
 # Rows of a block of the product, columns of a column block, and rows of a family that is multiplied whole.
 BLOCK_ROWS, COLUMN_BLOCK, MOST_FAMILY = 512, 1024, 8192
+# N-grams of a block of rows, on average: long texts make blocks of fewer rows.
+BLOCK_GRAMS = 1 << 19
 # Min-hash keys of a row; rows sharing two with a common leader are tried against it first.
 KEYS = 6
 
@@ -68,7 +71,7 @@ def frequent_columns(docs: DataFrame, size: int, percent: int, text_col: str) ->
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grams[place < np.repeat(_share(percent, n), n)].view(np.int64))], names=["gram"])
 
-    counts = (docs.select(text_col).mapInArrow(prefixes, "gram long").groupBy("gram").agg(F.count("*").alias("n"))
+    counts = (docs.select(text_col).mapInArrow(released(prefixes), "gram long").groupBy("gram").agg(F.count("*").alias("n"))
               .where(F.col("n") > FREQUENT))
     counts = materialize(counts, "frequent")
     limit = FREQUENT
@@ -112,7 +115,7 @@ def incidence(docs: DataFrame, frequent: np.ndarray, size: int, percent: int, id
 
     key = F.xxhash64(F.col(id_col), F.col(text_col)).alias("key")
     return docs.select(key, F.col(id_col).cast("long"), text_col).mapInArrow(
-        rows, "key long, id long, row long, check long, n long, prefix array<long>, keys array<long>")
+        released(rows), "key long, id long, row long, check long, n long, prefix array<long>, keys array<long>")
 
 
 def full_rows(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -126,7 +129,7 @@ def full_rows(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_c
 
     texts = docs.withColumn("key", F.xxhash64(F.col(id_col), F.col(text_col))).select("key", F.col(text_col).alias("_text"))
     found = texts.join(checked_broadcast(wanted), "key").select("row", "_text")
-    return found.mapInArrow(whole, "row long, grams array<long>")
+    return found.mapInArrow(released(whole), "row long, grams array<long>")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, rows: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -205,8 +208,8 @@ def family_links(docs: DataFrame, rows: DataFrame, columns: DataFrame, family: D
                  id_col: str, text_col: str) -> DataFrame:
     """Links ``a, b`` inside families: whole rows, multiplied block of rows by block of rows.
 
-    A family is cut into blocks of BLOCK_ROWS rows and every pair of blocks is one task of bounded
-    size. A family too large for that falls back to its long columns, one by one; its pairs without
+    A family is cut into blocks of BLOCK_ROWS rows or BLOCK_GRAMS n-grams, whichever is less, and every pair of
+    blocks is one group of bounded size. A family too large for that falls back to its long columns, one by one; its pairs without
     a shared long column are left to ``prefix_pairs``. Of each product only
     links that join what is not joined yet are given: a spanning forest.
     """
@@ -214,7 +217,8 @@ def family_links(docs: DataFrame, rows: DataFrame, columns: DataFrame, family: D
     apart = (columns.where(F.col("m") > FREQUENT).join(family.where("NOT whole").select("row"), "row")
              .select(F.xxhash64("gram").alias("unit"), "row"))
     units = materialize(whole.unionByName(apart), "units")
-    cuts = units.groupBy("unit").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("cuts"))
+    sizes = units.join(rows.select("row", "n"), "row")
+    cuts = sizes.groupBy("unit").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)), F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("cuts"))
     cut = units.join(cuts, "unit").withColumn("own", F.pmod(F.xxhash64("row"), F.col("cuts").cast("long")).cast("int"))
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).select(
         "row", "unit", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
@@ -332,9 +336,10 @@ def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str =
     found = materialize(jaccard_components(docs, size, percent, id_col, text_col), "components")
     gone = found.where("key <> kept_key").select("key").distinct()
     again = found.where("key = kept_key AND n_shingles > 0").groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key")
-    keyed = docs.withColumn("_row_key", F.xxhash64(id_col, text_col))
-    stay = keyed.join(checked_broadcast(materialize(gone.toDF("_row_key"), "gone")), "_row_key", "left_anti")
-    again = checked_broadcast(materialize(again.toDF("_row_key"), "again"))
-    single = stay.join(again, "_row_key", "left_anti")
-    repeated = stay.join(again, "_row_key", "left_semi").dropDuplicates(["_row_key"])
+    name = free_name(docs, "row_key")
+    keyed = docs.withColumn(name, F.xxhash64(id_col, text_col))
+    stay = keyed.join(checked_broadcast(materialize(gone.toDF(name), "gone")), name, "left_anti")
+    again = checked_broadcast(materialize(again.toDF(name), "again"))
+    single = stay.join(again, name, "left_anti")
+    repeated = stay.join(again, name, "left_semi").dropDuplicates([name])
     return single.unionByName(repeated).select(docs.columns)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from qaloom.llm.common import released
 from qaloom.session import materialize
 
 MAX_TOKENS = 2048
@@ -45,15 +46,17 @@ def encoder(vocabulary: str, ranks: str | None = None):
     quicker library, which gives the same ids (tests compare them). Texts with the special
     token's string or with very long runs go through ``tokenizers`` in any case.
     """
-    import os
+    loaded = []
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    def encode_slow(text: str) -> list[int]:
+        if not loaded:  # only where a text needs it
+            import os
 
-    slow = Tokenizer.from_file(vocabulary)
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
 
-    def encode_slow(text: str) -> list[int]:
-        return slow.encode(text, add_special_tokens=False).ids
+            loaded.append(Tokenizer.from_file(vocabulary))
+        return loaded[0].encode(text, add_special_tokens=False).ids
 
     if not ranks:
         return encode_slow
@@ -103,7 +106,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, max_t
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
 
     wanted = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(cut, wanted)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(released(cut), wanted)
 
 
 # --- planning: driver work of a fixed size ----------------------------------------------------

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qaloom.llm.common import free_name, release_memory, released
 from qaloom.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -24,6 +25,8 @@ CUE = re.compile(r"[0-9@]")
 WINDOW, STRIDE = 64, 32
 # Training windows, smallest hashes first: with spans, and without.
 MOST_POSITIVE, MOST_NEGATIVE = 2400, 1200
+# Windows decoded together: some 10 MB of arrays.
+DECODED = 256
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -132,12 +135,12 @@ class Tagger:
             p["c" + side] = np.concatenate([np.zeros(hidden), np.ones(hidden), np.zeros(2 * hidden)])
         return Tagger({k: v.astype(np.float32) for k, v in p.items()}, hidden)
 
-    def read(self, x: np.ndarray, side: str) -> dict:
-        """LSTM over time-major embeddings ``x`` (steps, rows, embed); keeps what training needs."""
+    def read(self, x: np.ndarray, side: str, keep: bool = True) -> dict:
+        """LSTM over time-major embeddings ``x`` (steps, rows, embed); keeps what training needs, or the outputs only."""
         h, steps, rows = self.hidden, *x.shape[:2]
         pre = x @ self.p["W" + side] + self.p["c" + side]
         state, cell = np.zeros((rows, h), np.float32), np.zeros((rows, h), np.float32)
-        kept = {k: np.zeros((steps, rows, w), np.float32) for k, w in (("gates", 4 * h), ("cell", h), ("tanh", h), ("out", h))}
+        kept = {k: np.zeros((steps, rows, w), np.float32) for k, w in (("gates", 4 * h), ("cell", h), ("tanh", h), ("out", h)) if keep or k == "out"}
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
             z = pre[t] + state @ self.p["U" + side]
             z[:, : 3 * h] = _sigmoid(z[:, : 3 * h])
@@ -145,12 +148,14 @@ class Tagger:
             cell = z[:, h: 2 * h] * cell + z[:, :h] * z[:, 3 * h:]
             squashed = np.tanh(cell)
             state = z[:, 2 * h: 3 * h] * squashed
-            kept["gates"][t], kept["cell"][t], kept["tanh"][t], kept["out"][t] = z, cell, squashed, state
+            kept["out"][t] = state
+            if keep:
+                kept["gates"][t], kept["cell"][t], kept["tanh"][t] = z, cell, squashed
         return kept
 
-    def emissions(self, codes: np.ndarray) -> tuple[np.ndarray, dict]:
+    def emissions(self, codes: np.ndarray, keep: bool = True) -> tuple[np.ndarray, dict]:
         x = self.p["E"][codes.T]
-        sides = {s: self.read(x, s) for s in "fb"}
+        sides = {s: self.read(x, s, keep) for s in "fb"}
         both = np.concatenate([sides["f"]["out"], sides["b"]["out"]], -1)
         return both @ self.p["O"] + self.p["o"], {"x": x, "both": both, **sides}
 
@@ -212,7 +217,7 @@ class Tagger:
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         """Best tag sequence of each window (Viterbi)."""
-        scores, _ = self.emissions(codes)
+        scores, _ = self.emissions(codes, keep=False)
         steps, rows = scores.shape[:2]
         back, best = np.zeros(scores.shape, np.int8), scores[0]
         for t in range(1, steps):
@@ -309,7 +314,7 @@ def labelled_windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 tags += [row.astype(np.uint8).tobytes() for row in window_codes(labels.astype(np.int16), numbers)]
             yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary()), pa.array(tags, pa.binary())], schema=schema)
 
-    return docs.select(text_col).mapInArrow(cut, "codes binary, tags binary")
+    return docs.select(text_col).mapInArrow(released(cut), "codes binary, tags binary")
 
 
 def fit(docs: DataFrame, text_col: str = "text", positive: int = MOST_POSITIVE, negative: int = MOST_NEGATIVE) -> Tagger | None:
@@ -348,7 +353,7 @@ def find_spans(docs: DataFrame, model: Tagger | None, text_col: str = "text", na
                 queue.append(window_codes(points, numbers))
             held.append((text, numbers))
         every = np.concatenate(queue) if queue else np.zeros((0, WINDOW), np.int16)
-        decoded = [model.decode(every[k: k + 2048]) for k in range(0, len(every), 2048)]
+        decoded = [model.decode(every[k: k + DECODED]) for k in range(0, len(every), DECODED)]
         decoded = np.concatenate(decoded) if decoded else np.zeros((0, WINDOW), np.int8)
         rows, at = [], 0
         for text, numbers in held:
@@ -359,6 +364,7 @@ def find_spans(docs: DataFrame, model: Tagger | None, text_col: str = "text", na
                 added, at = model_spans(text, tags), at + len(numbers)
             known = set(base)
             rows.append([{"kind": k, "start": s, "end": e, "base": (k, s, e) in known} for k, s, e in all_spans(text, base, added)])
+        release_memory()
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
         return pa.array(rows, kind)
 
@@ -367,7 +373,8 @@ def find_spans(docs: DataFrame, model: Tagger | None, text_col: str = "text", na
 
 def redact(docs: DataFrame, model: Tagger | None, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets. Null texts stay null; clean texts stay as they are."""
-    marked = find_spans(docs, model, text_col, "_spans")
+    name = free_name(docs, "found_spans")
+    marked = find_spans(docs, model, text_col, name)
 
     @F.arrow_udf("string")
     def cover(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -381,4 +388,4 @@ def redact(docs: DataFrame, model: Tagger | None, text_col: str = "text") -> Dat
             out.append(text if not pieces else "".join(pieces) + text[end:])
         return pa.array(out, pa.string())
 
-    return marked.withColumn(text_col, cover(F.col(text_col), F.col("_spans"))).drop("_spans")
+    return marked.withColumn(text_col, cover(F.col(text_col), F.col(name))).drop(name)

@@ -19,7 +19,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import held_out
+from qaloom.llm.common import held_out, released
 from qaloom.session import materialize
 
 # Labelled rows (smallest id hashes first) that lexicons and the classifier are fitted on.
@@ -189,7 +189,7 @@ def telling_terms(sample: DataFrame, bad: int, total: int, least: int = 4, chi_s
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([label] * len(found), pa.int64())], names=["term", "toxic"])
 
     rate = min(max(bad / max(total, 1), 1e-6), 1 - 1e-6)
-    counts = (sample.select("text", F.col("label").cast("long")).mapInArrow(terms, "term string, toxic long")
+    counts = (sample.select("text", F.col("label").cast("long")).mapInArrow(released(terms), "term string, toxic long")
               .groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
               .where(F.col("n") >= least)
               .where(F.pow(F.col("toxic") - F.col("n") * rate, 2) > F.col("n") * (chi_square * rate * (1 - rate))))
@@ -209,7 +209,7 @@ def sample_features(sample: DataFrame, voters: Voters, index: dict[str, int]) ->
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(votes, pa.int64()), pa.array(columns, pa.list_(pa.int32()))],
                                              names=["id", "votes", "columns"])
 
-    found = sample.select("id", "text").mapInArrow(features, "id long, votes long, columns array<int>").orderBy("id").toArrow()
+    found = sample.select("id", "text").mapInArrow(released(features), "id long, votes long, columns array<int>").orderBy("id").toArrow()
     columns = found.column("columns").combine_chunks()
     sizes = pa.compute.list_value_length(columns).to_numpy(zero_copy_only=False)
     return (found.column("votes").to_numpy(), np.repeat(np.arange(len(sizes)), sizes),
@@ -234,7 +234,7 @@ def count_votes(docs: DataFrame, voters: Voters, text_col: str) -> tuple[float,
         cells = np.append(joint.ravel(), n)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cells))), pa.array(cells)], names=["cell", "n"])
 
-    sums = docs.select(text_col).mapInArrow(partial, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    sums = docs.select(text_col).mapInArrow(released(partial), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     cells = np.zeros(v * v + 1)
     for r in sums:
         cells[r["cell"]] = r["n"]
