@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.llm import decontamination, jaccard, packing, pii, toxicity
-from qaloom.llm.common import small_batches, table
+from qaloom.llm.common import free_name, small_batches, table
 from qaloom.session import materialize
 
 
@@ -20,7 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored under 0.5, unchanged. Labels of fold 0 are not learnt from."""
     small_batches(spark)
     classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_texts(docs, classifier, name="_score").where(F.col("_score") < 0.5).select(docs.columns)
+    score = free_name(docs, "score")
+    return toxicity.score_texts(docs, classifier, name=score).where(F.col(score) < 0.5).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
