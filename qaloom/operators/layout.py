@@ -6,13 +6,20 @@ block in reading order ``ord``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.functions.text import has_text, let
+from qaloom.functions.text import has_text
+from qaloom.session import positions
 
 PAGE_BUCKET = 64
-IMAGES_PER_SPLIT = 256
+# Blocks that stand together when a page is spread, and over how many parts it is.
+STRETCH, WINDOW_SALTS = 256, 16
+# Characters of a text that the automaton holds; the rest is compared where they occur.
+KEY_CHARS = 64
 
 # Characters that cannot occur in markdown stand in for image links while they are replaced.
 _OPEN, _CLOSE = "\u0001", "\u0002"
@@ -58,68 +65,123 @@ def block_texts() -> Column:
     )
 
 
-def page_window(blocks: DataFrame) -> DataFrame:
-    """Per image, the texts of the blocks on its page and the two beside it, in reading order.
+def window_pieces(blocks: DataFrame) -> DataFrame:
+    """``doc, page, ord, sub, text``: what stands on each page that has an image and on the pages beside it.
 
-    Blocks are gathered once per page and images meet at most three gathered pages, instead of
-    pairing every image with every block near it. Keys are (doc, page), never the document alone.
+    The window of an image is that of its page: the rows of (doc, page) by (ord, sub). A block is copied to
+    the at most three windows it is in, and nothing is gathered. Rows meet the pages with images on (doc, page, salt),
+    so a page with a third of all blocks is spread.
     """
-    pages = (
+    salt = F.expr(f"cast(pmod(ord div {STRETCH}, {WINDOW_SALTS}) as int)")
+    pieces = (
         blocks.filter((F.col("type") == "image") | F.col("text").isNotNull())
-        .groupBy("doc", "page_idx")
-        .agg(F.collect_list(F.struct("ord", block_texts().alias("texts"))).alias("_blocks"))
-        .withColumnRenamed("page_idx", "_page")
-    )
-    images = blocks.filter("type = 'image'").select(
-        "doc", "ord", "img_path", "img_caption", "page_idx",
-        F.explode(F.sequence(F.greatest(F.col("page_idx") - 1, F.lit(0)), F.col("page_idx") + 1)).alias("_page"),
+        .filter("page_idx >= 0")
+        .select("doc", "ord", "page_idx", salt.alias("_salt"), F.posexplode(block_texts()).alias("sub", "text"))
+        .withColumn("page", F.explode(F.sequence(F.col("page_idx") - 1, F.col("page_idx") + 1)))
     )
-    near = images.join(pages, ["doc", "_page"]).groupBy("doc", "ord").agg(
-        F.any_value("img_path").alias("img_path"),
-        F.any_value("img_caption").alias("img_caption"),
-        F.any_value("page_idx").alias("page_idx"),
-        F.collect_list("_blocks").alias("_pages"),
-    )
-    ordered = F.sort_array(F.flatten("_pages"))
-    return near.withColumn("blocks", F.flatten(F.transform(ordered, lambda b: b["texts"]))).drop("_pages")
+    pages = blocks.filter("type = 'image'").select("doc", F.col("page_idx").alias("page")).distinct()
+    salted = pages.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(WINDOW_SALTS - 1))))
+    return pieces.join(salted, ["doc", "page", "_salt"], "left_semi").select("doc", "page", "ord", "sub", "text")
+
+
+def page_window(blocks: DataFrame) -> DataFrame:
+    """Per image, the texts of the blocks on its page and the two beside it, in reading order.
+
+    The view with one row an image on ``window_pieces``: a window is put together once per page, and all images of
+    the page take it from there.
+    """
+    in_order = F.sort_array(F.collect_list(F.struct("ord", "sub", "text")))
+    windows = window_pieces(blocks).groupBy("doc", "page").agg(F.transform(in_order, lambda p: p["text"]).alias("blocks"))
+    images = blocks.filter("type = 'image'").select("doc", "ord", "img_path", "img_caption", "page_idx")
+    return images.join(windows.withColumnRenamed("page", "page_idx"), ["doc", "page_idx"]).select(
+        "doc", "ord", "img_path", "img_caption", "page_idx", "blocks")
+
+
+def page_slices(markdown: str, pieces: list[tuple[int, str]], pages: list[int]) -> list[str]:
+    """For each page, the stretch of ``markdown`` that the pieces (page, text) in its window span.
+
+    All places are found in two passes over the markdown with one automaton, whatever the number of pages: first
+    places, which fix where windows start, then the places at or behind a start that the first one precedes.
+    """
+    import ahocorasick
+
+    texts: dict[str, int] = {}
+    by_page: dict[int, list[int]] = {}
+    for n, (page, _) in enumerate(pieces):
+        by_page.setdefault(page, []).append(n)
+    number = [texts.setdefault(t, len(texts)) if t else -1 for _, t in pieces]
+    names = list(texts)
+
+    def places(wanted: list[int]):
+        """(text, place) of every occurrence of the texts, by the end of their first KEY_CHARS characters."""
+        keys: dict[str, list[int]] = {}
+        for k in wanted:
+            keys.setdefault(names[k][:KEY_CHARS], []).append(k)
+        automaton = ahocorasick.Automaton()
+        for key, found in keys.items():
+            automaton.add_word(key, (len(key), found))
+        if keys and markdown:
+            automaton.make_automaton()
+            for end, (size, found) in automaton.iter(markdown):
+                place = end + 1 - size
+                for k in found:
+                    if len(names[k]) <= size or markdown.startswith(names[k], place):
+                        yield k, place
+
+    first = [-1] * len(names)
+    for k, place in places(list(range(len(names)))):
+        if first[k] < 0 or place < first[k]:
+            first[k] = place
+    starts, ends, waiting = [], [], {}
+    for n, page in enumerate(pages):
+        window = sorted(x for p in range(max(page - 1, 0), page + 2) for x in by_page.get(p, ()))
+        used = list(dict.fromkeys(number[x] for x in window if number[x] >= 0 and first[number[x]] >= 0))
+        starts.append(first[used[0]] if used else 0)
+        ends.append(0)
+        for k in used:
+            if first[k] >= starts[n]:
+                ends[n] = max(ends[n], first[k] + len(names[k]))
+            else:
+                waiting.setdefault(k, []).append((starts[n], n))
+    for asked in waiting.values():
+        asked.sort(reverse=True)
+    for k, place in places(list(waiting)):
+        asked = waiting[k]
+        while asked and asked[-1][0] <= place:
+            n = asked.pop()[1]
+            ends[n] = max(ends[n], place + len(names[k]))
+    return [markdown[a:b] for a, b in zip(starts, ends)]
 
 
 def markdown_slice(blocks: DataFrame, markdown: DataFrame) -> DataFrame:
-    """Per image window, the stretch of the document's markdown its blocks span.
+    """Per image, the stretch of the document's markdown that the blocks in its window span, as ``md_content``.
 
     It runs from the first window block found in ``markdown`` (``doc, markdown``) to the
-    furthest end of any block found from there on; '' when none is found. A document with many
-    images is joined in splits of its images, each with its own copy of the markdown row, so
-    no task gets all of them.
+    furthest end of any block found from there on; '' when none is found. Windows are those of ``page_window``,
+    one a page. A document's blocks come together once, beside its markdown, which is one cell already and as
+    large; the work is linear in its length and does not grow with the number of images.
     """
-    windows = page_window(blocks)
-    split = F.expr(f"ord div {IMAGES_PER_SPLIT}")
-    copies = (
-        blocks.filter("type = 'image'")
-        .groupBy("doc")
-        .agg(F.max(split).alias("_last"))
-        .select("doc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last").cast("bigint"))).alias("_split"))
-    )
-    texts = markdown.join(copies, "doc")
-    joined = windows.withColumn("_split", split.cast("bigint")).join(texts, ["doc", "_split"], "left")
-
-    used = F.filter("blocks", lambda b: F.length(b) > 0)
-    md = F.coalesce("markdown", F.lit(""))
-    # The place of the first block that occurs; later blocks are not searched for.
-    start = F.aggregate(used, F.lit(0), lambda at, b: F.when(at > 0, at).otherwise(F.position(b, md)))
-
-    def furthest(rest: Column) -> Column:
-        ends = F.transform(
-            used,
-            lambda b: let(F.position(b, rest), lambda at: F.when(at > 0, at - 1 + F.char_length(b)).otherwise(0)),
-        )
-        return F.left(rest, F.array_max(ends))
-
-    context = let(
-        start,
-        lambda at: F.when(at > 0, let(F.substr(md, at), furthest)).otherwise(F.lit("")),
-    )
-    return joined.withColumn("md_content", context).drop("_split", "markdown")
+    held = blocks.filter((F.col("type") == "image") | F.col("text").isNotNull()).select(
+        "doc", F.struct("ord", "page_idx", block_texts().alias("texts"), (F.col("type") == "image").alias("image")).alias("_block"))
+    gathered = held.groupBy("doc").agg(F.sort_array(F.collect_list("_block")).alias("blocks")).filter(
+        F.exists("blocks", lambda b: b["image"])).join(markdown.select("doc", "markdown"), "doc")
+    kind = blocks.schema["doc"].dataType.simpleString()
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for row in range(part.num_rows):
+                one = part.slice(row, 1)
+                found = one.column("blocks")[0].as_py()
+                pieces = [(b["page_idx"], t) for b in found if b["page_idx"] is not None for t in b["texts"] or ()]
+                pages = sorted({b["page_idx"] for b in found if b["image"] and b["page_idx"] is not None})
+                slices = page_slices(one.column("markdown")[0].as_py() or "", pieces, pages)
+                docs = one.column("doc").take(pa.array([0] * len(pages)))
+                yield pa.RecordBatch.from_arrays([docs, pa.array(pages, pa.int32()), pa.array(slices, pa.string())], names=["doc", "page_idx", "md_content"])
+
+    slices = gathered.select("doc", "blocks", "markdown").mapInArrow(cut, f"doc {kind}, page_idx int, md_content string")
+    images = blocks.filter("type = 'image' AND page_idx IS NOT NULL").select("doc", "ord", "img_path", "img_caption", "page_idx")
+    return images.join(slices, ["doc", "page_idx"], "left").select(
+        "doc", "ord", "img_path", "img_caption", "page_idx", F.coalesce("md_content", F.lit("")).alias("md_content"))
 
 
 def mark_images(df: DataFrame, col: str = "md_content", path: str = "img_path") -> DataFrame:
@@ -143,8 +205,8 @@ def figure_span(blocks: DataFrame) -> DataFrame:
     )
 
 
-def pages_to_markdown(pages: DataFrame) -> DataFrame:
-    """Documents as markdown, one row each, from page rows (``doc, page_num, text, images``)."""
+def _page_texts(pages: DataFrame) -> DataFrame:
+    """``doc, page_num, text``: each page as markdown."""
     heading = F.concat(F.lit("## Page "), F.col("page_num").cast("string"), F.lit("\n"))
     body = F.when(has_text(F.coalesce(F.col("text"), F.lit(""))), F.array("text", F.lit("\n"))).otherwise(
         F.array().cast("array<string>")
@@ -153,12 +215,29 @@ def pages_to_markdown(pages: DataFrame) -> DataFrame:
         F.coalesce("images", F.array().cast("array<string>")),
         lambda i: F.concat(F.lit("![Image](< image >) <!-- "), i, F.lit(" -->\n")),
     )
-    page_text = F.array_join(F.flatten(F.array(F.array(heading), body, links)), "\n")
+    return pages.select("doc", "page_num", F.array_join(F.flatten(F.array(F.array(heading), body, links)), "\n").alias("text"))
+
+
+def _title(doc: str = "doc") -> Column:
+    return F.concat(F.lit("# "), F.col(doc).cast("string"), F.lit("\n\n"))
+
+
+def page_markdown(pages: DataFrame) -> DataFrame:
+    """``doc, page_num, text, at``: the pages of ``pages_to_markdown`` with the characters before each, title included.
+
+    The long form, for documents whose markdown should not sit in one cell; rows are never gathered by document.
+    """
+    placed = positions(_page_texts(pages), "doc", "page_num", "text", at=F.char_length("text") + 1)
+    return placed.withColumn("at", F.col("at") + F.char_length(_title()))
+
+
+def pages_to_markdown(pages: DataFrame) -> DataFrame:
+    """Documents as markdown, one row each, from page rows (``doc, page_num, text, images``)."""
     return (
-        pages.select("doc", "page_num", page_text.alias("_page"))
+        _page_texts(pages)
         .groupBy("doc")
-        .agg(F.expr("listagg(_page, '\n') WITHIN GROUP (ORDER BY page_num)").alias("_body"))
-        .select("doc", F.concat(F.lit("# "), F.col("doc").cast("string"), F.lit("\n\n"), "_body").alias("markdown"))
+        .agg(F.expr("listagg(text, '\n') WITHIN GROUP (ORDER BY page_num)").alias("_body"))
+        .select("doc", F.concat(_title(), "_body").alias("markdown"))
     )
 
 

@@ -1,7 +1,8 @@
-"""Put the replies of one source's chunks together again: one row per source, whatever its size.
+"""Put the replies of one source's chunks together again.
 
-``chunk_values`` is the long form, one row per source and distinct value, for sources whose merged
-lists should not sit in one row.
+Long forms hold a row per piece, so a source may be of any size: ``chunk_texts`` (pieces with their
+place in the merged text), ``chunk_values`` (distinct values with their first place) and ``chunk_items`` (all items in
+order). ``merge_chunk_text`` and ``merge_chunk_knowledge`` are the views with one row per source on top.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.session import checked_broadcast, materialize
+from qaloom.session import checked_broadcast, materialize, positions
 
 PAIR = "question string, answer string, question_type string, difficulty string, reasoning string"
 KNOWLEDGE_LISTS = ("key_concepts", "materials", "parameters", "methods")
@@ -18,21 +19,33 @@ _PATHS = ("key_concepts", "technical_details.materials", "technical_details.para
 _POSITION_BITS = 32
 
 
+def _chunk_pieces(df: DataFrame) -> DataFrame:
+    return df.filter("source_file IS NOT NULL").select(
+        "source_file",
+        F.coalesce("chunk_index", F.lit(0)).alias("chunk_index"),
+        F.coalesce("content", F.lit("")).alias("content"),
+        F.coalesce("text_content", F.lit("")).alias("text_content"),
+    )
+
+
+def chunk_texts(df: DataFrame) -> DataFrame:
+    """``source_file, chunk_index, content, content_at, text_content, text_at``: the pieces of ``merge_chunk_text``.
+
+    ``content_at`` and ``text_at`` are the characters before the piece in the source's merged content and
+    text, separators counted, so any stretch of a merged text is found by range without
+    building it. Rows are never gathered by source; pieces of one chunk_index stand in the order of their texts.
+    """
+    return positions(
+        _chunk_pieces(df), "source_file", "chunk_index", "content", "text_content",
+        content_at=F.char_length("content") + 2, text_at=F.char_length("text_content") + 1,
+    )
+
+
 def merge_chunk_text(df: DataFrame) -> DataFrame:
     """Per source: reply contents joined by a blank line, texts by a newline, in chunk order."""
-    return (
-        df.filter("source_file IS NOT NULL")
-        .select(
-            "source_file",
-            F.coalesce("chunk_index", F.lit(0)).alias("_i"),
-            F.coalesce("content", F.lit("")).alias("_content"),
-            F.coalesce("text_content", F.lit("")).alias("_text"),
-        )
-        .groupBy("source_file")
-        .agg(
-            F.expr("listagg(_content, '\n\n') WITHIN GROUP (ORDER BY _i)").alias("content"),
-            F.expr("listagg(_text, '\n') WITHIN GROUP (ORDER BY _i)").alias("full_text"),
-        )
+    return _chunk_pieces(df).groupBy("source_file").agg(
+        F.expr("listagg(content, '\n\n') WITHIN GROUP (ORDER BY chunk_index)").alias("content"),
+        F.expr("listagg(text_content, '\n') WITHIN GROUP (ORDER BY chunk_index)").alias("full_text"),
     )
 
 
@@ -52,10 +65,9 @@ def chunk_values(df: DataFrame) -> DataFrame:
     """
 
     def tag(name: str, path: str) -> Column:
-        at = F.shiftleft(F.coalesce("chunk_index", F.lit(0)).cast("bigint"), _POSITION_BITS)
         return F.transform(
             _list(path),
-            lambda v, i: F.struct(F.lit(name).alias("list"), v.alias("value"), (at + i).alias("position")),
+            lambda v, i: F.struct(F.lit(name).alias("list"), v.alias("value"), _place(i).alias("position")),
         )
 
     tagged = F.flatten(F.array(*[tag(n, p) for n, p in zip(KNOWLEDGE_LISTS, _PATHS)]))
@@ -68,35 +80,55 @@ def chunk_values(df: DataFrame) -> DataFrame:
     )
 
 
+def _place(i: Column) -> Column:
+    return F.shiftleft(F.coalesce("chunk_index", F.lit(0)).cast("bigint"), _POSITION_BITS) + i
+
+
+def chunk_items(df: DataFrame, col: str) -> DataFrame:
+    """``source_file, position, value``: every item of the array ``col`` of multi-chunk sources, in chunk order by ``position``."""
+    return df.filter(_chunked()).select("source_file", "chunk_index", F.posexplode(col).alias("_i", "value")).select(
+        "source_file", _place(F.col("_i")).alias("position"), "value")
+
+
 def merge_chunk_knowledge(df: DataFrame) -> DataFrame:
     """Merge knowledge records of multi-chunk sources; single-chunk records pass through.
 
     QA pairs and findings are concatenated in chunk order; concepts, materials, parameters and
     methods are too and keep their first occurrence. Records that pass through are not shuffled
     and keep their further columns (chunk position, text), which are NULL on merged rows.
+
+    The row of a source is a view on the long forms: of the four lists only distinct values, reduced where they
+    are, come together; no record is gathered. Items of equal chunk_index stand by their place in the record.
     """
     known = ("source_file", "qa_pairs", "key_concepts", "technical_details", "main_findings")
     others = [c for c in df.columns if c not in known]
-    flat = df.select(
+    pairs = df.schema["qa_pairs"].dataType
+    single = df.filter(~_chunked()).select(
         "source_file",
-        *others,
-        F.coalesce("qa_pairs", F.array().cast(df.schema["qa_pairs"].dataType)).alias("qa_pairs"),
+        F.coalesce("qa_pairs", F.array().cast(pairs)).alias("qa_pairs"),
         *[_list(path).alias(name) for name, path in zip(KNOWLEDGE_LISTS, _PATHS)],
         _list("main_findings").alias("main_findings"),
-        _chunked().alias("_chunked"),
-    )
-    fields = ["qa_pairs", *KNOWLEDGE_LISTS, "main_findings"]
-    gathered = (
-        flat.filter("_chunked")
-        .groupBy("source_file")
-        .agg(F.sort_array(F.collect_list(F.struct("chunk_index", *fields))).alias("_chunks"))
+        *others,
     )
-    joined = {name: F.flatten(f"_chunks.{name}") for name in fields}
-    merged = gathered.select(
-        "source_file",
-        *[(F.array_distinct(c) if name in KNOWLEDGE_LISTS else c).alias(name) for name, c in joined.items()],
+
+    def wire(kind: Column, position: Column, value: Column, pair: Column) -> list[Column]:
+        return [F.col("source_file"), kind.alias("kind"), position.cast("bigint").alias("position"), value.cast("string").alias("value"),
+                pair.cast(pairs.elementType).alias("pair")]
+
+    none, at, value = F.lit(None), F.col("position"), F.col("value")
+    parts = (
+        chunk_values(df).select(*wire(F.col("list"), at, value, none))
+        .unionByName(chunk_items(df, "main_findings").select(*wire(F.lit("main_findings"), at, value, none)))
+        .unionByName(chunk_items(df, "qa_pairs").select(*wire(F.lit("qa_pairs"), at, none, value)))
+        .unionByName(df.filter(_chunked()).select("source_file").distinct().select(*wire(F.lit("source"), F.lit(0), none, none)))
     )
-    single = flat.filter(~F.col("_chunked")).select("source_file", *fields, *others)
+
+    def gathered(name: str, field: str) -> Column:
+        held = F.sort_array(F.collect_list(F.when(F.col("kind") == name, F.struct("position", field))))
+        return F.transform(held, lambda x: x[field]).alias(name)
+
+    merged = parts.groupBy("source_file").agg(
+        gathered("qa_pairs", "pair"), *[gathered(name, "value") for name in (*KNOWLEDGE_LISTS, "main_findings")])
     return single.unionByName(merged, allowMissingColumns=True).select(
         "source_file",
         "qa_pairs",

@@ -148,6 +148,16 @@ def page_window(spark, sf_dir):
     )
 
 
+@query(
+    "window_pieces",
+    f"""WITH {WINDOW_SQL}, shown AS (SELECT DISTINCT doc, page_idx AS page FROM blocks WHERE type = 'image')
+    SELECT s.doc, s.page, p.ord, p.sub, md5(p.t) AS text_md5 FROM shown s JOIN pieces p
+    ON p.doc = s.doc AND p.page_idx BETWEEN greatest(s.page - 1, 0) AND s.page + 1""",
+)
+def window_pieces(spark, sf_dir):
+    return layout.window_pieces(blocks(spark, sf_dir)).select("doc", "page", "ord", "sub", F.md5("text").alias("text_md5"))
+
+
 SLICE_SQL = f"""{WINDOW_SQL}, {MARKDOWN_SQL},
 placed AS (
   SELECT p.*, m.markdown, strpos(m.markdown, p.t) AS pos FROM pairs p JOIN markdown m USING (doc) WHERE length(p.t) > 0
@@ -198,6 +208,19 @@ def sample_documents(spark, sf_dir):
     return prepare.sample_documents(documents(spark, sf_dir).select("doc_id", "source"), 100, "doc_id", seed="7")
 
 
+@query(
+    "page_markdown",
+    rf"""WITH {PAGEDOCS_SQL}, pieces AS (
+      SELECT doc, page_num, '## Page ' || page_num || chr(10) || CASE WHEN regexp_matches(text, '\S') THEN chr(10) || text || chr(10) || chr(10) ELSE '' END
+        || coalesce(array_to_string(list_transform(images, lambda i: chr(10) || '![Image](< image >) <!-- ' || i || ' -->' || chr(10)), ''), '') AS p
+      FROM pagedocs)
+    SELECT doc, page_num, md5(p) AS text_md5, CAST(length('# ' || doc) + 2 + coalesce(sum(length(p) + 1) OVER (
+      PARTITION BY doc ORDER BY page_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "at" FROM pieces""",
+)
+def page_markdown(spark, sf_dir):
+    return layout.page_markdown(pagedocs(spark, sf_dir)).select("doc", "page_num", F.md5("text").alias("text_md5"), "at")
+
+
 @query(
     "pages_to_markdown",
     rf"""WITH {PAGEDOCS_SQL}, pieces AS (

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from qaloom.operators import merge, planning, stats
+from qaloom.operators import merge, neardup, planning, stats
 from qaloom.operators.prompts import PromptRegistry
 from qaloom.plans.fixtures import (
-    KNOWLEDGE_SQL, LINES_SQL, QA_SQL, REPLIES_SQL, SUBGRAPHS_SQL, bucket_sql, documents, graph_tables, knowledge, lines, qa, replies,
+    KNOWLEDGE_SQL, LINES_SQL, QA_SQL, REPLIES_SQL, SUBGRAPHS_SQL, bucket_sql, documents, graph_tables, knowledge, lines, qa, replies, table,
 )
 from qaloom.plans.registry import query
 
@@ -23,6 +23,39 @@ def merge_chunk_text(spark, sf_dir):
     )
 
 
+@query(
+    "chunk_texts",
+    f"""WITH {REPLIES_SQL} SELECT source_file, chunk_index, md5(content) AS content_md5, md5(text_content) AS text_md5,
+      CAST(coalesce(sum(length(content) + 2) OVER w, 0) AS BIGINT) AS content_at, CAST(coalesce(sum(length(text_content) + 1) OVER w, 0) AS BIGINT) AS text_at
+    FROM replies WINDOW w AS (PARTITION BY source_file ORDER BY chunk_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def chunk_texts(spark, sf_dir):
+    return merge.chunk_texts(replies(spark, sf_dir)).select(
+        "source_file", "chunk_index", F.md5("content").alias("content_md5"), F.md5("text_content").alias("text_md5"), "content_at", "text_at")
+
+
+@query(
+    "chunk_values",
+    f"""WITH {KNOWLEDGE_SQL}, items AS (
+      SELECT source_file, 'key_concepts' AS list, chunk_index, unnest(key_concepts) AS value, unnest(range(len(key_concepts))) AS pos FROM knowledge WHERE total_chunks > 1
+      UNION ALL SELECT source_file, 'materials', chunk_index, unnest(materials), unnest(range(len(materials))) FROM knowledge WHERE total_chunks > 1
+      UNION ALL SELECT source_file, 'methods', chunk_index, unnest(methods), unnest(range(len(methods))) FROM knowledge WHERE total_chunks > 1)
+    SELECT source_file, list, value, min(chunk_index * 4294967296 + pos) AS position FROM items GROUP BY ALL""",
+)
+def chunk_values(spark, sf_dir):
+    return merge.chunk_values(knowledge(spark, sf_dir))
+
+
+@query(
+    "chunk_items",
+    f"""WITH {KNOWLEDGE_SQL} SELECT source_file, CAST(chunk_index AS BIGINT) * 4294967296 AS position, 'Q' || chunk_index AS question, md5(line) AS answer_md5
+    FROM knowledge WHERE total_chunks > 1""",
+)
+def chunk_items(spark, sf_dir):
+    return merge.chunk_items(knowledge(spark, sf_dir), "qa_pairs").select(
+        "source_file", "position", "value.question", F.md5("value.answer").alias("answer_md5"))
+
+
 def _first_seen(name: str) -> str:
     return f"""{name}_items AS (
   SELECT source_file, v, min(chunk_index * 100000 + pos) AS place FROM (
@@ -185,6 +218,45 @@ def dedup_records(spark, sf_dir):
     return merge.dedup_records(docs, ["lang", "text"], "doc_id", fold=True).select("doc_id", "lang")
 
 
+# Sets of five-word runs, all pairs that share one, and the smallest id within reach: near duplicates by hand.
+_NEAR_SQL = r"""d AS (
+  SELECT id, list_filter(regexp_split_to_array(lower(coalesce(t, '')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM records
+), s AS (
+  SELECT DISTINCT id, array_to_string(w[i + 1 : i + 5], ' ') AS g FROM (SELECT *, unnest(range(greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+), c AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+o AS (SELECT x.id AS a, y.id AS b, count(*) AS o FROM s x JOIN s y USING (g) WHERE x.id < y.id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN c x ON x.id = a JOIN c y ON y.id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (
+  SELECT id AS node, id AS least FROM d
+  UNION
+  SELECT e.b, reach.least FROM reach JOIN e ON e.a = reach.node WHERE reach.least < e.b
+), classes AS (SELECT node AS id, min(least) AS class_id FROM reach GROUP BY node)"""
+
+
+@query(
+    "near_duplicate_records",
+    f"WITH RECURSIVE records AS (SELECT doc_id AS id, text AS t FROM documents), {_NEAR_SQL} SELECT id AS doc_id, class_id FROM classes",
+)
+def near_duplicate_records(spark, sf_dir):
+    return neardup.near_duplicate_classes(documents(spark, sf_dir), "text", "doc_id")
+
+
+@query(
+    "near_duplicate_questions",
+    rf"""WITH RECURSIVE asked AS (SELECT (conv_id * 1000 + turn) * 3 AS id, text AS t FROM conversations WHERE role = 'user'),
+    records AS (SELECT id, t FROM asked UNION ALL SELECT id + 1, regexp_replace(t, '\S+\s*$', 'indeed') FROM asked
+                UNION ALL SELECT id + 2, 'Please tell: ' || t || ' Thanks' FROM asked), {_NEAR_SQL} SELECT id AS question_id, class_id FROM classes""",
+)
+def near_duplicate_questions(spark, sf_dir):
+    """Every question beside two rewordings of it: another last word, and words before and after."""
+    turns = table(spark, sf_dir, "conversations").filter("role = 'user'")
+    asked = turns.select(((F.col("conv_id") * 1000 + F.col("turn")) * 3).alias("id"), F.col("text").alias("question"))
+    last = asked.select(F.col("id") + 1, F.regexp_replace("question", r"\S+\s*$", "indeed"))
+    around = asked.select(F.col("id") + 2, F.concat(F.lit("Please tell: "), F.col("question"), F.lit(" Thanks")))
+    return neardup.near_duplicate_classes(asked.union(last).union(around), "question", "id").withColumnRenamed("id", "question_id")
+
+
 @query(
     "type_share",
     f"""WITH {QA_SQL}, c AS (SELECT split_part(coalesce(question_type, 'unknown'), '_', 1) AS type_prefix, count(*) AS qa_pairs FROM qa GROUP BY 1)

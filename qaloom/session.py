@@ -163,6 +163,35 @@ def global_index(
     return numbered.drop("_slot", "_part", "_offset", "_rows_in_all")
 
 
+def positions(df: DataFrame, segment: str, *order: str | Column, **weights: Column) -> DataFrame:
+    """``df`` with, for each keyword, the sum of its weight over the rows before this one in its segment, by ``order``.
+
+    A segment of any size: rows are range-partitioned by (segment, order) and written; sums run
+    within a range, and a range that begins inside a segment adds what earlier ranges hold of it. At
+    most one segment reaches into a range from before, so that table has at most one row per
+    partition and is broadcast. ``order`` should be unique within the segment.
+    """
+    keys = [F.col(segment), *[F.col(c) if isinstance(c, str) else c for c in order]]
+    sums = {name: f"_sum_{name}" for name in weights}
+    weighed = df.withColumns({sums[name]: w.cast("bigint") for name, w in weights.items()})
+    placed = materialize(
+        weighed.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_slot", F.monotonically_increasing_id()), "positions"
+    ).withColumn("_part", F.shiftright("_slot", _SLOT_BITS))
+    held = placed.groupBy("_part", segment).agg(*[F.sum(s).alias(s) for s in sums.values()])
+    # Few rows a segment: the ranges it lies in.
+    earlier = Window.partitionBy(segment).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = held.select(
+        F.col("_part").alias("_in"), F.col(segment).alias("_of"), F.count("*").over(earlier).alias("_earlier"),
+        *[F.sum(s).over(earlier).alias(f"{s}_before") for s in sums.values()],
+    ).filter("_earlier > 0")
+    within = Window.partitionBy("_part", segment).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumns({s: F.coalesce(F.sum(s).over(within), F.lit(0)) for s in sums.values()})
+    met = (F.col("_part") == F.col("_in")) & F.col(segment).eqNullSafe(F.col("_of"))
+    return local.join(F.broadcast(carried), met, "left").select(
+        *df.columns, *[(F.col(s) + F.coalesce(f"{s}_before", F.lit(0))).alias(name) for name, s in sums.items()]
+    )
+
+
 def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first ``n`` rows in ``order``.
 

@@ -58,7 +58,7 @@ def test_slices(spark, blocks, monkeypatch):
     # Its own link is written with a label and so is not found; its text is.
     assert got["i/last.png"] == "gamma ![x](i/last.png) alpha"
     assert got["i/e.png"] == ""
-    monkeypatch.setattr(layout, "IMAGES_PER_SPLIT", 1)
+    monkeypatch.setattr(layout, "KEY_CHARS", 2)
     assert slices(spark, blocks, {"d": md}) == got
 
 
