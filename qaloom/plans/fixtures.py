@@ -161,6 +161,14 @@ def sql_escape(expr: str) -> str:
     return r"""replace(replace(replace(replace(EXPR, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(9), '\t')""".replace("EXPR", expr)
 
 
+def sql_escape_single(expr: str) -> str:
+    """Escaped for a text within single quotes."""
+    return f"replace({sql_escape(expr)}, chr(39), '{SINGLE_QUOTE}')"
+
+
+# Fixed value: how JSON writes a single quote that would end a single-quoted text.
+SINGLE_QUOTE = r"\u0027"
+
 REPLIES_SQL = (
     LINES_SQL
     + """,
@@ -178,10 +186,16 @@ replies AS (
            WHEN 1 THEN '```json' || chr(10) || '{"question": "draft"}' || chr(10) || '```' || chr(10) || 'Better:' || chr(10) || '```json' || chr(10) || body || chr(10) || '```'
            WHEN 2 THEN body
            WHEN 3 THEN 'Result: ' || body || ' done.'
-           WHEN 4 THEN '```json' || chr(10) || '{"question": [' || chr(10) || '}' || chr(10) || '```'
+           WHEN 4 THEN '```json' || chr(10) || '{"question": ["' || """
+    + sql_escape("line")
+    + r""" || '"' || chr(10) || '}' || chr(10) || '```'
            WHEN 5 THEN 'I cannot answer. ' || line
-           WHEN 6 THEN '```json' || chr(10) || '{"question": "无法设计出问题", "answer": ""}' || chr(10) || '```'
-           ELSE '```json' || chr(10) || '{''question'': ''single ' || ord || ''', ''answer'': ''quoted''}' || chr(10) || '```' END AS content
+           WHEN 6 THEN '```json' || chr(10) || '{"question": "无法设计出问题", "answer": "' || """
+    + sql_escape("line")
+    + r""" || '"}' || chr(10) || '```'
+           ELSE '```json' || chr(10) || '{''question'': ''single ' || ord || ''', ''answer'': ''' || """
+    + sql_escape_single("line")
+    + r""" || '''}' || chr(10) || '```' END AS content
   FROM bodies
 )"""
 )
@@ -189,6 +203,10 @@ replies AS (
 REPLY_SCHEMA = "question string, answer string, question_type string, rank int"
 
 
+def single_quoted(col: str) -> Column:
+    return F.replace(escape_json(col), F.lit("'"), F.lit(SINGLE_QUOTE))
+
+
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     lit, i = F.lit, F.col("ord").cast("string")
     body = F.concat(
@@ -208,10 +226,10 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 1, F.concat(fenced(lit('{"question": "draft"}')), lit("\nBetter:\n"), fenced(b)))
         .when(shape == 2, b)
         .when(shape == 3, F.concat(lit("Result: "), b, lit(" done.")))
-        .when(shape == 4, fenced(lit('{"question": [\n}')))
+        .when(shape == 4, fenced(F.concat(lit('{"question": ["'), escape_json("line"), lit('"\n}'))))
         .when(shape == 5, F.concat(lit("I cannot answer. "), "line"))
-        .when(shape == 6, fenced(lit('{"question": "无法设计出问题", "answer": ""}')))
-        .otherwise(fenced(F.concat(lit("{'question': 'single "), i, lit("', 'answer': 'quoted'}"))))
+        .when(shape == 6, fenced(F.concat(lit('{"question": "无法设计出问题", "answer": "'), escape_json("line"), lit('"}'))))
+        .otherwise(fenced(F.concat(lit("{'question': 'single "), i, lit("', 'answer': '"), single_quoted("line"), lit("'}"))))
     )
     return staged.select(
         F.concat(lit("doc"), F.col("doc_id").cast("string")).alias("source_file"),

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from qaloom.functions.reply import reply_score as score_of
-from qaloom.functions.text import first_int
+from qaloom.functions.text import escape_json, first_int
 from qaloom.operators import augment, quality
 from qaloom.operators.model import model_map
 from qaloom.plans.fixtures import (
-    MCQ_SQL, QA_SQL, bucket_sql, documents, echo_client, echo_sql, first_int_sql, judge_client, judge_sql, mcq, qa, table,
+    MCQ_SQL, QA_SQL, bucket_sql, documents, echo_client, echo_sql, first_int_sql, judge_client, judge_sql, mcq, qa, single_quoted, table,
 )
 from qaloom.plans.registry import query
 from qaloom.plans.report_queries import LABELLED_SQL, labelled
@@ -160,8 +160,14 @@ def check_errors(spark, sf_dir):
     FROM qa WHERE (conv_id + turn) % 6 <> 5""",
 )
 def useful_filter(spark, sf_dir):
-    shapes = ['{"useful": true, "why": "x"}', '{"useful": 0}', "{'useful': 'yes'}", '{"useful": null}', '{"other": 1}', "no json"]
-    judge = F.element_at(F.array(*[F.lit(s) for s in shapes]), ((F.col("conv_id") + F.col("turn")) % 6 + 1).cast("int"))
+    def quoting(before, said, after):
+        return F.concat(F.lit(before), said, F.lit(after))
+
+    why = escape_json("question")
+    shapes = [quoting('{"useful": true, "why": "', why, '"}'), quoting('{"why": "', why, '", "useful": 0}'),
+              quoting("{'why': '", single_quoted("question"), "', 'useful': 'yes'}"), quoting('{"useful": null, "why": "', why, '"}'),
+              quoting('{"other": "', why, '"}'), quoting("no json: ", F.col("question"), "")]
+    judge = F.element_at(F.array(*shapes), ((F.col("conv_id") + F.col("turn")) % 6 + 1).cast("int"))
     useful, rejected = quality.useful_filter(qa(spark, sf_dir).select("qa_id", judge.alias("judge_json")))
     return useful.select("qa_id", F.lit("useful").alias("verdict")).unionByName(
         rejected.select("qa_id", F.lit("rejected").alias("verdict"))

@@ -162,7 +162,7 @@ def parsed_sql(shapes: str, single: str = "7") -> str:
 parsed AS (
   SELECT source_file, chunk_index, total_chunks, text_content, shape,
          CASE WHEN shape = 6 THEN '无法设计出问题' WHEN shape = {single} THEN 'single ' || chunk_index ELSE 'What about line ' || chunk_index || '?' END AS question,
-         CASE WHEN shape = 6 THEN '' WHEN shape = {single} THEN 'quoted' ELSE text_content END AS answer,
+         text_content AS answer,
          CASE WHEN shape IN (6, {single}) OR chunk_index % 3 = 0 THEN NULL ELSE 'reasoning' END AS question_type
   FROM replies WHERE shape IN ({shapes})
 )"""
@@ -285,13 +285,14 @@ def resolve_choice(spark, sf_dir):
 
 @query(
     "first_int",
-    f"""WITH {LINES_SQL}, said AS (SELECT doc_id, ord, CASE ord % 5 WHEN 0 THEN 'Score: -1 of 10' WHEN 1 THEN '1' WHEN 2 THEN line ELSE 'about ' || ord || ' points' END AS t FROM lines)
+    f"""WITH {LINES_SQL}, said AS (SELECT doc_id, ord, line || CASE ord % 5 WHEN 0 THEN ' Score: -1 of 10' WHEN 1 THEN ' 1' WHEN 2 THEN '' ELSE ' about ' || ord || ' points' END AS t FROM lines)
     SELECT doc_id, ord, {first_int_sql("t")} AS score FROM said""",
 )
 def first_int(spark, sf_dir):
     k = F.col("ord") % 5
-    said = (
-        F.when(k == 0, F.lit("Score: -1 of 10")).when(k == 1, F.lit("1")).when(k == 2, F.col("line"))
-        .otherwise(F.concat(F.lit("about "), F.col("ord").cast("string"), F.lit(" points")))
+    verdict = (
+        F.when(k == 0, F.lit(" Score: -1 of 10")).when(k == 1, F.lit(" 1")).when(k == 2, F.lit(""))
+        .otherwise(F.concat(F.lit(" about "), F.col("ord").cast("string"), F.lit(" points")))
     )
+    said = F.concat("line", verdict)
     return lines(spark, sf_dir).select("doc_id", "ord", first_int_of(said).alias("score"))

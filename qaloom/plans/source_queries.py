@@ -70,17 +70,17 @@ def file_catalog(spark, sf_dir):
 @query(
     "decode_text",
     r"""SELECT doc_id, md5(CASE doc_id % 3 WHEN 0 THEN text
-        WHEN 1 THEN '文档' || doc_id || '：半导体 ' || regexp_replace(text, '[^ -~\n]', '', 'g') ELSE '' END) AS text_md5 FROM documents""",
+        WHEN 1 THEN '文档' || doc_id || '：半导体 ' || regexp_replace(text, '[^ -~\n]', '字', 'g') ELSE '' END) AS text_md5 FROM documents""",
 )
 def decode(spark, sf_dir):
     with files.java_charsets(spark):
-        plain = F.regexp_replace("text", r"[^ -~\n]", "")
+        plain = F.regexp_replace("text", r"[^ -~\n]", "字")
         mixed = F.concat(F.lit("文档"), F.col("doc_id").cast("string"), F.lit("：半导体 "), plain)
         kind = F.col("doc_id") % 3
         raw = (
             F.when(kind == 0, F.encode("text", "UTF-8"))
             .when(kind == 1, F.encode(mixed, "GBK"))
-            .otherwise(F.unhex(F.lit("FFFE80")))
+            .otherwise(F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FFFE80"))))
         )
         staged = documents(spark, sf_dir).select("doc_id", raw.alias("raw"))
         return staged.select("doc_id", F.md5(decode_text("raw")).alias("text_md5"))
