@@ -12,7 +12,7 @@ from qaloom.plans.fixtures import (
 )
 from qaloom.plans.registry import query
 from qaloom.session import new_scratch_path
-from qaloom.sources import files, records, resume
+from qaloom.sources import files, json_array, records, resume
 from qaloom.streaming.ingest import incremental_ingest as ingest
 
 
@@ -102,6 +102,16 @@ QA_COLUMNS = ["qa_id", "source_file", "question", "answer", "question_type"]
 QA_SCHEMA = ", ".join(f"{c} string" for c in QA_COLUMNS)
 
 
+@query("json_array_source", QA_ROWS_SQL)
+def json_array_source(spark, sf_dir):
+    """Pairs written as files that are one JSON array each, read back by ranges."""
+    path = new_scratch_path(spark, "arrays")
+    rows = qa(spark, sf_dir).select(F.pmod(F.xxhash64("qa_id"), F.lit(4)).alias("part"), F.to_json(F.struct(*QA_COLUMNS)).alias("json"))
+    arrays = rows.groupBy("part").agg(F.concat(F.lit("[\n"), F.expr("listagg(json, ',\n')"), F.lit("\n]")).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    return json_array.json_array_source(spark, path, QA_SCHEMA, "*.txt")
+
+
 @query("records_source", QA_ROWS_SQL)
 def records_source(spark, sf_dir):
     path = new_scratch_path(spark, "records") + ".csv"
@@ -181,6 +191,16 @@ def resume_text(spark, sf_dir):
     return resume.resume(docs, table(spark, sf_dir, "labels"), "doc_id")
 
 
+@query(
+    "resume_bloom",
+    "SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+)
+def resume_bloom(spark, sf_dir):
+    """As for a history too large to broadcast."""
+    docs = documents(spark, sf_dir).select("doc_id", "n_chars")
+    return resume.resume(docs, table(spark, sf_dir, "labels"), "doc_id", bloom=True)
+
+
 @query(
     "resume_image",
     f"""WITH {BLOCKS_SQL} SELECT '/data/' || source || '/' || img_path AS image_path FROM blocks

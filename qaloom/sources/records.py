@@ -8,17 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qaloom.sources.json_array import json_array_source
+
 
 def records_source(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True, split: bool = False
 ) -> DataFrame:
     """QA records by suffix: a JSON array, JSON lines, CSV with a header, or Parquet.
 
-    A JSON array file is one record set and cannot be split, so large inputs should come as
-    JSON lines (``multi_line=False``) or Parquet. Pass ``schema`` to save the inference pass.
+    A JSON array file is read by one task, unless ``split`` is set (which needs a ``schema``): then it is read in
+    ranges, see ``json_array``. CSV with line ends in quotes is not split. JSON lines go with
+    ``multi_line=False``. Pass ``schema`` to save the inference pass.
     """
     ext = path.rstrip("/").rsplit(".", 1)[-1].lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
+    if ext == "json" and split:
+        if schema is None:
+            raise ValueError("splitting needs a schema")
+        return json_array_source(spark, path, schema)
     if ext in ("json", "jsonl", "ndjson"):
         return reader.json(path, multiLine=multi_line and ext == "json")
     if ext == "csv":

@@ -6,20 +6,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.functions.text import as_col, path_tail
-from qaloom.session import first_rows, global_index
+from qaloom.session import BROADCAST_MAX_ROWS, first_rows, global_index, is_small, materialize
 
 
-def resume(df: DataFrame, history: DataFrame, key: str | Column = "source_file") -> DataFrame:
+# Bits of one bitmap of the aggregate, hashes of a key, and the most bits of a filter (32 MB).
+BITMAP_BITS, HASHES, MOST_BITS = 1 << 15, 3, 1 << 28
+
+
+def _bit(key: Column, number: int, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(number), key), F.lit(bits))
+
+
+def bloom_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """``bucket, bitmap``: a Bloom filter of ``key`` as bitmaps of ``BITMAP_BITS`` bits, at most bits / BITMAP_BITS rows."""
+    places = keys.select(F.explode(F.array(*[_bit(F.col(key), i, bits) for i in range(HASHES)])).alias("_bit"))
+    return places.groupBy(F.expr(f"_bit div {BITMAP_BITS}").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("_bit") % BITMAP_BITS).alias("bitmap"))
+
+
+def maybe_seen(df: DataFrame, key: str, filters: DataFrame, bits: int, name: str) -> DataFrame:
+    """``df`` with the column ``name``: false where ``key`` is certainly not in the filter, which is broadcast."""
+    for i in range(HASHES):
+        bit = _bit(F.col(key), i, bits)
+        of = filters.select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias(f"_bitmap{i}"))
+        df = df.join(F.broadcast(of), F.expr("_bucket") == F.floor(bit / BITMAP_BITS), "left").drop("_bucket")
+
+    def set_in(i: int) -> Column:
+        place = _bit(F.col(key), i, bits) % BITMAP_BITS
+        byte = F.conv(F.hex(F.substring(F.col(f"_bitmap{i}"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.coalesce(F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+
+    seen = set_in(0)
+    for i in range(1, HASHES):
+        seen = seen & set_in(i)
+    return df.withColumn(name, seen).drop(*[f"_bitmap{i}" for i in range(HASHES)])
+
+
+def resume(df: DataFrame, history: DataFrame, key: str | Column = "source_file", bloom: bool | None = None) -> DataFrame:
     """Rows whose ``key`` is absent from ``history``.
 
-    History is reduced to distinct keys first, so a key that fills it weighs one row; a hot
-    key in ``df`` is split by the adaptive skew join, which an anti join allows on this side.
+    History is reduced to distinct keys first, so a key that fills it weighs one row. A small one, by measure, is
+    broadcast. A larger one (or ``bloom``) becomes a Bloom filter of ten bits a key, at most 32 MB, that every task
+    probes: rows it rules out are new and stay where they are, and only the others, mostly those that
+    are done, meet the history in an exact anti join. ``df`` is read once for each of the two parts.
     """
     key = as_col(key)
     done = history.select(key.alias("_done")).filter("_done IS NOT NULL").distinct()
-    return (
-        df.withColumn("_key", key).join(done, F.col("_key") == F.col("_done"), "left_anti").drop("_key")
-    )
+    keyed = df.withColumn("_key", key)
+    if bloom is None:
+        bloom = not is_small(done, BROADCAST_MAX_ROWS)
+    if not bloom:
+        return keyed.join(done, F.col("_key") == F.col("_done"), "left_anti").drop("_key")
+    done = materialize(done, "history")
+    bits = BITMAP_BITS
+    while bits < min(10 * done.count(), MOST_BITS):
+        bits *= 2
+    filters = materialize(bloom_filter(done, "_done", bits), "bloom")
+    probed = maybe_seen(keyed, "_key", filters, bits, "_may")
+    new = probed.filter(~F.col("_may"))
+    again = probed.filter("_may").join(done, F.col("_key") == F.col("_done"), "left_anti")
+    return new.unionByName(again).drop("_key", "_may")
 
 
 def resume_images(df: DataFrame, history: DataFrame, path_col: str = "image_path") -> DataFrame:
