@@ -28,8 +28,9 @@ MAX_TOKENS = 2048
 # Rows of one length are ranked in this many separate groups, so a hot length is no hot task.
 RANK_GROUPS = 1024
 _RANK_BITS = 44
-# Shares of the fitted repeat counts that are tried.
-SHARES = (1.0, 0.95, 0.8, 0.5, 0.2)
+# Shares of the fitted repeat counts that are tried, and how much less best fit alone must take to be preferred.
+SHARES = (1.0, 0.9, 0.7)
+WORTH = 1000
 
 
 # --- tokens ---------------------------------------------------------------------------------
@@ -166,21 +167,33 @@ def fit_repeats(patterns: np.ndarray, counts: np.ndarray, steps: int = 100) -> n
     return x
 
 
-def round_repeats(patterns: np.ndarray, x: np.ndarray, counts: np.ndarray) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
-    """Repeat counts rounded down, never beyond what is left of a length.
+def round_repeats(patterns: np.ndarray, x: np.ndarray, counts: np.ndarray, up: bool = True) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
+    """Whole repeat counts, never beyond what is left of a length: (lengths, sequences) of each pattern, and the rest.
 
-    Rounding down leaves a thinned copy of the histogram, short lengths included, which best fit
-    packs with next to no waste; rounding up would use up the short lengths that fill gaps.
+    Counts are rounded down first; then the largest remainders are rounded up, one sequence each, as long as their
+    lengths last. The fit spreads over many more patterns than there are lengths, so most of it lies in
+    the remainders. ``up=False`` leaves them to best fit.
     """
-    left, chosen = counts.copy(), []
-    for k in np.flatnonzero(x >= 1):
+    left, chosen = counts.copy(), Counter()
+
+    def take(k: int, n: int) -> None:
         uses = Counter(int(v) for v in patterns[k] if v)
-        n = min(int(x[k]), *(int(left[v]) // used for v, used in uses.items()))
+        n = min(n, *(int(left[v]) // used for v, used in uses.items()))
         if n > 0:
-            chosen.append((tuple(uses.elements()), n))
+            chosen[k] += n
             for v, used in uses.items():
                 left[v] -= n * used
-    return chosen, left
+
+    whole = np.floor(x).astype(np.int64)
+    for k in np.flatnonzero(whole):
+        take(int(k), int(whole[k]))
+    if up:
+        remainder = x - whole
+        order = np.argsort(-remainder, kind="stable")
+        for k in order[: np.count_nonzero(remainder > 0)]:
+            if left[patterns[k][patterns[k] > 0]].all():
+                take(int(k), 1)
+    return [(tuple(int(v) for v in patterns[k] if v), n) for k, n in chosen.items()], left
 
 
 def pack_rest(left: np.ndarray, max_tokens: int) -> list[tuple[tuple[int, ...], int]]:
@@ -217,12 +230,17 @@ def plan_packing(counts: np.ndarray, max_tokens: int = MAX_TOKENS) -> Plan:
         chosen.append(((max_tokens,), int(left[max_tokens])))
         left[max_tokens] = 0
     repeats = fit_repeats(patterns, left.astype(float))
-    # Rounding errs less the more is left to best fit: the share of the fit with fewest sequences counts.
+    # The share of the fit with fewest sequences counts. Rounding down only, which leaves most to best fit, must
+    # save one sequence in WORTH to be taken instead.
     options = []
-    for share in SHARES:
-        fitted, rest = round_repeats(patterns, share * repeats, left)
-        options.append(fitted + pack_rest(rest, max_tokens))
-    chosen += min(options, key=lambda option: sum(n for _, n in option))
+    for share, up in [(s, True) for s in SHARES] + [(1.0, False)]:
+        fitted, rest = round_repeats(patterns, share * repeats, left, up)
+        option = fitted + pack_rest(rest, max_tokens)
+        options.append((sum(n for _, n in option), -sum(n for _, n in fitted), option))
+    best = min(options[:-1], key=lambda o: o[:2])
+    if options[-1][0] * WORTH < best[0] * (WORTH - 1):
+        best = options[-1]
+    chosen += best[2]
 
     taken = np.zeros(max_tokens + 1, np.int64)
     rows, sequences = [], 0

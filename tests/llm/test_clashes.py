@@ -39,3 +39,26 @@ def test_toxicity(spark, docs, tmp_path):
     labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 20 == 0).cast("int").alias("toxic")).distinct()
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def test_most_sequences_come_from_patterns():
+    import numpy as np
+
+    from qaloom.llm import packing
+
+    rng = np.random.default_rng(1)
+    counts = np.bincount(np.minimum(rng.lognormal(6, 1, 20000).astype(int) + 1, 2048), minlength=2049)
+    left = counts.copy()
+    left[2048] = 0
+    patterns = packing.exact_patterns(np.flatnonzero(counts), 2048)
+    fitted, rest = packing.round_repeats(patterns, packing.fit_repeats(patterns, left.astype(float)), left)
+    used = np.zeros(2049, int)
+    for lengths, n in fitted:
+        assert sum(lengths) == 2048
+        for v in lengths:
+            used[v] += n
+    assert (used + rest == left).all()
+    patterned, remainder = sum(n for _, n in fitted), sum(n for _, n in packing.pack_rest(rest, 2048))
+    assert patterned > 0.8 * (patterned + remainder)
+    bound = -(-int(counts @ np.arange(2049)) // 2048)
+    assert bound <= packing.plan_packing(counts).sequences <= bound * 1.002 + 1
