@@ -28,8 +28,9 @@ MAX_TOKENS = 2048
 # Rows of one length are ranked in this many separate groups, so a hot length is no hot task.
 RANK_GROUPS = 1024
 _RANK_BITS = 44
-# Shares of the fitted repeat counts that are tried, and how much less best fit alone must take to be preferred.
+# Shares of the fitted repeat counts that are tried, rounded up and down, and when the latter is preferred.
 SHARES = (1.0, 0.9, 0.7)
+DOWN_SHARES = (1.0, 0.95, 0.8, 0.5, 0.2)
 WORTH = 1000
 
 
@@ -232,15 +233,15 @@ def plan_packing(counts: np.ndarray, max_tokens: int = MAX_TOKENS) -> Plan:
     repeats = fit_repeats(patterns, left.astype(float))
     # The share of the fit with fewest sequences counts. Rounding down only, which leaves most to best fit, must
     # save one sequence in WORTH to be taken instead.
-    options = []
-    for share, up in [(s, True) for s in SHARES] + [(1.0, False)]:
-        fitted, rest = round_repeats(patterns, share * repeats, left, up)
-        option = fitted + pack_rest(rest, max_tokens)
-        options.append((sum(n for _, n in option), -sum(n for _, n in fitted), option))
-    best = min(options[:-1], key=lambda o: o[:2])
-    if options[-1][0] * WORTH < best[0] * (WORTH - 1):
-        best = options[-1]
-    chosen += best[2]
+    options = {}
+    for up, shares in ((True, SHARES), (False, DOWN_SHARES)):
+        tried = []
+        for share in shares:
+            fitted, rest = round_repeats(patterns, share * repeats, left, up)
+            option = fitted + pack_rest(rest, max_tokens)
+            tried.append((sum(n for _, n in option), -sum(n for _, n in fitted), option))
+        options[up] = min(tried, key=lambda o: o[:2])
+    chosen += options[options[True][0] * (WORTH - 1) <= options[False][0] * WORTH][2]
 
     taken = np.zeros(max_tokens + 1, np.int64)
     rows, sequences = [], 0
