@@ -23,10 +23,10 @@ SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score",
 
 def usable_vectors(rows: DataFrame, scale: int, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``vec_id, v``: components as floor(scale * x), x as double. Null vectors and vectors that hold
-    null or non-finite components take no part; other columns are dropped."""
+    null or non-finite components take no part, nor do rows without an id; other columns are dropped."""
     whole = F.transform(F.col(vector).cast("array<double>"), lambda x: F.floor(x * F.lit(float(scale))))
     finite = F.forall(F.col(vector).cast("array<double>"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return rows.where(F.col(vector).isNotNull() & F.coalesce(finite, F.lit(False))).select(
+    return rows.where(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & F.coalesce(finite, F.lit(False))).select(
         F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"))
 
 

@@ -62,3 +62,12 @@ def test_most_sequences_come_from_patterns():
     assert patterned > 0.8 * (patterned + remainder)
     bound = -(-int(counts @ np.arange(2049)) // 2048)
     assert bound <= packing.plan_packing(counts).sequences <= bound * 1.002 + 1
+
+
+def test_vectors_without_an_id_take_no_part(spark):
+    from qaloom.llm import topk
+
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (None, [9.0, 9.0]), (1, [2.0, 1.0]), (2, None), (3, [None, 1.0])], "vec_id long, embedding array<double>")
+    usable = topk.usable_vectors(rows, 1024)
+    found = topk.top_k(usable, usable.where("vec_id = 0"), 10).collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in found] == [(0, 1, 1, 4 * 1024 * 1024)]
