@@ -10,6 +10,7 @@ from qaloom.plans.fixtures import (
     KNOWLEDGE_SQL, LINES_SQL, QA_SQL, REPLIES_SQL, SUBGRAPHS_SQL, bucket_sql, documents, graph_tables, knowledge, lines, qa, replies, table,
 )
 from qaloom.plans.registry import query
+from qaloom.session import materialize
 
 
 @query(
@@ -121,9 +122,13 @@ def type_distribution(spark, sf_dir):
 LABELLED_SQL = f"{QA_SQL}, labelled AS (SELECT *, CASE WHEN (conv_id + turn) % 4 = 3 THEN 0 WHEN (conv_id + turn) % 9 = 8 THEN 2 ELSE 1 END AS quality_label FROM qa)"
 
 
-def labelled(spark, sf_dir):
+def label_pairs(pairs):
     n = F.col("conv_id") + F.col("turn")
-    return qa(spark, sf_dir).withColumn("quality_label", F.when(n % 4 == 3, 0).when(n % 9 == 8, 2).otherwise(1))
+    return pairs.withColumn("quality_label", F.when(n % 4 == 3, 0).when(n % 9 == 8, 2).otherwise(1))
+
+
+def labelled(spark, sf_dir):
+    return label_pairs(qa(spark, sf_dir))
 
 
 @query(
@@ -182,6 +187,23 @@ def stage_report(spark, sf_dir):
     return stats.stage_report({"documents": documents(spark, sf_dir), "qa": qa(spark, sf_dir), "checked": checked})
 
 
+@query(
+    "observed_stage_report",
+    f"""WITH {LABELLED_SQL} SELECT 0 AS stage_order, 'qa' AS stage, (SELECT count(*) FROM qa) AS rows_out, 0 AS errors, true AS success
+    UNION ALL SELECT 1, 'checked', (SELECT count(*) FROM labelled), (SELECT count(*) FROM labelled WHERE quality_label = 0),
+      (SELECT count(*) FROM labelled WHERE quality_label = 0) = 0
+    UNION ALL SELECT 2, 'kept', (SELECT count(*) FROM labelled WHERE quality_label <> 0), 0, true""",
+)
+def observed_stage_report(spark, sf_dir):
+    """The flow runs once, to its output; every stage's rows and errors are counted as they pass."""
+    pairs, qa_seen = stats.observe_stage(qa(spark, sf_dir), "qa")
+    checked = label_pairs(pairs).withColumn("error", F.when(F.col("quality_label") == 0, "rejected"))
+    checked, checked_seen = stats.observe_stage(checked, "checked")
+    kept, kept_seen = stats.observe_stage(checked.filter("quality_label <> 0").drop("error"), "kept")
+    materialize(kept, "kept")
+    return stats.observed_report(spark, {"qa": qa_seen, "checked": checked_seen, "kept": kept_seen})
+
+
 TARGETS = {"factual": 60, "comparison": 40, "summary": 10, "reasoning": 30}
 
 

@@ -14,6 +14,8 @@ from qaloom.plans.registry import query
 from qaloom.session import new_scratch_path
 from qaloom.sources import files, json_array, records, resume
 from qaloom.streaming.ingest import incremental_ingest as ingest
+from qaloom.streaming.ingest import keyed_ingest as ingest_by_key
+from qaloom.streaming.ingest import read_keyed
 
 
 @query(
@@ -243,9 +245,7 @@ def batch_assign(spark, sf_dir):
     r"SELECT lang AS input_dir, count(*) AS files, sum(length(text) + 1)::BIGINT AS n_chars FROM documents WHERE regexp_matches(text, '\S') GROUP BY lang",
 )
 def multi_input(spark, sf_dir):
-    root = document_files(spark, sf_dir)
-    langs = [r.lang for r in documents(spark, sf_dir).select("lang").distinct().collect()]
-    found = files.multi_input(spark, {lang: f"{root}/lang={lang}" for lang in sorted(langs)})
+    found = files.multi_input(spark, document_files(spark, sf_dir))
     return found.groupBy("input_dir").agg(
         F.count("*").alias("files"), F.sum(F.char_length("content")).alias("n_chars")
     )
@@ -273,6 +273,21 @@ def incremental_ingest(spark, sf_dir):
     return arrived.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("user_id").alias("users"))
 
 
+@query(
+    "keyed_ingest",
+    "SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids, sum(user_id)::BIGINT AS users FROM events GROUP BY event_type",
+)
+def keyed_ingest(spark, sf_dir):
+    """The file is delivered, and then again to a stream whose checkpoint is lost: every event is stored once."""
+    root = new_scratch_path(spark, "keyed")
+    schema = table(spark, sf_dir, "events").schema
+    for checkpoint in ("first", "second"):
+        ingest_by_key(spark, sf_dir, f"{root}/sink", f"{root}/{checkpoint}", schema, "event_id", pathGlobFilter="events.parquet")
+    arrived = read_keyed(spark, f"{root}/sink", schema)
+    return arrived.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.sum("user_id").alias("users"))
+
+
 @query("domain_sink", "SELECT source AS domain, count(*) AS n, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY source")
 def domain_sink(spark, sf_dir):
     path = new_scratch_path(spark, "domains")

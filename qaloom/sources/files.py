@@ -24,8 +24,19 @@ def text_source(spark: SparkSession, path: str | list[str], glob: str = "*.txt")
     ).filter(has_text("content"))
 
 
-def multi_input(spark: SparkSession, dirs: dict[str, str] | list[str], glob: str = "*.txt") -> DataFrame:
-    """The same text source over several directories, each row labelled with its own."""
+def multi_input(spark: SparkSession, dirs: dict[str, str] | list[str] | str, glob: str = "*.txt") -> DataFrame:
+    """The same text source over several directories, each row labelled with its own.
+
+    Given one parent folder, every folder directly below it is an input, labelled by its name (``b`` for
+    ``a=b``): one scan, however many there are. Files that lie in the parent itself belong to none.
+    """
+    if isinstance(dirs, str):
+        parent = spark._jvm.org.apache.hadoop.fs.Path(dirs)
+        parent = parent.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(parent).toUri().getRawPath()
+        below = F.get(F.split("file_path", rf"\Q{parent}/\E", 2), F.lit(1))
+        folder = F.when(F.contains(below, F.lit("/")), F.substring_index(below, "/", 1))
+        label = F.url_decode(F.replace(F.substring_index(folder, "=", -1), F.lit("+"), F.lit("%2B")))
+        return text_source(spark, dirs, glob).withColumn("input_dir", label).filter("input_dir IS NOT NULL")
     labelled = dirs if isinstance(dirs, dict) else {d.rstrip("/").rsplit("/", 1)[-1]: d for d in dirs}
     if len(labelled) != len(dirs):
         raise ValueError("two input directories share a label")
