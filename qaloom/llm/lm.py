@@ -1,10 +1,13 @@
 """Log-bilinear language model, trained in numpy by noise-contrastive estimation.
 
-The model predicts units: the most frequent tokens, and classes of all other tokens; a token of a class
-has its smoothed share of the class. A context's vector is the sum of its two units' vectors, weighted by
-position, and a unit's score is its product with that vector plus a bias. Every training token is
-learnt from: each task trains on its own rows and the parameters are averaged by Spark. Scoring normalises
-exactly: one matrix product over all units for the distinct contexts of a block of texts.
+A token is predicted in two steps. Units come first: the most frequent tokens, and classes of all others. Inside
+a class its members follow, the tokens that occur often enough to have vectors of their own, and one rest for
+all others, which have their smoothed share of it. How many members there are grows with the text.
+A context's vector is the sum of the vectors of the last token and of the unit before it, weighted by position; a
+score is its product with the target's vector plus a bias. Every training token is learnt from: each task trains
+on its own rows and Spark averages the parameters, each vector by how often a task used it. Scoring normalises
+exactly at both steps: one matrix product over the units for the distinct contexts of a block of texts, and one
+over a class's members for the contexts in which the class occurs.
 """
 
 from __future__ import annotations
@@ -18,11 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import held_out
+from qaloom.llm.common import held_out, released
 from qaloom.llm.hashing import LOWER, text_blocks, words_in
 from qaloom.session import materialize
 
-WORDS, CLASSES, WIDTH, NOISE, BATCH = 383, 128, 16, 24, 2048
+WORDS, CLASSES, WIDTH, NOISE, INNER_NOISE, BATCH = 383, 128, 16, 24, 3, 2048
+# A token is a member of its class if it occurs at least total ** POWER / SPREAD times: at most
+# SPREAD * total ** (1 - POWER) tokens do, by frequency laws a tenth of that; six million in 100 TB is the bound.
+POWER, SPREAD = 0.6, 32
+# Tasks that train; each holds one copy of the parameters.
+MOST_TRAINERS = 4096
+# Bytes of text scored at once, and units whose parameters travel in one row.
+BLOCK, UNITS_A_ROW = 1 << 22, 64
+# Distinct contexts whose probabilities of all units are held at once.
+STEP = 4096
 # Counts of at most so many frequent tokens travel with the tasks; the counts of all others are joined.
 MOST_CARRIED = 1_000_000
 SMOOTH = 0.1
@@ -47,33 +59,57 @@ def count_tokens(docs: DataFrame, text_col: str) -> DataFrame:
 
     def partial(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for _, data, offsets in text_blocks(part.column(0), 1 << 23):
+            for _, data, offsets in text_blocks(part.column(0), BLOCK):
                 tokens, classes, _ = tokens_of(data, offsets)
                 found, at, n = np.unique(tokens, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(classes[at].astype(np.int16)), pa.array(n)],
                                                  names=["token", "class", "n"])
 
-    rows = docs.select(text_col).mapInArrow(partial, "token long, class short, n long")
+    rows = docs.select(text_col).mapInArrow(released(partial), "token long, class short, n long")
     return rows.groupBy("token", "class").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Vocabulary:
-    """Units 0..len(words)-1 are tokens (sorted hashes), then come the classes. ``carried`` are the
-    hashes (sorted) and counts of frequent tokens, units included."""
+    """Numbers of units: tokens (sorted hashes ``words``), then the classes, then all members, class by
+    class (class k has ``starts[k]:starts[k + 1]`` of them), then the rest of every class. ``carried`` are the
+    hashes (sorted) and counts of frequent tokens, units and members included."""
 
     words: np.ndarray
-    frequency: np.ndarray  # of units, summing to 1
-    class_log: np.ndarray  # log10 of a class's smoothed size
+    frequency: np.ndarray  # of tokens and classes, summing to 1
+    members: np.ndarray  # sorted hashes
+    member_units: np.ndarray  # their numbers
+    member_class: np.ndarray  # class of member j
+    starts: np.ndarray
+    inner: np.ndarray  # share of every member, then of every rest, in its class
+    rest_log: np.ndarray  # log10 of the smoothed size of a class's rest
     carried: np.ndarray
     carried_counts: np.ndarray
     total: int
     distinct: int
 
     def units(self, tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.words, tokens), max(len(self.words) - 1, 0))
-        known = self.words[at] == tokens if len(self.words) else np.zeros(len(tokens), bool)
-        return np.where(known, at, len(self.words) + np.maximum(classes, 0))
+        """A token's own number, or that of its class."""
+        out = len(self.words) + np.maximum(classes, 0)
+        for hashes, numbers in ((self.words, np.arange(len(self.words))), (self.members, self.member_units)):
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
+                out = np.where(hashes[at] == tokens, numbers[at], out)
+        return out
+
+    def tops(self, units: np.ndarray) -> np.ndarray:
+        """The same with members as their classes."""
+        if not len(self.members):
+            return units
+        size = len(self.frequency)
+        return np.where(units < size, units, len(self.words) + self.member_class[np.maximum(units - size, 0)])
+
+    def inner_targets(self, units: np.ndarray, tops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class, unit to be told within it) of every token; class -1 where nothing is left to be told."""
+        k = tops - len(self.words)
+        open_ = (k >= 0) & (np.diff(self.starts)[np.maximum(k, 0)] > 0)
+        rest = len(self.frequency) + len(self.members) + np.maximum(k, 0)
+        return np.where(open_, k, -1), np.where(units < len(self.frequency), rest, units)
 
 
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -89,10 +125,22 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
     held = np.zeros((2, CLASSES))
     for r in sizes:
         held[:, r["class"]] = r["n"], r["v"]
-    top_classes = {r["token"]: r["class"] for r in top}
-    for token, k in top_classes.items():
-        held[:, k] -= chosen[token], 1
+    for r in top:
+        held[:, r["class"]] -= r["n"], 1
     frequency = np.concatenate([word_counts, held[0]]) + 0.5
+    least = max(2, math.ceil(totals["n"] ** POWER / SPREAD))
+    often = counts.where((F.col("n") >= least) & (F.col("class") >= 0)).select("token", "class", "n").toArrow()
+    tokens, classes, n = (often.column(c).to_numpy() for c in ("token", "class", "n"))
+    tokens, classes = tokens.view(np.uint64), classes.astype(np.int64)
+    new = ~np.isin(tokens, hashes)
+    order = np.lexsort((tokens[new], classes[new]))
+    tokens, classes, n = tokens[new][order], classes[new][order], n[new][order]
+    starts = np.searchsorted(classes, np.arange(CLASSES + 1))
+    rest = held - np.stack([np.bincount(classes, n, CLASSES), np.bincount(classes, minlength=CLASSES)])
+    inner = np.concatenate([n + 0.5, rest[0] + 0.5])
+    of = np.concatenate([classes, np.arange(CLASSES)])
+    inner = inner / np.bincount(of, inner, CLASSES)[of]
+    by_hash = np.argsort(tokens)
     # Frequent tokens by a count threshold, found from a histogram of a few hundred rows.
     level = F.floor(F.log2("n") * 8)
     histogram = sorted(((r["level"], r["v"]) for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("v")).collect()), reverse=True)
@@ -102,52 +150,63 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
             break
         least, room = value, room - v
     carried = counts.where(level >= least).select("token", "n").toArrow() if least is not None else None
-    tokens, known = hashes, word_counts.astype(np.int64)
+    all_tokens, all_counts = [hashes, tokens], [word_counts.astype(np.int64), n]
     if carried:
-        tokens, at = np.unique(np.concatenate([carried.column("token").to_numpy().view(np.uint64), hashes]), return_index=True)
-        known = np.concatenate([carried.column("n").to_numpy(), known])[at]
-    return Vocabulary(hashes, frequency / frequency.sum(), np.log10(held[0] + SMOOTH * (held[1] + 1)), tokens, known,
-                      int(totals["n"]), int(totals["v"]))
+        all_tokens.append(carried.column("token").to_numpy().view(np.uint64))
+        all_counts.append(carried.column("n").to_numpy())
+    known, at = np.unique(np.concatenate(all_tokens), return_index=True)
+    return Vocabulary(
+        hashes, frequency / frequency.sum(), tokens[by_hash], len(frequency) + by_hash, classes, starts, inner,
+        np.log10(rest[0] + SMOOTH * (rest[1] + 1)), known, np.concatenate(all_counts)[at], int(totals["n"]), int(totals["v"]))
 
 
 # --- model --------------------------------------------------------------------------------------
 
 @dataclass
 class Model:
-    """``R``: context vectors (the last is the text's start), ``D``: position weights, ``Q`` and ``b``: outputs."""
+    """``R``: context vectors (the last is the text's start), ``D``: position weights, ``Q`` and ``b``: outputs.
+
+    The first ``size`` outputs are tokens and classes; then come members and rests.
+    """
 
     R: np.ndarray
     D: np.ndarray
     Q: np.ndarray
     b: np.ndarray
+    size: int
 
     @staticmethod
-    def new(frequency: np.ndarray, seed: int = 5) -> Model:
-        rng, n = np.random.default_rng(seed), len(frequency)
+    def new(frequency: np.ndarray, inner: np.ndarray | None = None, seed: int = 5) -> Model:
+        shares = np.concatenate([frequency, inner if inner is not None else []])
+        rng, n = np.random.default_rng(seed), len(shares)
         return Model(rng.normal(0, 0.3, (n + 1, WIDTH)).astype(np.float32), np.ones((2, WIDTH), np.float32),
-                     rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32), np.log(frequency).astype(np.float32))
+                     rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32), np.log(shares).astype(np.float32), len(frequency))
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([v.ravel() for v in (self.R, self.D, self.Q, self.b)])
+    def copy(self) -> Model:
+        return Model(self.R.copy(), self.D.copy(), self.Q.copy(), self.b.copy(), self.size)
 
-    def filled(self, flat: np.ndarray) -> Model:
-        out, at = [], 0
-        for v in (self.R, self.D, self.Q, self.b):
-            out.append(flat[at: at + v.size].reshape(v.shape).astype(np.float32))
-            at += v.size
-        return Model(*out)
+    def rows(self) -> np.ndarray:
+        """One row a unit: its context vector, output vector and bias; the start has the first only."""
+        out = np.zeros((len(self.R), 2 * WIDTH + 1), np.float32)
+        out[:, :WIDTH], out[:-1, WIDTH:-1], out[:-1, -1] = self.R, self.Q, self.b
+        return out
 
-    def log_probabilities(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Natural logs of all units' probabilities after each context (previous unit, the one before)."""
-        scores = (self.R[one] * self.D[0] + self.R[two] * self.D[1]) @ self.Q.T + self.b
+    def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return self.R[one] * self.D[0] + self.R[two] * self.D[1]
+
+    def log_probabilities(self, one: np.ndarray, two: np.ndarray, units: np.ndarray | slice | None = None) -> np.ndarray:
+        """Natural logs of the probabilities of ``units`` (all tokens and classes if not given), which sum to 1, after
+        each context (the previous token's unit, the one before)."""
+        units = slice(0, self.size) if units is None else units
+        scores = self.hidden(one, two) @ self.Q[units].T + self.b[units]
         scores -= scores.max(1, keepdims=True)
         return scores - np.log(np.exp(scores).sum(1, keepdims=True))
 
 
-def contexts(units: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The unit before each token and the one before that; ``start`` stands before a row's first token."""
+def contexts(units: np.ndarray, tops: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The unit before each token and the token or class before that; ``start`` stands before a row's first token."""
     one, two = np.full(len(units), start), np.full(len(units), start)
-    one[1:], two[2:] = units[:-1], units[:-2]
+    one[1:], two[2:] = units[:-1], tops[:-2]
     begins = first[:-1]
     one[begins], two[begins] = start, start
     second = begins[np.diff(first) > 1] + 1
@@ -156,65 +215,115 @@ def contexts(units: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarr
 
 
 class Trainer:
-    """Noise-contrastive steps with Adagrad; one set of noise units serves a batch."""
+    """Noise-contrastive steps with Adagrad on the rows a batch touches; one set of noise units serves a batch, and
+    within classes every token has its own."""
 
-    def __init__(self, model: Model, frequency: np.ndarray, seed: int):
+    def __init__(self, model: Model, frequency: np.ndarray, seed: int, words: Vocabulary | None = None):
         self.m, self.rng = model, np.random.default_rng(seed)
         self.cumulated, self.offset = np.cumsum(frequency), np.log(NOISE * frequency).astype(np.float32)
         self.seen = {k: np.full(getattr(model, k).shape, 1e-2, np.float32) for k in "RDQb"}
-        self.tokens = 0
-
-    @staticmethod
-    def spread(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-        return np.stack([np.bincount(at, rows[:, k], size) for k in range(rows.shape[1])], 1)
-
-    def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray, rate: float = 0.08) -> None:
-        m, n = self.m, len(self.m.b)
-        noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), n - 1)
+        self.uses, self.tokens = np.zeros(len(model.R)), 0
+        if words is not None:
+            # Members and rest of class k lie together, and their shares add up from k to k + 1.
+            of = np.concatenate([words.member_class, np.arange(CLASSES)])
+            order = np.argsort(of, kind="stable")
+            self.columns = len(frequency) + order
+            self.edges = np.searchsorted(of[order], np.arange(CLASSES + 1))
+            self.shares = np.cumsum(words.inner[order])
+            self.inner_offset = np.log(INNER_NOISE * words.inner).astype(np.float32)
+
+    def learn(self, name: str, at: np.ndarray, grads: np.ndarray, scale: float, rate: float) -> None:
+        """Adds up the gradients of equal rows and moves those rows."""
+        order = np.argsort(at, kind="stable")
+        ranked = at[order]
+        edges = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1])
+        rows, g = ranked[edges], np.add.reduceat(grads[order], edges, axis=0) * np.float32(scale)
+        seen, values = self.seen[name], getattr(self.m, name)
+        now = seen[rows] + g * g
+        seen[rows] = now
+        values[rows] -= rate * g / np.sqrt(now)
+
+    def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray, inner: np.ndarray | None = None,
+             classes: np.ndarray | None = None, rate: float = 0.08) -> None:
+        m, scale = self.m, 50 / len(target)
+        noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), m.size - 1)
         r_one, r_two = m.R[one], m.R[two]
         hidden = r_one * m.D[0] + r_two * m.D[1]
-        s_target = np.einsum("ij,ij->i", hidden, m.Q[target]) + m.b[target] - self.offset[target]
-        s_noise = hidden @ m.Q[noise].T + (m.b - self.offset)[noise]
+        q_target, q_noise = m.Q[target], m.Q[noise]
+        s_target = np.einsum("ij,ij->i", hidden, q_target) + m.b[target] - self.offset[target]
+        s_noise = hidden @ q_noise.T + (m.b[noise] - self.offset[noise])
         g_target = 0.5 * (np.tanh(0.5 * s_target) - 1)
         g_noise = 0.5 * (np.tanh(0.5 * s_noise) + 1)
-        d_hidden = g_target[:, None] * m.Q[target] + g_noise @ m.Q[noise]
-        grads = {"Q": self.spread(target, g_target[:, None] * hidden, n), "b": np.bincount(target, g_target, n)}
-        np.add.at(grads["Q"], noise, g_noise.T @ hidden)
-        np.add.at(grads["b"], noise, g_noise.sum(0))
-        grads["R"] = self.spread(one, d_hidden * m.D[0], n + 1) + self.spread(two, d_hidden * m.D[1], n + 1)
-        grads["D"] = np.stack([(d_hidden * r_one).sum(0), (d_hidden * r_two).sum(0)])
-        for k, g in grads.items():
-            g = (g / len(target) * 50).astype(np.float32)
-            self.seen[k] += g * g
-            setattr(m, k, getattr(m, k) - rate * g / np.sqrt(self.seen[k]))
+        d_hidden = g_target[:, None] * q_target + g_noise @ q_noise
+        at, d_q, d_b = [target, noise], [g_target[:, None] * hidden, g_noise.T @ hidden], [g_target, g_noise.sum(0)]
+        pick = np.flatnonzero(classes >= 0) if classes is not None else ()
+        if len(pick):
+            k, h = classes[pick, None], hidden[pick]
+            drawn = np.searchsorted(self.shares, k + self.rng.random((len(pick), INNER_NOISE)))
+            units = np.concatenate([inner[pick, None], self.columns[np.clip(drawn, self.edges[k], self.edges[k + 1] - 1)]], 1)
+            q = m.Q[units]
+            g = 0.5 * (np.tanh(0.5 * (np.einsum("ij,ikj->ik", h, q) + m.b[units] - self.inner_offset[units - m.size])) + 1)
+            g[:, 0] -= 1
+            d_hidden[pick] += np.einsum("ik,ikj->ij", g, q)
+            at.append(units.ravel())
+            d_q.append((g[:, :, None] * h[:, None, :]).reshape(-1, WIDTH))
+            d_b.append(g.ravel())
+            np.add.at(self.uses, units[:, 0], 1)
+        np.add.at(self.uses, target, 1)
+        np.add.at(self.uses, one, 1)
+        d_position = np.stack([(d_hidden * r_one).sum(0), (d_hidden * r_two).sum(0)])
+        context = np.concatenate([d_hidden * m.D[0], d_hidden * m.D[1]])
+        at = np.concatenate(at)
+        self.learn("Q", at, np.concatenate(d_q), scale, rate)
+        self.learn("b", at, np.concatenate(d_b).astype(np.float32), scale, rate)
+        self.learn("R", np.concatenate([one, two]), context, scale, rate)
+        self.learn("D", np.arange(2), d_position, scale, rate)
         self.tokens += len(target)
 
 
 def train(docs: DataFrame, words: Vocabulary, text_col: str) -> Model:
-    """One pass over all of ``docs``: every task trains on its rows, parameters are averaged by tokens seen."""
-    initial = Model.new(words.frequency)
+    """One pass over all of ``docs``: every task trains on its rows, vectors are averaged by their uses."""
+    initial = Model.new(words.frequency, words.inner)
 
     def fit(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(initial.filled(initial.flat()), words.frequency, 9)
+        trainer = Trainer(initial.copy(), words.frequency, 9, words)
+        start = len(initial.b)
         for part in parts:
             for _, data, offsets in text_blocks(part.column(0)):
                 tokens, classes, first = tokens_of(data, offsets)
                 units = words.units(tokens, classes)
-                one, two = contexts(units, first, len(words.frequency))
+                tops = words.tops(units)
+                one, two = contexts(units, tops, first, start)
+                within, inner = words.inner_targets(units, tops)
                 order = trainer.rng.permutation(len(units))
                 for at in range(0, len(order), BATCH):
                     pick = order[at: at + BATCH]
-                    trainer.step(units[pick], one[pick], two[pick])
+                    trainer.step(tops[pick], one[pick], two[pick], inner[pick], within[pick])
         if trainer.tokens:
-            flat = trainer.m.flat().astype(np.float64) * trainer.tokens
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat) + 1)), pa.array(np.append(flat, trainer.tokens))], names=["k", "v"])
-
-    sums = docs.select(text_col).mapInArrow(fit, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
-    if not sums.num_rows:
+            rows, uses = trainer.m.rows(), trainer.uses + 1e-3
+            cuts = range(0, len(rows), UNITS_A_ROW)
+            blocks = [-1, *range(len(cuts))]
+            weights = [np.array([trainer.tokens], float).tobytes(), *(uses[c: c + UNITS_A_ROW].tobytes() for c in cuts)]
+            values = [trainer.m.D.ravel().tobytes(), *(rows[c: c + UNITS_A_ROW].tobytes() for c in cuts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int64()), pa.array(weights, pa.binary()), pa.array(values, pa.binary())], names=["block", "uses", "rows"])
+
+    def average(parts: pa.Table) -> pa.Table:
+        total = weight = 0.0
+        for uses, rows in zip(parts.column("uses"), parts.column("rows")):
+            uses = np.frombuffer(uses.as_py())[:, None]
+            total = total + uses * np.frombuffer(rows.as_py(), np.float32).reshape(len(uses), -1)
+            weight = weight + uses
+        rows = (total / weight).astype(np.float32).tobytes()
+        return pa.table({"block": parts.column("block")[:1], "rows": pa.array([rows], pa.binary())})
+
+    trained = docs.select(text_col).coalesce(MOST_TRAINERS).mapInArrow(released(fit), "block long, uses binary, rows binary")
+    means = {r["block"]: r["rows"] for r in trained.groupBy("block").applyInArrow(average, "block long, rows binary").collect()}
+    if not means:
         return initial
-    flat = np.zeros(sums.num_rows)
-    flat[sums.column("k").to_numpy()] = sums.column("v").to_numpy()
-    return initial.filled(flat[:-1] / flat[-1])
+    rows = np.frombuffer(b"".join(means[k] for k in range(len(means) - 1)), np.float32).reshape(-1, 2 * WIDTH + 1)
+    return Model(rows[:, :WIDTH].copy(), np.frombuffer(means[-1], np.float32).reshape(2, WIDTH),
+                 rows[:-1, WIDTH:-1].copy(), rows[:-1, -1].copy(), initial.size)
 
 
 # --- the operator ---------------------------------------------------------------------------------
@@ -224,26 +333,40 @@ def score_rows(docs: DataFrame, words: Vocabulary, model: Model, id_col: str, te
     the other tokens, whose log10(count + SMOOTH) both sums still lack."""
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = len(words.frequency)
+        size, start = len(words.frequency), len(model.b)
         logs = np.log10(words.carried_counts + SMOOTH)
         for part in parts:
-            for row, data, offsets in text_blocks(part.column(1), 1 << 23):
+            for row, data, offsets in text_blocks(part.column(1), BLOCK):
                 tokens, classes, first = tokens_of(data, offsets)
                 units = words.units(tokens, classes)
-                one, two = contexts(units, first, span)
-                pairs, back = np.unique(one * (span + 1) + two, return_inverse=True)
+                tops = words.tops(units)
+                one, two = contexts(units, tops, first, start)
+                pairs, back = np.unique(one * (size + 1) + np.minimum(two, size), return_inverse=True)
                 chance, order = np.zeros(len(units)), np.argsort(back, kind="stable")
-                edges = np.searchsorted(back[order], np.arange(0, len(pairs) + 4096, 4096))
-                for k, at in enumerate(range(0, len(pairs), 4096)):
-                    table = model.log_probabilities(pairs[at: at + 4096] // (span + 1), pairs[at: at + 4096] % (span + 1))
+                edges = np.searchsorted(back[order], np.arange(0, len(pairs) + STEP, STEP))
+                for k, at in enumerate(range(0, len(pairs), STEP)):
+                    before = pairs[at: at + STEP] % (size + 1)
+                    table = model.log_probabilities(pairs[at: at + STEP] // (size + 1), np.where(before == size, start, before))
                     pick = order[edges[k]: edges[k + 1]]
-                    chance[pick] = table[back[pick] - at, units[pick]]
+                    chance[pick] = table[back[pick] - at, tops[pick]]
+                within, inner = words.inner_targets(units, tops)
+                order = np.argsort(within, kind="stable")
+                edges = np.searchsorted(within[order], np.arange(CLASSES + 1))
+                for k in np.flatnonzero(np.diff(edges)):
+                    own = slice(size + words.starts[k], size + words.starts[k + 1])
+                    columns = np.append(np.arange(own.start, own.stop), size + len(words.members) + k)
+                    step = max(1, STEP * 512 // len(columns))
+                    for at in range(edges[k], edges[k + 1], step):
+                        pick = order[at: min(at + step, edges[k + 1])]
+                        table = model.log_probabilities(one[pick], two[pick], columns)
+                        place = np.where(inner[pick] >= size + len(words.members), len(columns) - 1, inner[pick] - own.start)
+                        chance[pick] += table[np.arange(len(pick)), place]
                 chance /= math.log(10)
                 place = np.minimum(np.searchsorted(words.carried, tokens), max(len(words.carried) - 1, 0))
                 known = words.carried[place] == tokens if len(words.carried) else np.zeros(len(tokens), bool)
                 log_count = np.where(known, logs[place], 0.0) if len(logs) else np.zeros(len(tokens))
-                in_class = units >= len(words.words)
-                chance += np.where(in_class, log_count - words.class_log[np.maximum(units - len(words.words), 0)], 0.0)
+                shared = (units >= len(words.words)) & (units < size)
+                chance += np.where(shared, log_count - words.rest_log[np.clip(units - len(words.words), 0, CLASSES - 1)], 0.0)
                 base = log_count - math.log10(words.total + SMOOTH * (words.distinct + 1))
                 n = np.diff(first)
                 rare = ~known
@@ -257,7 +380,7 @@ def score_rows(docs: DataFrame, words: Vocabulary, model: Model, id_col: str, te
                     names=["id", "n_tokens", "n_known", "base", "score", "rare"])
 
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(
-        score, "id long, n_tokens long, n_known long, base double, score double, rare array<long>")
+        released(score), "id long, n_tokens long, n_known long, base double, score double, rare array<long>")
 
 
 def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -338,6 +338,53 @@ def test_language_model_is_normalised():
     assert np.exp(table[np.arange(40), (np.arange(40) * 7 + 1) % 40]).mean() > 0.2
 
 
+def test_members_of_classes_are_normalised_and_learnt(spark, monkeypatch):
+    """Two tokens of one class, each always after one word: the member step must tell them apart."""
+    monkeypatch.setattr(lm, "WORDS", 2)
+    rows = [(k, " ".join(["xx aab xx yy aac yy"] * 60)) for k in range(999)] + [(1000, "aax qq")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    words = lm.build_vocabulary(lm.count_tokens(docs, "text").cache())
+    members = {int(h): int(u) for h, u in zip(words.members, words.member_units)}
+    assert len(words.words) == 3 and len(members) == 2 and words.starts[-1] == 2
+    model = lm.train(docs, words, "text")
+    data = np.frombuffer(b"xx aab yy aac aax", np.uint8)
+    tokens, classes, first = lm.tokens_of(data, np.array([0, len(data)]))
+    units = words.units(tokens, classes)
+    tops = words.tops(units)
+    assert [int(t) in members for t in tokens] == [False, True, False, True, False, False]
+    assert tops[1] == tops[3] == tops[4] == units[4] and units[1] != units[3]
+    within, inner = words.inner_targets(units, tops)
+    assert list(within >= 0) == [False, True, False, True, True, False]
+    k = within[1]
+    columns = np.append(np.arange(words.starts[k], words.starts[k + 1]) + len(words.frequency), len(words.frequency) + 2 + k)
+    assert inner[4] == columns[-1]
+    one, two = lm.contexts(units, tops, first, len(model.b))
+    inside = np.exp(model.log_probabilities(one, two, columns))
+    assert np.allclose(inside.sum(1), 1, atol=1e-4) and np.allclose(np.exp(model.log_probabilities(one, two)).sum(1), 1, atol=1e-4)
+    assert inside[1, list(columns).index(units[1])] > 0.8 and inside[3, list(columns).index(units[3])] > 0.8
+    # A text's score is the sum over its tokens of both steps and, in a rest, the token's share.
+    got = {r.doc_id: r for r in lm.score_rows(docs, words, model, "doc_id", "text").withColumnRenamed("id", "doc_id").collect()}[1000]
+    tokens, classes, first = lm.tokens_of(np.frombuffer(b"aax qq", np.uint8), np.array([0, 6]))
+    units = words.units(tokens, classes)
+    tops = words.tops(units)
+    one, two = lm.contexts(units, tops, first, len(model.b))
+    want = model.log_probabilities(one, two)[np.arange(3), tops].sum() + model.log_probabilities(one[:1], two[:1], columns)[0, -1]
+    want = want / np.log(10) + sum(np.log10(1 + lm.SMOOTH) - words.rest_log[k] for k in tops[:2] - len(words.words))
+    assert got.rare == [] and got.score == pytest.approx(want, abs=1e-4)
+
+
+def test_more_text_gives_more_members(spark):
+    def members(size):
+        """Words of frequencies size, size / 2, size / 3, ..."""
+        texts = [(f"w{k:04} " * (size // k),) for k in range(1, size + 1)]
+        return len(lm.build_vocabulary(lm.count_tokens(spark.createDataFrame(texts, "text string"), "text")).members)
+
+    old, lm.WORDS = lm.WORDS, 5
+    found = [members(size) for size in (100, 1000, 4000)]
+    lm.WORDS = old
+    assert 0 < found[0] < found[1] < found[2]
+
+
 # --- decontamination ---
 
 def bench_words(t):
