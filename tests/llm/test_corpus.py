@@ -341,7 +341,7 @@ def test_language_model_is_normalised():
 def test_members_of_classes_are_normalised_and_learnt(spark, monkeypatch):
     """Two tokens of one class, each always after one word: the member step must tell them apart."""
     monkeypatch.setattr(lm, "WORDS", 2)
-    rows = [(k, " ".join(["xx aab xx yy aac yy"] * 60)) for k in range(999)] + [(1000, "aax qq")]
+    rows = [(k, " ".join(["xx aab xx yy aac yy"] * 60)) for k in range(999)] + [(1000, "aax qr")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     words = lm.build_vocabulary(lm.count_tokens(docs, "text").cache())
     members = {int(h): int(u) for h, u in zip(words.members, words.member_units)}
@@ -364,7 +364,7 @@ def test_members_of_classes_are_normalised_and_learnt(spark, monkeypatch):
     assert inside[1, list(columns).index(units[1])] > 0.8 and inside[3, list(columns).index(units[3])] > 0.8
     # A text's score is the sum over its tokens of both steps and, in a rest, the token's share.
     got = {r.doc_id: r for r in lm.score_rows(docs, words, model, "doc_id", "text").withColumnRenamed("id", "doc_id").collect()}[1000]
-    tokens, classes, first = lm.tokens_of(np.frombuffer(b"aax qq", np.uint8), np.array([0, 6]))
+    tokens, classes, first = lm.tokens_of(np.frombuffer(b"aax qr", np.uint8), np.array([0, 6]))
     units = words.units(tokens, classes)
     tops = words.tops(units)
     one, two = lm.contexts(units, tops, first, len(model.b))
