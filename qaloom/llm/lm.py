@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import held_out, released
+from qaloom.llm.common import flat_ranges, held_out, released
 from qaloom.llm.hashing import LOWER, text_blocks, words_in
 from qaloom.session import materialize
 
-WORDS, CLASSES, WIDTH, NOISE, INNER_NOISE, BATCH = 383, 128, 16, 24, 3, 2048
+WORDS, CLASSES, WIDTH, NOISE, INNER_NOISE, BATCH = 383, 128, 16, 24, 2, 2048
 # A token is a member of its class if it occurs at least total ** POWER / SPREAD times: at most
 # SPREAD * total ** (1 - POWER) tokens do, by frequency laws a tenth of that; six million in 100 TB is the bound.
 POWER, SPREAD = 0.6, 32
@@ -33,8 +33,9 @@ POWER, SPREAD = 0.6, 32
 MOST_TRAINERS = 4096
 # Bytes of text scored at once, and units whose parameters travel in one row.
 BLOCK, UNITS_A_ROW = 1 << 22, 64
-# Distinct contexts whose probabilities of all units are held at once.
-STEP = 4096
+# Scores held at once: a table of contexts by units that fits a core's cache.
+TABLE = 1 << 18
+SHORT_RUN = 6
 # Counts of at most so many frequent tokens travel with the tasks; the counts of all others are joined.
 MOST_CARRIED = 1_000_000
 SMOOTH = 0.1
@@ -192,7 +193,7 @@ class Model:
         return out
 
     def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.R[one] * self.D[0] + self.R[two] * self.D[1]
+        return self.R.take(one, 0) * self.D[0] + self.R.take(two, 0) * self.D[1]
 
     def log_probabilities(self, one: np.ndarray, two: np.ndarray, units: np.ndarray | slice | None = None) -> np.ndarray:
         """Natural logs of the probabilities of ``units`` (all tokens and classes if not given), which sum to 1, after
@@ -203,6 +204,24 @@ class Model:
         return scores - np.log(np.exp(scores).sum(1, keepdims=True))
 
 
+    def log_chosen(self, one: np.ndarray, two: np.ndarray, units: np.ndarray | slice, row: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural logs of the probabilities of ``units[target]`` after contexts ``row`` (ascending), table by table."""
+        weights = np.concatenate([self.Q[units], self.b[units, None]], 1).T.copy()
+        step = max(16, TABLE // weights.shape[1])
+        edges = np.searchsorted(row, np.arange(0, len(one) + step, step))
+        out = np.zeros(len(row))
+        for k, at in enumerate(range(0, len(one), step)):
+            hidden = self.hidden(one[at: at + step], two[at: at + step])
+            scores = np.concatenate([hidden, np.ones((len(hidden), 1), np.float32)], 1) @ weights
+            scores -= scores.max(1, keepdims=True)
+            mine = slice(edges[k], edges[k + 1])
+            of = row[mine] - at
+            chosen = scores[of, target[mine]]
+            np.exp(scores, out=scores)
+            out[mine] = chosen - np.log(scores.sum(1))[of]
+        return out
+
+
 def contexts(units: np.ndarray, tops: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """The unit before each token and the token or class before that; ``start`` stands before a row's first token."""
     one, two = np.full(len(units), start), np.full(len(units), start)
@@ -214,6 +233,25 @@ def contexts(units: np.ndarray, tops: np.ndarray, first: np.ndarray, start: int)
     return one, two
 
 
+def run_sums(values: np.ndarray, edges: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each run: short ones row by row, all runs at once, long ones column by column."""
+    if values.ndim == 1:
+        return np.add.reduceat(values, edges)
+    out = values.take(edges, 0)
+    short = np.flatnonzero((runs > 1) & (runs <= SHORT_RUN))
+    for k in range(1, SHORT_RUN):
+        short = short[runs[short] > k]
+        if not len(short):
+            break
+        out[short] += values.take(edges[short] + k, 0)
+    long = np.flatnonzero(runs > SHORT_RUN)
+    if len(long):
+        of = np.repeat(np.arange(len(long)), runs[long])
+        picked = values.take(flat_ranges(edges[long], runs[long]), 0).T.astype(np.float64)
+        out[long] = np.stack([np.bincount(of, column, len(long)) for column in picked], 1)
+    return out
+
+
 class Trainer:
     """Noise-contrastive steps with Adagrad on the rows a batch touches; one set of noise units serves a batch, and
     within classes every token has its own."""
@@ -232,54 +270,62 @@ class Trainer:
             self.shares = np.cumsum(words.inner[order])
             self.inner_offset = np.log(INNER_NOISE * words.inner).astype(np.float32)
 
-    def learn(self, name: str, at: np.ndarray, grads: np.ndarray, scale: float, rate: float) -> None:
+    def learn(self, at: np.ndarray, rate: float, **grads: np.ndarray) -> None:
         """Adds up the gradients of equal rows and moves those rows."""
+        if len(self.m.R) < 1 << 16:
+            at = at.astype(np.uint16)  # sorted by radix
         order = np.argsort(at, kind="stable")
         ranked = at[order]
         edges = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1])
-        rows, g = ranked[edges], np.add.reduceat(grads[order], edges, axis=0) * np.float32(scale)
-        seen, values = self.seen[name], getattr(self.m, name)
-        now = seen[rows] + g * g
-        seen[rows] = now
-        values[rows] -= rate * g / np.sqrt(now)
+        rows, runs = ranked[edges], np.diff(edges, append=len(order))
+        for name, g in grads.items():
+            g = run_sums(g.take(order, 0), edges, runs)
+            seen, values = self.seen[name], getattr(self.m, name)
+            now = seen.take(rows, 0) + g * g
+            seen[rows] = now
+            values[rows] = values.take(rows, 0) - np.float32(rate) * g / np.sqrt(now)
 
     def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray, inner: np.ndarray | None = None,
              classes: np.ndarray | None = None, rate: float = 0.08) -> None:
-        m, scale = self.m, 50 / len(target)
+        m, scale = self.m, np.float32(50 / len(target))
         noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), m.size - 1)
-        r_one, r_two = m.R[one], m.R[two]
+        r_one, r_two = m.R.take(one, 0), m.R.take(two, 0)
         hidden = r_one * m.D[0] + r_two * m.D[1]
-        q_target, q_noise = m.Q[target], m.Q[noise]
+        q_target, q_noise = m.Q.take(target, 0), m.Q[noise]
         s_target = np.einsum("ij,ij->i", hidden, q_target) + m.b[target] - self.offset[target]
         s_noise = hidden @ q_noise.T + (m.b[noise] - self.offset[noise])
-        g_target = 0.5 * (np.tanh(0.5 * s_target) - 1)
-        g_noise = 0.5 * (np.tanh(0.5 * s_noise) + 1)
+        g_target = scale * 0.5 * (np.tanh(0.5 * s_target) - 1)
+        g_noise = scale * 0.5 * (np.tanh(0.5 * s_noise) + 1)
         d_hidden = g_target[:, None] * q_target + g_noise @ q_noise
         at, d_q, d_b = [target, noise], [g_target[:, None] * hidden, g_noise.T @ hidden], [g_target, g_noise.sum(0)]
         pick = np.flatnonzero(classes >= 0) if classes is not None else ()
         if len(pick):
-            k, h = classes[pick, None], hidden[pick]
-            drawn = np.searchsorted(self.shares, k + self.rng.random((len(pick), INNER_NOISE)))
-            units = np.concatenate([inner[pick, None], self.columns[np.clip(drawn, self.edges[k], self.edges[k + 1] - 1)]], 1)
-            q = m.Q[units]
-            g = 0.5 * (np.tanh(0.5 * (np.einsum("ij,ikj->ik", h, q) + m.b[units] - self.inner_offset[units - m.size])) + 1)
-            g[:, 0] -= 1
-            d_hidden[pick] += np.einsum("ik,ikj->ij", g, q)
-            at.append(units.ravel())
-            d_q.append((g[:, :, None] * h[:, None, :]).reshape(-1, WIDTH))
-            d_b.append(g.ravel())
-            np.add.at(self.uses, units[:, 0], 1)
-        np.add.at(self.uses, target, 1)
-        np.add.at(self.uses, one, 1)
+            k, h, own = classes[pick], hidden.take(pick, 0), inner[pick]
+            d_inner = np.zeros_like(h)
+            for n in range(INNER_NOISE + 1):
+                unit = own
+                if n:
+                    drawn = np.searchsorted(self.shares, k + self.rng.random(len(pick)))
+                    unit = self.columns[np.clip(drawn, self.edges[k], self.edges[k + 1] - 1)]
+                q = m.Q.take(unit, 0)
+                g = np.einsum("ij,ij->i", h, q) + m.b[unit] - self.inner_offset[unit - m.size]
+                g = scale * 0.5 * (np.tanh(0.5 * g) + (1 if n else -1))
+                d_inner += g[:, None] * q
+                at.append(unit)
+                d_q.append(g[:, None] * h)
+                d_b.append(g)
+            d_hidden[pick] += d_inner
         d_position = np.stack([(d_hidden * r_one).sum(0), (d_hidden * r_two).sum(0)])
-        context = np.concatenate([d_hidden * m.D[0], d_hidden * m.D[1]])
-        at = np.concatenate(at)
-        self.learn("Q", at, np.concatenate(d_q), scale, rate)
-        self.learn("b", at, np.concatenate(d_b).astype(np.float32), scale, rate)
-        self.learn("R", np.concatenate([one, two]), context, scale, rate)
-        self.learn("D", np.arange(2), d_position, scale, rate)
+        self.learn(np.concatenate(at), rate, Q=np.concatenate(d_q), b=np.concatenate(d_b))
+        self.learn(np.concatenate([one, two]), rate, R=np.concatenate([d_hidden * m.D[0], d_hidden * m.D[1]]))
+        self.learn(np.arange(2), rate, D=d_position)
         self.tokens += len(target)
 
+    def count(self, *units: np.ndarray) -> None:
+        """Notes how often units were context or target."""
+        for u in units:
+            self.uses += np.bincount(u, minlength=len(self.uses))
+
 
 def train(docs: DataFrame, words: Vocabulary, text_col: str) -> Model:
     """One pass over all of ``docs``: every task trains on its rows, vectors are averaged by their uses."""
@@ -295,6 +341,7 @@ def train(docs: DataFrame, words: Vocabulary, text_col: str) -> Model:
                 tops = words.tops(units)
                 one, two = contexts(units, tops, first, start)
                 within, inner = words.inner_targets(units, tops)
+                trainer.count(tops, one, inner[within >= 0])
                 order = trainer.rng.permutation(len(units))
                 for at in range(0, len(order), BATCH):
                     pick = order[at: at + BATCH]
@@ -343,24 +390,18 @@ def score_rows(docs: DataFrame, words: Vocabulary, model: Model, id_col: str, te
                 one, two = contexts(units, tops, first, start)
                 pairs, back = np.unique(one * (size + 1) + np.minimum(two, size), return_inverse=True)
                 chance, order = np.zeros(len(units)), np.argsort(back, kind="stable")
-                edges = np.searchsorted(back[order], np.arange(0, len(pairs) + STEP, STEP))
-                for k, at in enumerate(range(0, len(pairs), STEP)):
-                    before = pairs[at: at + STEP] % (size + 1)
-                    table = model.log_probabilities(pairs[at: at + STEP] // (size + 1), np.where(before == size, start, before))
-                    pick = order[edges[k]: edges[k + 1]]
-                    chance[pick] = table[back[pick] - at, tops[pick]]
+                before = pairs % (size + 1)
+                before = np.where(before == size, start, before)
+                chance[order] = model.log_chosen(pairs // (size + 1), before, slice(0, size), back[order], tops[order])
                 within, inner = words.inner_targets(units, tops)
                 order = np.argsort(within, kind="stable")
                 edges = np.searchsorted(within[order], np.arange(CLASSES + 1))
                 for k in np.flatnonzero(np.diff(edges)):
                     own = slice(size + words.starts[k], size + words.starts[k + 1])
                     columns = np.append(np.arange(own.start, own.stop), size + len(words.members) + k)
-                    step = max(1, STEP * 512 // len(columns))
-                    for at in range(edges[k], edges[k + 1], step):
-                        pick = order[at: min(at + step, edges[k + 1])]
-                        table = model.log_probabilities(one[pick], two[pick], columns)
-                        place = np.where(inner[pick] >= size + len(words.members), len(columns) - 1, inner[pick] - own.start)
-                        chance[pick] += table[np.arange(len(pick)), place]
+                    pick = order[edges[k]: edges[k + 1]]
+                    place = np.where(inner[pick] >= size + len(words.members), len(columns) - 1, inner[pick] - own.start)
+                    chance[pick] += model.log_chosen(one[pick], two[pick], columns, np.arange(len(pick)), place)
                 chance /= math.log(10)
                 place = np.minimum(np.searchsorted(words.carried, tokens), max(len(words.carried) - 1, 0))
                 known = words.carried[place] == tokens if len(words.carried) else np.zeros(len(tokens), bool)
