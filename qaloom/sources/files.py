@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,44 @@ def text_source(spark: SparkSession, path: str | list[str], glob: str = "*.txt")
     ).filter(has_text("content"))
 
 
+# Characters Spark writes as %XX in the name of a partition folder.
+_ESCAPED = {chr(c) for c in range(32)} | set("\"#%'*/:=?\\\x7f{[]^")
+
+
+def text_sink(df: DataFrame, path: str, text: str, by: str) -> None:
+    """Every row's ``text`` and a line end as a file of its own below ``path``, in the folder ``by=value``.
+
+    Tasks write their files themselves where ``path`` is in a file system that they have mounted: Spark's writer
+    commits each file through Hadoop, which starts a process to set its mode. A file is named by its task and place
+    there, so a repeated task replaces its own. Elsewhere Spark's writer makes the files.
+    """
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(place).toUri()
+    if uri.getScheme() != "file":
+        df.select(text, by).write.option("maxRecordsPerFile", 1).partitionBy(by).text(path)
+        return
+    root = uri.getPath()
+
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, number, made = TaskContext.get().partitionId(), 0, {}
+        for part in parts:
+            for content, value in zip(part.column(0), part.column(1).to_pylist()):
+                if value not in made:
+                    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value or "__HIVE_DEFAULT_PARTITION__")
+                    made[value] = os.path.join(root, f"{by}={name}", f"part-{task:05d}")
+                    os.makedirs(made[value], exist_ok=True)
+                with open(os.path.join(made[value], f"{number:08d}.txt"), "wb") as file:
+                    file.write((content.as_py() or b"") + b"\n")
+                number += 1
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64())], names=["files"])
+
+    os.makedirs(root, exist_ok=True)
+    df.select(F.col(text).cast("binary"), F.col(by).cast("string")).mapInArrow(write, "files long").agg(F.sum("files")).first()
+
+
 def multi_input(spark: SparkSession, dirs: dict[str, str] | list[str] | str, glob: str = "*.txt") -> DataFrame:
     """The same text source over several directories, each row labelled with its own.
 
