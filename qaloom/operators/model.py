@@ -15,12 +15,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qaloom.session import small_batches
+
 Client = Callable[..., "str | tuple[str, str | None]"]
 
 # Tries per prompt and the pause between them.
 MAX_TRIES = 16
 RETRY_SECONDS = 5.0
 
+_CALL = "_model_call"
+
 
 def ask(client: Client, given: tuple, tries: int, pause: float) -> tuple[str | None, str | None, str | None]:
     """Reply, error and reasoning of one call; reply or error is set for a non-NULL prompt."""
@@ -65,26 +69,59 @@ def model_map(
     """
 
     inputs = [prompt, image] if image else [prompt]
+    spread = df.repartition(partitions) if partitions else df
+    names = {"reply": reply, "error": error} | ({"reasoning": reasoning} if reasoning else {})
+    kept = [c for c in df.columns if c not in names.values()]
+    called = _called(spread, client_factory, [inputs], concurrency, tries, pause)
+    return called.select(*kept, *[F.col(f"{_CALL}.{field}0").alias(name) for field, name in names.items()])
+
+
+def model_fanout(
+    df: DataFrame,
+    client_factory: Callable[[], Client],
+    calls: list[tuple[str, str, str]],
+    concurrency: int = 1,
+    tries: int = MAX_TRIES,
+    pause: float = RETRY_SECONDS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Several prompts of a row in one step: ``calls`` names a (prompt, reply, error) column for each.
+
+    The result is that of one ``model_map`` after the other. Those would be as many Python workers at a
+    time for every core; here it is one, whatever the number of prompts.
+    """
+    spread = df.repartition(partitions) if partitions else df
+    names = [name for _, *made in calls for name in made]
+    called = _called(spread, client_factory, [[p] for p, _, _ in calls], concurrency, tries, pause)
+    told = [F.col(f"{_CALL}.{field}{i}").alias(name) for i, (_, *made) in enumerate(calls) for field, name in zip(("reply", "error"), made)]
+    return called.select(*[c for c in df.columns if c not in names], *told)
 
-    @F.pandas_udf("reply string, error string, reasoning string")
+
+def _called(df: DataFrame, client_factory: Callable[[], Client], calls: list[list[str]], concurrency: int, tries: int, pause: float) -> DataFrame:
+    """``df`` with ``_CALL``: fields reply, error and reasoning, numbered, for each list of a client's input columns."""
+    small_batches(df.sparkSession)
+    width = [len(inputs) for inputs in calls]
+    fields = [f"{field}{i}" for i in range(len(calls)) for field in ("reply", "error", "reasoning")]
+
+    @F.pandas_udf(", ".join(f"{f} string" for f in fields))
     def call(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         client = client_factory()
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
             for columns in batches:
                 columns = columns if isinstance(columns, tuple) else (columns,)
-                given = list(zip(*[[None if pd.isna(v) else v for v in c] for c in columns]))
-                if concurrency == 1:
-                    answers = [ask(client, g, tries, pause) for g in given]
-                else:
-                    answers = list(pool.map(lambda g: ask(client, g, tries, pause), given))
-                yield pd.DataFrame(answers, columns=["reply", "error", "reasoning"], dtype=object)
+                values = iter([[None if pd.isna(v) else v for v in c] for c in columns])
+                answers = []
+                for n in width:
+                    given = list(zip(*[next(values) for _ in range(n)]))
+                    if concurrency == 1:
+                        answers.append([ask(client, g, tries, pause) for g in given])
+                    else:
+                        answers.append(list(pool.map(lambda g: ask(client, g, tries, pause), given)))
+                rows = [sum(row, ()) for row in zip(*answers)]
+                yield pd.DataFrame(rows, columns=fields, dtype=object)
 
     call = call.asNondeterministic()
-    spread = df.repartition(partitions) if partitions else df
-    names = {"reply": reply, "error": error} | ({"reasoning": reasoning} if reasoning else {})
-    kept = [c for c in df.columns if c not in names.values()]
-    called = spread.select("*", call(*[F.col(c) for c in inputs]).alias("_model_call"))
-    return called.select(*kept, *[F.col(f"_model_call.{field}").alias(name) for field, name in names.items()])
+    return df.select("*", call(*[F.col(c) for inputs in calls for c in inputs]).alias(_CALL))
 
 
 def drop_failed(df: DataFrame, reply: str = "reply") -> DataFrame:

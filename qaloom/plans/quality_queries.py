@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from qaloom.functions.reply import reply_score as score_of
 from qaloom.functions.text import escape_json, first_int
 from qaloom.operators import augment, quality
-from qaloom.operators.model import model_map
+from qaloom.operators.model import model_fanout, model_map
 from qaloom.plans.fixtures import (
     MCQ_SQL, QA_SQL, bucket_sql, documents, echo_client, echo_sql, first_int_sql, judge_client, judge_sql, mcq, qa, single_quoted, table,
 )
@@ -109,9 +109,8 @@ scored AS (SELECT *, (s0 + s1 + s2 + s3) / 4.0::DOUBLE AS overall_score FROM che
 
 
 def checked(spark, sf_dir):
-    rows = qa(spark, sf_dir).select("qa_id", "question")
-    for i, name in enumerate(NAMES):
-        rows = model_map(rows.withColumn("p", F.concat(F.lit(name), "question")), judge_client, "p", f"r{i}", f"e{i}", **CALL)
+    rows = qa(spark, sf_dir).select("qa_id", "question", *[F.concat(F.lit(name), "question").alias(f"p{i}") for i, name in enumerate(NAMES)])
+    rows = model_fanout(rows, judge_client, [(f"p{i}", f"r{i}", f"e{i}") for i in range(len(NAMES))], **CALL)
     checks = F.array(*[quality.check(n, f"r{i}", f"r{i}") for i, n in enumerate(NAMES)])
     return quality.dimension_score(rows.withColumn("checks", checks)).withColumn("error", F.col("e0"))
 
