@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +72,8 @@ def irregular_groups(a: list[int], b: list[int]) -> list[tuple[int, int, int, in
 
 def group_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of tokens of each side before the end of each group: every place where both sides end."""
-    found = np.array(irregular_groups(a.tolist(), b.tolist()), np.int64).reshape(-1, 4)
+    groups = irregular_groups(a.tolist(), b.tolist())
+    found = np.fromiter(chain.from_iterable(groups), np.int64, 4 * len(groups)).reshape(-1, 4)
     ends = []
     for side, (first, after) in zip((a, b), ((found[:, 0], found[:, 1]), (found[:, 2], found[:, 3]))):
         last = np.ones(len(side), bool)
@@ -102,7 +104,8 @@ class BytePieces:
 
     def encode(self, text: str) -> np.ndarray:
         if not LONG_RUN.search(text):
-            return self._quick.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
+            # No string is special here, so none is looked for.
+            return np.array(self._quick.encode_ordinary(" " + text), np.int64)
         # Merges of the quicker library are quadratic in a run's length.
         if self._slow is None:
             from tokenizers import Tokenizer
@@ -161,19 +164,25 @@ def link_keys(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b:
             held = [reduced(held)]
             size = len(held[0][0]) // 2
 
-    narrow = np.flatnonzero(links <= WIDE_GROUP)
-    for at in range(0, len(narrow), HELD_PAIRS // WIDE_GROUP * 64):
-        rows = narrow[at: at + HELD_PAIRS // WIDE_GROUP * 64]
+    # Most groups are one token to one: their pairs need no division.
+    one = np.flatnonzero(links == 1)
+    narrow = np.flatnonzero((links > 1) & (links <= WIDE_GROUP))
+    step = HELD_PAIRS // WIDE_GROUP * 64
+    for at in range(0, max(len(one), len(narrow)), step):
+        rows, single = narrow[at: at + step], one[at: at + step]
         of = np.repeat(rows, links[rows])
         place = np.arange(len(of)) - np.repeat(np.cumsum(links[rows]) - links[rows], links[rows])
-        left, right = ids_a[starts_a[of] + place // n_b[of]], ids_b[starts_b[of] + place % n_b[of]]
-        add(left << 32 | right, np.ones(len(of), np.int64))
+        across, down = np.divmod(place, n_b[of])
+        left = np.concatenate([ids_a[starts_a[single]], ids_a[starts_a[of] + across]])
+        right = np.concatenate([ids_b[starts_b[single]], ids_b[starts_b[of] + down]])
+        # Each counts once, so they are sorted without their places.
+        add(*np.unique(left << 32 | right, return_counts=True))
     for g in np.flatnonzero(links > WIDE_GROUP):
         left, times = np.unique(ids_a[starts_a[g]: ends_a[g]], return_counts=True)
         right, counts = np.unique(ids_b[starts_b[g]: ends_b[g]], return_counts=True)
         for x, k in zip(left, times):
             add(x << 32 | right, k * counts)
-    return reduced(held)
+    return held[0] if len(held) == 1 and not (links > WIDE_GROUP).any() else reduced(held)
 
 
 def reduced(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
