@@ -61,23 +61,18 @@ def chunk_values(df: DataFrame) -> DataFrame:
     """``source_file, list, value, position``: each distinct list value of a multi-chunk source once.
 
     ``position`` orders values by first occurrence. Values are reduced where they are before the
-    shuffle, so neither a long source nor a repeated value makes a large group.
+    shuffle, so neither a long source nor a repeated value makes a large group. Lists go by number until they
+    are named at the end, and items are made by generators, not by functions on arrays.
     """
-
-    def tag(name: str, path: str) -> Column:
-        return F.transform(
-            _list(path),
-            lambda v, i: F.struct(F.lit(name).alias("list"), v.alias("value"), _place(i).alias("position")),
-        )
-
-    tagged = F.flatten(F.array(*[tag(n, p) for n, p in zip(KNOWLEDGE_LISTS, _PATHS)]))
-    return (
+    lists = F.array(*[_list(path) for path in _PATHS])
+    items = (
         df.filter(_chunked())
-        .select("source_file", F.explode(tagged).alias("item"))
-        .select("source_file", "item.*")
-        .groupBy("source_file", "list", "value")
-        .agg(F.min("position").alias("position"))
+        .select("source_file", "chunk_index", F.posexplode(lists).alias("_list", "_values"))
+        .select("source_file", "_list", "chunk_index", F.posexplode("_values").alias("_i", "value"))
     )
+    found = items.groupBy("source_file", "_list", "value").agg(F.min(_place(F.col("_i"))).alias("position"))
+    names = F.array(*[F.lit(n) for n in KNOWLEDGE_LISTS])
+    return found.select("source_file", F.get(names, F.col("_list")).alias("list"), "value", "position")
 
 
 def _place(i: Column) -> Column:
