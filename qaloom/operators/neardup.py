@@ -2,20 +2,23 @@
 
 Records whose texts have the same set of word shingles are one entry from the start. Entries that agree in any
 band of their min-hash signature meet; a pair counts if its sets overlap by the threshold. Small
-buckets meet in a join; large ones are cut into blocks and compared block by block, so a bucket with a third of all
+buckets meet in a join. In a large one all entries meet its most typical one first; those that are not connected to
+the rest after that are compared with everything else block by block, so a bucket with a third of all
 entries is many tasks, and only a spanning forest of its links leaves them.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.session import checked_broadcast, materialize
+from qaloom.session import checked_broadcast, materialize, spread
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -25,20 +28,16 @@ BANDS, BAND_ROWS = 40, 4
 SMALL_BUCKET = 32
 BLOCK_ENTRIES = 512
 BLOCK_SHINGLES = 1 << 19
-# Fixed values of a 64-bit mixing function.
+# Bins that the shingles of a block's entries are dealt to before pairs are compared.
+MOST_BINS = 1 << 12
+# Text hashed at once; a longer text is hashed alone.
+BLOCK_BYTES = 1 << 20
+# Ids of candidates that may be broadcast: 8 bytes each.
+BROADCAST_IDS = 1_000_000
+# Fixed values of a 64-bit mixing function, and an odd multiplier with its inverse.
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-
-
-def shingle_hashes(col: str, size: int = SHINGLE_WORDS) -> Column:
-    """The sorted distinct hashes of all runs of ``size`` words, case ignored; fewer words are one run, none give []."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(col), F.lit(""))), r"\s+"), lambda w: w != "")
-
-    def runs(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (size - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice(w, i, size))))
-
-    found = F.element_at(F.transform(F.array(words), runs), 1)
-    return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(F.array_sort(F.array_distinct(found)))
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -47,32 +46,99 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_FACTORS = (_mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(_BASE)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the runs values[start: end], equal for equal runs wherever they stand."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(_BASE, len(values)), out=total[1:])
+    return _mix((total[ends] - total[starts]) * _powers(_INVERSE, len(total))[starts] + (ends - starts).astype(np.uint64))
+
+
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``size`` words of the texts data[offsets[i]: offsets[i + 1]], and where each text's begin.
+
+    Words lie between white space. A text of fewer words, but not none, is one run.
+    """
+    letter = ~_SPACE[data]
+    begins, stops = letter.copy(), letter.copy()
+    begins[1:] &= ~letter[:-1]
+    stops[:-1] &= ~letter[1:]
+    # Words do not go on in the next text.
+    edges = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
+    begins[edges] |= letter[edges]
+    stops[edges - 1] |= letter[edges - 1]
+    starts = np.flatnonzero(begins)
+    words = _run_hashes(_BYTES[data], starts, np.flatnonzero(stops) + 1)
+    first = np.searchsorted(starts, offsets)
+    counts = np.diff(first)
+    runs = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+    begin = np.concatenate([[0], np.cumsum(runs)])
+    row = np.repeat(np.arange(len(counts)), runs)
+    at = first[row] + np.arange(begin[-1]) - begin[row]
+    return _run_hashes(words, at, np.minimum(at + size, first[row + 1])), begin
+
+
 def band_keys(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A row of ``BANDS`` keys for each run values[offsets[i]: offsets[i + 1]], none of them empty."""
+    """A row of ``BANDS`` keys for each run values[offsets[i]: offsets[i + 1]], none of them empty.
+
+    The values are hashes already, so an odd multiplier each is enough to order their upper halves anew.
+    """
     keys = np.zeros((len(offsets) - 1, BANDS), np.uint64)
-    values = values.view(np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(BANDS * BAND_ROWS):
-            least = np.minimum.reduceat(_mix(values + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))), offsets[:-1])
-            keys[:, k // BAND_ROWS] = _mix(keys[:, k // BAND_ROWS] * np.uint64(31) + least)
+    upper = (values.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+    for k, factor in enumerate(_FACTORS):
+        least = np.minimum.reduceat(upper * factor, offsets[:-1])
+        keys[:, k // BAND_ROWS] = _mix(keys[:, k // BAND_ROWS] * np.uint64(31) + least)
     return keys.view(np.int64)
 
 
-def _signed(entries: DataFrame) -> DataFrame:
-    """``entry, hashes`` with ``bands``, the keys of every band."""
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, row offsets) of consecutive rows of about ``BLOCK_BYTES``."""
+    sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
+    row = 0
+    while row < len(texts):
+        stop = max(row + 1, int(np.searchsorted(sizes, sizes[row] + BLOCK_BYTES, "right")) - 1)
+        some = texts.slice(row, stop - row)
+        data = np.frombuffer(b"".join(x.as_buffer() for x in some), np.uint8)
+        yield row, stop, data, sizes[row: stop + 1] - sizes[row]
+        row = stop
+
+
+def _signed(records: DataFrame, text: str, size: int) -> DataFrame:
+    """``id, n, hashes, same, bands`` of ``id, <text>``: the set of shingles, its size, its digest and its band keys.
+
+    Texts without words have no digest and no keys. Case is folded by Spark before.
+    """
 
     def sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for at in range(0, part.num_rows, 256):
-                some = part.slice(at, 256)
-                lists = some.column("hashes")
-                offsets = lists.offsets.to_numpy().astype(np.int64)
-                values = lists.flatten().to_numpy()
-                keys = band_keys(values, offsets - offsets[0])
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([*some.columns, bands], names=[*some.schema.names, "bands"])
-
-    return entries.mapInArrow(sign, "entry long, hashes array<bigint>, bands array<bigint>")
+            for row, stop, data, offsets in _blocks(part.column(1)):
+                found, begin = shingle_hashes(data, offsets, size)
+                found = found.view(np.int64)
+                sets = [np.unique(found[x:y]) for x, y in zip(begin[:-1].tolist(), begin[1:].tolist())]
+                sizes = np.array([len(x) for x in sets])
+                some = sizes > 0
+                values = np.concatenate([np.zeros(0, np.int64), *sets])
+                first = np.concatenate([[0], np.cumsum(sizes)])
+                keys = band_keys(values, np.append(first[:-1][some], first[-1])) if some.any() else np.zeros((0, BANDS), np.int64)
+                same = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).slice(row, stop - row), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values)),
+                     pa.array(same, pa.binary()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys.ravel()))],
+                    names=["id", "n", "hashes", "same", "bands"])
+
+    lower = F.lower(F.coalesce(F.col(text), F.lit(""))).cast("binary")
+    return spread(records).select("id", lower.alias("text")).mapInArrow(sign, "id long, n int, hashes array<bigint>, same binary, bands array<bigint>")
 
 
 def similar(one: Column, other: Column, percent: int) -> Column:
@@ -83,74 +149,133 @@ def similar(one: Column, other: Column, percent: int) -> Column:
     return fits & F.when(fits, 100 * both >= percent * (n + m - both)).otherwise(False)
 
 
-def forest_links(ids: list[int], sets: list[np.ndarray], bands: np.ndarray, band: int, side: list[bool], percent: int) -> list[tuple[int, int]]:
+def _far_apart(sets: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
+    """For each set in turn, which of the sets up to it surely overlap by less than ``percent``.
+
+    Sets are dealt to bins by their values. Bins that only one of two sets has count members that only one
+    of them has, so no pair that overlaps enough is ever marked. ``sets`` go from small to large.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    bins = min(max(256, 1 << int(2 * sizes[-1]).bit_length()), MOST_BINS)
+    taken = np.zeros((len(sets), bins), np.float32)
+    for k, x in enumerate(sets):
+        taken[k, x & (bins - 1)] = 1
+    held = taken.sum(1)
+    for low in range(0, len(sets), 256):
+        high = min(low + 256, len(sets))
+        only_one = held[low:high, None] + held[None, :high] - 2 * (taken[low:high] @ taken[:high].T)
+        total = sizes[low:high, None] + sizes[None, :high]
+        yield from (100 + percent) * (total - only_one) < 2 * percent * total
+
+
+def forest_links(
+    ids: list[int], sets: list[np.ndarray], bands: np.ndarray, band: int, side: list[bool], percent: int, label: list[int] | None = None
+) -> list[tuple[int, int]]:
     """A spanning forest of the links among the entries of one block pair.
 
     Entries of one block are compared among themselves where the pair is a block and itself, else with those of the
-    other (``side``). Entries that met in an earlier band, or are connected already, are not compared.
+    other (``side``). Entries that met in an earlier band, or are connected already (equal ``label``), are not compared.
     """
-    order = sorted(range(len(ids)), key=lambda k: len(sets[k]))
-    root = list(range(len(ids)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    mixed = any(side) and not all(side)
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    sets = [sets[k] for k in order]
+    ids, bands, sides = np.asarray(ids)[order], bands[order], np.asarray(side, bool)[order]
+    root = np.unique(ids if label is None else np.asarray(label)[order], return_inverse=True)[1]
+    mixed = sides.any() and not sides.all()
     links = []
-    for place, k in enumerate(order):
-        for other in order[:place][::-1]:
-            if 100 * len(sets[other]) < percent * len(sets[k]):
-                break  # all that follow are smaller still
-            if mixed and side[k] == side[other] or find(k) == find(other):
-                continue
-            if (bands[k][:band] == bands[other][:band]).any():
+    for k, far in enumerate(_far_apart(sets, percent)):
+        maybe = ~far[:k] & (root[:k] != root[k])
+        if mixed:
+            maybe &= sides[:k] != sides[k]
+        others = np.flatnonzero(maybe)
+        others = others[~(bands[others, :band] == bands[k, :band]).any(1)]
+        for other in others[::-1].tolist():
+            if root[other] == root[k]:
                 continue
             both = len(np.intersect1d(sets[k], sets[other], assume_unique=True))
             if 100 * both >= percent * (len(sets[k]) + len(sets[other]) - both):
-                root[find(k)] = find(other)
-                links.append((ids[k], ids[other]))
+                root[root == root[k]] = root[other]
+                links.append((int(ids[k]), int(ids[other])))
     return links
 
 
-def _block_links(buckets: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links within buckets ``band, key, n, shingles`` of more than ``SMALL_BUCKET`` entries."""
-    cut = buckets.withColumn("blocks", F.greatest(F.ceil(F.col("n") / BLOCK_ENTRIES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int"))
-    rows = signed.select("entry", "hashes", "bands", F.posexplode("bands").alias("band", "key")).join(checked_broadcast(cut), ["band", "key"])
-    own = F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int")
-    pairs = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "entry", "hashes", "bands")
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose sets are similar. Only sets of entries in pairs are moved."""
+    taken = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
+    held = materialize(sets.join(checked_broadcast(taken, BROADCAST_IDS), "entry", "left_semi"), "sets")
+    return (
+        pairs.join(held.select(F.col("entry").alias("a"), F.col("hashes").alias("of_a")), "a")
+        .join(held.select(F.col("entry").alias("b"), F.col("hashes").alias("of_b")), "b")
+        .filter(similar(F.col("of_a"), F.col("of_b"), percent)).select("a", "b")
+    )
+
+
+def _fit(one: str, other: str, percent: int) -> Column:
+    return 100 * F.least(one, other) >= percent * F.greatest(one, other)
+
+
+def _leader_pairs(crowd: DataFrame, percent: int) -> DataFrame:
+    """(a, b): entries of large buckets ``band, key, many, entry, n`` with the bucket's most typical entry.
+
+    That is the one whose buckets hold most entries: it agrees with most others.
+    """
+    weight = crowd.groupBy("entry").agg(F.sum("many").alias("weight"))
+    leaders = crowd.join(weight, "entry").groupBy("band", "key").agg(F.max_by(F.struct("entry", "n"), F.struct("weight", -F.col("entry"))).alias("leader"))
+    met = crowd.join(checked_broadcast(leaders), ["band", "key"]).withColumn("m", F.col("leader.n"))
+    return met.filter((F.col("entry") != F.col("leader.entry")) & _fit("n", "m", percent)).select(
+        F.least("entry", "leader.entry").alias("a"), F.greatest("entry", "leader.entry").alias("b")).distinct()
+
+
+def _block_links(crowd: DataFrame, signed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links within large buckets ``band, key, entry, n`` between entries that ``labels`` (node, least) keeps apart.
+
+    The entries of a bucket's largest class need no comparison among themselves; all others meet every entry.
+    """
+    named = crowd.join(labels.withColumnRenamed("node", "entry"), "entry", "left").select(
+        "band", "key", "entry", "n", F.coalesce("least", "entry").alias("label"))
+    classes = named.groupBy("band", "key", "label").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    bucket = classes.groupBy("band", "key").agg(
+        F.max_by(F.struct("label", "rows", "shingles"), F.struct("rows", -F.col("label"))).alias("main"),
+        F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"))
+
+    def cut(rows: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(rows / BLOCK_ENTRIES), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+    open_ = bucket.filter(F.col("rows") > F.col("main.rows")).select(
+        "band", "key", F.col("main.label").alias("main"), cut(F.col("main.rows"), F.col("main.shingles")).alias("mains"),
+        cut(F.col("rows") - F.col("main.rows"), F.col("shingles") - F.col("main.shingles")).alias("rest"))
+    rows = named.join(checked_broadcast(materialize(open_, "open")), ["band", "key"])
+    inside = F.col("label") == F.col("main")
+    own = F.when(inside, F.pmod(F.xxhash64("entry"), F.col("mains"))).otherwise(F.col("mains") + F.pmod(F.xxhash64("entry"), F.col("rest"))).cast("int")
+    others = F.sequence(F.when(inside, F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("rest") - 1)
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(others)).select(
+        "band", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "entry", "label")
+    pairs = dealt.join(signed.select("entry", "hashes", "bands"), "entry")
 
     def link(key: tuple, table: pa.Table) -> pa.Table:
         band, low, high = key[0].as_py(), key[2].as_py(), key[3].as_py()
-        sets = [np.array(x.values) for x in table.column("hashes")]
+        sets = [x.values.to_numpy() for x in table.column("hashes")]
         bands = np.array([x.values.to_numpy() for x in table.column("bands")])
         side = [x == high and low != high for x in table.column("own").to_pylist()]
-        found = forest_links(table.column("entry").to_pylist(), sets, bands, band, side, percent)
+        found = forest_links(table.column("entry").to_pylist(), sets, bands, band, side, percent, table.column("label").to_pylist())
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return pairs.groupBy("band", "key", "low", "high").applyInArrow(link, "a long, b long")
 
 
-def near_links(signed: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): entries of ``entry, hashes, bands`` whose sets are similar, enough of them to connect all that are."""
-    keyed = signed.select("entry", F.size("hashes").alias("size"), F.posexplode("bands").alias("band", "key"))
-    buckets = materialize(
-        keyed.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")).filter("n > 1"), "buckets")
-    small = buckets.filter(F.col("n") <= SMALL_BUCKET).select("band", "key")
-    met = materialize(keyed.join(small, ["band", "key"]).select("entry", "band", "key"), "met")
-    left, right = met.withColumnRenamed("entry", "a"), met.withColumnRenamed("entry", "b")
-    candidates = left.join(right, ["band", "key"]).filter("a < b").select("a", "b").distinct()
-    sets = signed.select("entry", "hashes")
-    checked = (
-        candidates.join(sets.select(F.col("entry").alias("a"), F.col("hashes").alias("of_a")), "a")
-        .join(sets.select(F.col("entry").alias("b"), F.col("hashes").alias("of_b")), "b")
-        .filter(similar(F.col("of_a"), F.col("of_b"), percent)).select("a", "b")
-    )
-    large = buckets.filter(F.col("n") > SMALL_BUCKET)
-    return checked.unionByName(_block_links(large, signed, percent))
+def near_links(signed: DataFrame, heads: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): entries (``heads``) of ``entry, n, hashes, bands`` whose sets are similar, enough to connect all that are."""
+    keyed = signed.select("entry", "n", "bands").join(heads.select("entry"), "entry", "left_semi").select("entry", "n", F.posexplode("bands").alias("band", "key"))
+    buckets = materialize(keyed.groupBy("band", "key").agg(F.count("*").alias("many")).filter("many > 1"), "buckets")
+    met = materialize(keyed.join(buckets, ["band", "key"]), "met")
+    small = met.filter(F.col("many") <= SMALL_BUCKET)
+    left = small.select("band", "key", F.col("entry").alias("a"), F.col("n").alias("of_a"))
+    right = small.select("band", "key", F.col("entry").alias("b"), F.col("n").alias("of_b"))
+    meeting = left.join(right, ["band", "key"]).filter((F.col("a") < F.col("b")) & _fit("of_a", "of_b", percent)).select("a", "b")
+    crowd = met.filter(F.col("many") > SMALL_BUCKET)
+    crowded = bool(crowd.head(1))
+    candidates = materialize((meeting.unionByName(_leader_pairs(crowd, percent)) if crowded else meeting).distinct(), "candidates")
+    links = materialize(_checked(candidates, signed.select("entry", "hashes"), percent), "near")
+    return links.unionByName(_block_links(crowd, signed, least_members(links), percent)) if crowded else links
 
 
 def least_members(links: DataFrame) -> DataFrame:
@@ -183,14 +308,10 @@ def near_duplicate_classes(df: DataFrame, text: str, id_col: str, percent: int =
     of their union. Texts without words (null, blank) are alike with nothing. Ids are whole numbers and unique; rows without
     id are left out. Other columns are left out. Records of one shingle set are one entry: copies cost a count.
     """
-    hashed = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), shingle_hashes(text, size).alias("hashes"))
-    hashed = hashed.withColumn("same", F.when(F.size("hashes") > 0, F.sha2(F.array_join("hashes", ","), 256)))
-    hashed = materialize(hashed, "shingles")
-    entries = hashed.filter("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("entry"))
-    heads = materialize(entries, "entries")
-    # Sets of one entry are equal, so the row with the entry's id has it.
-    signed = materialize(_signed(heads.select(F.col("entry").alias("id"), "entry").join(hashed.select("id", "hashes"), "id").select("entry", "hashes")), "signed")
-    least = least_members(near_links(signed, percent))
+    records = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    hashed = materialize(_signed(records, "text", size), "shingles")
+    heads = materialize(hashed.filter("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("entry")), "entries")
+    least = least_members(near_links(hashed.withColumnRenamed("id", "entry"), heads, percent))
     of_entry = heads.join(least, F.col("entry") == F.col("node"), "left").select("same", F.coalesce("least", "entry").alias("class_id"))
     return hashed.select("id", "same").join(of_entry, "same", "left").select(
         F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))

@@ -112,3 +112,32 @@ def test_signatures_meet_by_similarity():
         keys = neardup.band_keys(np.concatenate(pair), np.array([0, 100, 200]))
         met += bool((keys[0] == keys[1]).any())
     assert met >= 198
+
+
+def test_unlike_entries_of_a_bucket_are_not_intersected(monkeypatch):
+    rng = np.random.default_rng(3)
+    family = np.arange(60) * 7919
+    sets = [np.unique(np.concatenate([family[: 30 + k % 20], rng.integers(-2**62, 2**62, 40)])) for k in range(300)]
+    sets += [np.unique(np.append(sets[0], v)) for v in (11, 12)]
+    calls = []
+    count = np.intersect1d
+    monkeypatch.setattr(neardup.np, "intersect1d", lambda *a, **k: calls.append(1) or count(*a, **k))
+    bands = np.arange(len(sets) * neardup.BANDS).reshape(len(sets), -1)
+    links = neardup.forest_links(list(range(len(sets))), sets, bands, 0, [False] * len(sets), 80)
+    assert {x for pair in links for x in pair} == {0, 300, 301} and len(links) == 2
+    assert len(calls) < 3 * len(sets)
+
+
+def test_shingles_of_texts_in_one_block():
+    texts = ["", "a b c d e f", "e f", " a  b\tc d\n e ", "x", "\x0b \r\x0c", "f", "e f a", "a b c d e", "a\xa0b \x1c c"]
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in data])])
+    found, begin = neardup.shingle_hashes(np.frombuffer(b"".join(data), np.uint8), offsets)
+    name = {}
+    for k, text in enumerate(texts):
+        got, want = found[begin[k]: begin[k + 1]].tolist(), shingles(text)
+        assert len(got) == len(want)
+        if len(want) == 1:
+            assert name.setdefault(got[0], want) == want
+    assert found[begin[1]] == found[begin[3]] == found[begin[8]]
+    assert len(name) == 6
