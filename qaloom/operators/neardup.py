@@ -198,10 +198,14 @@ def forest_links(
     return links
 
 
+def _only(sets: DataFrame, entries: DataFrame) -> DataFrame:
+    """``sets`` of the ``entries``: sets are large, so few ids are sent to them rather than all sets shuffled."""
+    return sets.join(checked_broadcast(entries.select("entry").distinct(), BROADCAST_IDS), "entry", "left_semi")
+
+
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct pairs (a, b) whose sets are similar. Only sets of entries in pairs are moved."""
-    taken = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
-    held = materialize(sets.join(checked_broadcast(taken, BROADCAST_IDS), "entry", "left_semi"), "sets")
+    held = materialize(_only(sets, pairs.select(F.explode(F.array("a", "b")).alias("entry"))), "sets")
     return (
         pairs.join(held.select(F.col("entry").alias("a"), F.col("hashes").alias("of_a")), "a")
         .join(held.select(F.col("entry").alias("b"), F.col("hashes").alias("of_b")), "b")
@@ -243,13 +247,13 @@ def _block_links(crowd: DataFrame, signed: DataFrame, labels: DataFrame, percent
     open_ = bucket.filter(F.col("rows") > F.col("main.rows")).select(
         "band", "key", F.col("main.label").alias("main"), cut(F.col("main.rows"), F.col("main.shingles")).alias("mains"),
         cut(F.col("rows") - F.col("main.rows"), F.col("shingles") - F.col("main.shingles")).alias("rest"))
-    rows = named.join(checked_broadcast(materialize(open_, "open")), ["band", "key"])
+    rows = materialize(named.join(checked_broadcast(materialize(open_, "open")), ["band", "key"]), "rows")
     inside = F.col("label") == F.col("main")
     own = F.when(inside, F.pmod(F.xxhash64("entry"), F.col("mains"))).otherwise(F.col("mains") + F.pmod(F.xxhash64("entry"), F.col("rest"))).cast("int")
     others = F.sequence(F.when(inside, F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("rest") - 1)
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(others)).select(
         "band", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "entry", "label")
-    pairs = dealt.join(signed.select("entry", "hashes", "bands"), "entry")
+    pairs = dealt.join(_only(signed.select("entry", "hashes", "bands"), rows), "entry")
 
     def link(key: tuple, table: pa.Table) -> pa.Table:
         band, low, high = key[0].as_py(), key[2].as_py(), key[3].as_py()
