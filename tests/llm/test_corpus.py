@@ -1,6 +1,7 @@
 """Every operator against brute force on small documents with odd rows, and on empty tables."""
 
 import collections
+import hashlib
 import math
 import re
 import zlib
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qaloom.llm import decontamination, fmindex, jaccard, lm, packing, pii, repeats, sharding, suffixes, topk, toxicity
+from qaloom.llm import queries as corpus_queries
 from rows import WORDS, documents, frame
 
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -252,6 +254,24 @@ def test_fm_dedup(docs, empty, monkeypatch, most):
     assert fmindex.remove_repeats(empty, shape).collect() == []
 
 
+def test_planted_passages_by_op5s_contract(spark, tmp_path):
+    # Of passages with 51 words or more, those of 400 bytes go and those of 399 stay, and clean texts stay whole.
+    rng = np.random.default_rng(5)
+    fresh = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n))
+    short, long = fresh(57), fresh(57) + "."
+    assert len(short) == 398 and len(long) == 399
+    rows = []
+    for k, passage in enumerate([short + "!", long + "!"] * 2):
+        rows.append((k, f"{fresh(80)}{'<>[]'[k]}{passage}{'{}()'[k]}{fresh(40)}"))
+    rows += [(k, fresh(150)) for k in range(4, 8)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in corpus_queries.QUERIES["op5_columnwise_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert {k: r.n_removed for k, r in got.items()} == {0: 0, 1: 400, 2: 0, 3: 400, 4: 0, 5: 0, 6: 0, 7: 0}
+    for k, text in rows:
+        assert got[k].n_bytes == len(text)
+        assert got[k].kept_sha256 == hashlib.sha256(text.replace(long + "!", "").encode()).hexdigest()
+
+
 def test_long_rows_are_cut_without_loss(monkeypatch):
     values = np.random.default_rng(0).integers(0, 4, 5000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     shape = repeats.Shape(window=30, gram=6, grid=10)
