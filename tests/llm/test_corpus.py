@@ -254,6 +254,33 @@ def test_fm_dedup(docs, empty, monkeypatch, most):
     assert fmindex.remove_repeats(empty, shape).collect() == []
 
 
+@pytest.mark.parametrize("most", [50, 10_000])
+def test_chunks_of_a_common_core_stay_where_they_are(spark, monkeypatch, most):
+    monkeypatch.setattr(repeats, "MOST_OF_A_CORE", most)
+    rows = [(1, k % 3, k, 0, 0, 5) for k in range(400)] + [(2, 7, k, 9, 0, 5) for k in range(2)] + [(3, 8, 1, 30, 0, 5)]
+    found = spark.createDataFrame(rows, "core long, context long, key long, start long, lead short, count short").repartition(8)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")  # as for tables too large to broadcast
+    try:
+        kept, contexts = repeats.repeated_chunks(found)
+    finally:
+        spark.conf.set(setting, usual)
+    same([tuple(r) for r in kept.select(*repeats.CHUNK_COLUMNS).collect()], [r for r in rows if r[0] != 3])
+    same([(r.core, r.context, r.times) for r in contexts.collect()], [(1, 0, 134), (1, 1, 133), (1, 2, 133), (2, 7, 2)])
+    files = kept.where("core = 1").select(F.input_file_name().alias("f")).distinct().count()
+    assert files == (8 if most == 50 else 1)  # a file is a task
+
+
+def test_common_cores_change_no_result(docs, monkeypatch):
+    bytes_, words = repeats.Shape(window=60, gram=12, grid=20), repeats.Shape(window=9, gram=3, grid=4)
+    both = [lambda: suffixes.remove_repeats(docs, bytes_), lambda: fmindex.remove_repeats(docs, words)]
+    before = [[str(r) for r in run().collect()] for run in both]
+    monkeypatch.setattr(repeats, "MOST_OF_A_CORE", 2)
+    for run, want in zip(both, before):
+        same([str(r) for r in run().collect()], want)
+
+
 def test_planted_passages_by_op5s_contract(spark, tmp_path):
     # Of passages with 51 words or more, those of 400 bytes go and those of 399 stay, and clean texts stay whole.
     rng = np.random.default_rng(5)
