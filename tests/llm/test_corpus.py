@@ -255,15 +255,14 @@ def test_fm_dedup(docs, empty, monkeypatch, most):
 
 
 @pytest.mark.parametrize("most", [50, 10_000])
-def test_chunks_of_a_common_core_stay_where_they_are(spark, monkeypatch, most):
-    monkeypatch.setattr(repeats, "MOST_OF_A_CORE", most)
+def test_chunks_of_a_common_core_stay_where_they_are(spark, most):
     rows = [(1, k % 3, k, 0, 0, 5) for k in range(400)] + [(2, 7, k, 9, 0, 5) for k in range(2)] + [(3, 8, 1, 30, 0, 5)]
     found = spark.createDataFrame(rows, "core long, context long, key long, start long, lead short, count short").repartition(8)
     setting = "spark.sql.autoBroadcastJoinThreshold"
     usual = spark.conf.get(setting)
     spark.conf.set(setting, "-1")  # as for tables too large to broadcast
     try:
-        kept, contexts = repeats.repeated_chunks(found)
+        kept, contexts = repeats.repeated_chunks(found, most)
     finally:
         spark.conf.set(setting, usual)
     same([tuple(r) for r in kept.select(*repeats.CHUNK_COLUMNS).collect()], [r for r in rows if r[0] != 3])
@@ -273,12 +272,10 @@ def test_chunks_of_a_common_core_stay_where_they_are(spark, monkeypatch, most):
 
 
 def test_common_cores_change_no_result(docs, monkeypatch):
-    bytes_, words = repeats.Shape(window=60, gram=12, grid=20), repeats.Shape(window=9, gram=3, grid=4)
-    both = [lambda: suffixes.remove_repeats(docs, bytes_), lambda: fmindex.remove_repeats(docs, words)]
-    before = [[str(r) for r in run().collect()] for run in both]
-    monkeypatch.setattr(repeats, "MOST_OF_A_CORE", 2)
-    for run, want in zip(both, before):
-        same([str(r) for r in run().collect()], want)
+    shape = repeats.Shape(window=60, gram=12, grid=20)
+    before = [str(r) for r in suffixes.remove_repeats(docs, shape).collect()]
+    monkeypatch.setattr(suffixes, "MOST_OF_A_CORE", 2)
+    same([str(r) for r in suffixes.remove_repeats(docs, shape).collect()], before)
 
 
 def test_planted_passages_by_op5s_contract(spark, tmp_path):
