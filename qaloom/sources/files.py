@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
 from contextlib import contextmanager
+from fnmatch import fnmatchcase
 from functools import reduce
 
 import pyarrow as pa
@@ -12,13 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.functions.text import base_name, decode_text, file_type, has_text
+from qaloom.session import new_scratch_path
 
 # How the content of each kind of file was obtained.
 EXTRACTION_METHODS = {"pdf": "pdf_extraction", "text": "direct_read"}
 
 
+# Files and bytes one task reads, names and bytes sent on at once.
+FILES_OF_A_TASK = 10_000
+BYTES_OF_A_TASK = 128 * 1024 * 1024
+NAMES_AT_ONCE = 10_000
+BYTES_AT_ONCE = 8 * 1024 * 1024
+
+
 def text_source(spark: SparkSession, path: str | list[str], glob: str = "*.txt") -> DataFrame:
-    """One row per text file below ``path``; blank files are dropped."""
+    """One row per text file below ``path``; blank files are dropped.
+
+    Tasks list the folders and read the files where these are in a file system that they have mounted, so the driver
+    holds no list, however many files there are. Elsewhere, and for paths or ``glob`` with more than ``*`` and ``?`` in
+    the file's name, Spark's reader does both; it keeps every file's name and place on the driver.
+    """
+    roots = _mounted(spark, [path] if isinstance(path, str) else path)
+    if roots and re.fullmatch(r"[\w*?. -]*\.txt", glob):
+        return _read_files(_list_files(spark, roots, glob)).filter(has_text("content"))
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return files.select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -27,6 +46,100 @@ def text_source(spark: SparkSession, path: str | list[str], glob: str = "*.txt")
     ).filter(has_text("content"))
 
 
+def _mounted(spark: SparkSession, paths: list[str]) -> list[str] | None:
+    """``paths`` as folders of the mounted file system, if all of them are, exist and hold no pattern."""
+    roots = []
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        uri = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(place).toUri()
+        root = uri.getPath()
+        if uri.getScheme() != "file" or re.search(r"[{}\[\]*?\\]", root) or not os.path.isdir(root):
+            return None
+        roots.append(root)
+    return roots
+
+
+def _list_files(spark: SparkSession, roots: list[str], glob: str) -> DataFrame:
+    """``path, size`` of the files below ``roots`` whose names match ``glob``, as Spark's reader chooses them.
+
+    Folders are listed level by level by tasks; a level is written before the next, so only its number of folders is known here.
+    """
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(paths: list, sizes: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["path", "size"])
+
+        paths, sizes = [], []
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                with os.scandir(folder) as entries:
+                    for entry in entries:
+                        name = entry.name
+                        hidden = name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+                        if not name.isascii() and re.search("[\ud800-\udfff]", name):  # no name Spark can open
+                            continue
+                        if entry.is_dir():
+                            if hidden and not name.startswith(("_metadata", "_common_metadata")):
+                                continue
+                            size = None
+                        elif not hidden and fnmatchcase(name, glob) and entry.is_file():
+                            size = entry.stat().st_size
+                        else:
+                            continue
+                        paths.append(entry.path)
+                        sizes.append(size)
+                        if len(paths) >= NAMES_AT_ONCE:
+                            yield rows(paths, sizes)
+                            paths, sizes = [], []
+        yield rows(paths, sizes)
+
+    found, depth = new_scratch_path(spark, "files"), 0
+    folders = spark.createDataFrame([(r,) for r in dict.fromkeys(roots)], "path string")
+    while True:
+        folders.select("path").mapInArrow(listing, "path string, size bigint").write.parquet(f"{found}/{depth}")
+        level = spark.read.schema("path string, size bigint").parquet(f"{found}/{depth}")
+        folders = level.filter("size IS NULL")
+        n = folders.count()
+        if not n:
+            break
+        folders = folders.repartition(min(n, max(spark.sparkContext.defaultParallelism, n // 1000)))
+        depth += 1
+    files = spark.read.schema("path string, size bigint").option("recursiveFileLookup", True).parquet(found).filter("size IS NOT NULL")
+    return files.distinct() if len(roots) > 1 else files
+
+
+def _read_files(listed: DataFrame) -> DataFrame:
+    """``file_path, source_file, content`` of the files ``path, size``, names as Spark's reader writes them."""
+    seen = listed.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    tasks = max(min(seen["n"], listed.sparkSession.sparkContext.defaultParallelism), -(-seen["n"] // FILES_OF_A_TASK), -(-seen["bytes"] // BYTES_OF_A_TASK), 1)
+
+    def encoded(c: str) -> str:
+        other = ord(c) > 127 and unicodedata.category(c)[0] != "Z" and unicodedata.category(c) != "Cc"
+        return c if other else "".join(f"%{b:02X}" for b in c.encode())
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(paths: list, contents: list) -> pa.RecordBatch:
+            shown = [re.sub(r"[^A-Za-z0-9_.!~'()*,;:$&+=@/-]", lambda m: encoded(m.group()), p) for p in paths]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(["file:" + p for p in shown], pa.string()), pa.array([p.rsplit("/", 1)[-1] for p in shown], pa.string()),
+                 pa.array(contents, pa.binary())], names=["file_path", "source_file", "content"])
+
+        for batch in batches:
+            paths, contents, held = [], [], 0
+            for path in batch.column(0).to_pylist():
+                with open(path, "rb") as file:
+                    contents.append(file.read())
+                paths.append(path)
+                held += len(contents[-1])
+                if held >= BYTES_AT_ONCE:
+                    yield rows(paths, contents)
+                    paths, contents, held = [], [], 0
+            yield rows(paths, contents)
+
+    read_files = listed.select("path").repartition(tasks).mapInArrow(read, "file_path string, source_file string, content binary")
+    return read_files.withColumn("content", F.col("content").cast("string"))
+
+
 # Characters Spark writes as %XX in the name of a partition folder.
 _ESCAPED = {chr(c) for c in range(32)} | set("\"#%'*/:=?\\\x7f{[]^")
 
