@@ -2,21 +2,29 @@
 
 Long forms hold a row per piece, so a source may be of any size: ``chunk_texts`` (pieces with their
 place in the merged text), ``chunk_values`` (distinct values with their first place) and ``chunk_items`` (all items in
-order). ``merge_chunk_text`` and ``merge_chunk_knowledge`` are the views with one row per source on top.
+order). ``merge_chunk_text`` and ``merge_chunk_knowledge`` have one row per source.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from qaloom.session import checked_broadcast, materialize, positions
+from qaloom.session import checked_broadcast, materialize, positions, small_batches
 
 PAIR = "question string, answer string, question_type string, difficulty string, reasoning string"
 KNOWLEDGE_LISTS = ("key_concepts", "materials", "parameters", "methods")
 _PATHS = ("key_concepts", "technical_details.materials", "technical_details.parameters", "technical_details.methods")
 
 _POSITION_BITS = 32
+# Stands between values that travel as one text; those that hold it travel as a list.
+_BETWEEN = "\0"
 
 
 def _chunk_pieces(df: DataFrame) -> DataFrame:
@@ -85,6 +93,67 @@ def chunk_items(df: DataFrame, col: str) -> DataFrame:
         "source_file", _place(F.col("_i")).alias("position"), "value")
 
 
+def _reduced(df: DataFrame) -> DataFrame:
+    """Multi-chunk records, reduced where they are: a row per source of every batch, nothing is shuffled.
+
+    Of each of the four lists a batch's distinct values stay, each with the chunk and the place where it is first:
+    ``X_chunk, X_place`` and ``X_joined``, the values one after another, or ``X`` where they cannot be told apart
+    so. ``items`` are the other lists of each record, side by side.
+    """
+    pairs = df.schema["qa_pairs"].dataType
+    item = F.struct(
+        F.col("chunk_index").cast("bigint").alias("chunk"), F.coalesce("qa_pairs", F.array().cast(pairs)).alias("qa_pairs"),
+        _list("main_findings").cast("array<string>").alias("main_findings"),
+    )
+    records = df.filter(_chunked()).select(
+        "source_file", F.col("chunk_index").cast("bigint").alias("chunk_index"), item.alias("items"),
+        *[_list(path).cast("array<string>").alias(name) for name, path in zip(KNOWLEDGE_LISTS, _PATHS)],
+    )
+    schema = StructType([df.schema["source_file"]]).add("items", ArrayType(records.schema["items"].dataType))
+    for name in KNOWLEDGE_LISTS:
+        schema.add(f"{name}_chunk", ArrayType(LongType())).add(f"{name}_place", ArrayType(IntegerType()))
+        schema.add(f"{name}_joined", StringType()).add(name, ArrayType(StringType()))
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sources = batch.column(0).dictionary_encode(null_encoding="encode")
+            source, chunk, n = sources.indices.to_numpy().astype(np.int64), batch.column(1).to_numpy(), len(sources.dictionary)
+
+            def offsets(owner: np.ndarray) -> pa.Array:
+                return pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]), pa.int32())
+
+            order = np.lexsort((chunk, source))
+            columns = [sources.dictionary, pa.ListArray.from_arrays(offsets(source), batch.column(2).take(pa.array(order)))]
+            for column in batch.columns[3:]:
+                row, values = pc.list_parent_indices(column).to_numpy(), pc.list_flatten(column)
+                place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+                of, owner = chunk[row], source[row]
+                found = values.dictionary_encode(null_encoding="encode")
+                key = owner * (len(found.dictionary) + 1) + found.indices.to_numpy()
+                order = np.lexsort((place, of, key))
+                keep = order[np.flatnonzero(np.diff(key[order], prepend=-1))]
+                keep = keep[np.lexsort((place[keep], of[keep], owner[keep]))]
+                ends, kept = offsets(owner[keep]), values.take(pa.array(keep))
+                lists = pa.ListArray.from_arrays(ends, kept)
+                apart = np.ones(n, bool)
+                apart[owner[keep][pc.fill_null(pc.match_substring(kept, _BETWEEN), True).to_numpy(zero_copy_only=False)]] = False
+                joined = pa.array(apart & (np.diff(ends.to_numpy()) > 0))
+                none, empty = pa.scalar(None, pa.string()), pa.scalar([], lists.type)
+                columns += [
+                    pa.ListArray.from_arrays(ends, pa.array(of[keep])), pa.ListArray.from_arrays(ends, pa.array(place[keep], pa.int32())),
+                    pc.if_else(joined, pc.binary_join(lists, _BETWEEN), none), pc.if_else(joined, empty, lists),
+                ]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    small_batches(df.sparkSession)
+    return records.mapInArrow(reduce, schema)
+
+
+def _in_order(placed: Column) -> Column:
+    """Of structs of chunk, place and value the values, by chunk and place."""
+    return F.transform(F.sort_array(placed), lambda x: x["value"])
+
+
 def merge_chunk_knowledge(df: DataFrame) -> DataFrame:
     """Merge knowledge records of multi-chunk sources; single-chunk records pass through.
 
@@ -92,8 +161,8 @@ def merge_chunk_knowledge(df: DataFrame) -> DataFrame:
     methods are too and keep their first occurrence. Records that pass through are not shuffled
     and keep their further columns (chunk position, text), which are NULL on merged rows.
 
-    The row of a source is a view on the long forms: of the four lists only distinct values, reduced where they
-    are, come together; no record is gathered. Items of equal chunk_index stand by their place in the record.
+    Records are read once and reduced where they are; the shuffle has one row per source and batch, with
+    the four lists' distinct values. Items of equal chunk_index stand by their place in the record.
     """
     known = ("source_file", "qa_pairs", "key_concepts", "technical_details", "main_findings")
     others = [c for c in df.columns if c not in known]
@@ -105,25 +174,21 @@ def merge_chunk_knowledge(df: DataFrame) -> DataFrame:
         _list("main_findings").alias("main_findings"),
         *others,
     )
+    parts = _reduced(df)
+    held = F.collect_list(F.struct(*[c for c in parts.columns if c != "source_file"])).alias("_parts")
 
-    def wire(kind: Column, position: Column, value: Column, pair: Column) -> list[Column]:
-        return [F.col("source_file"), kind.alias("kind"), position.cast("bigint").alias("position"), value.cast("string").alias("value"),
-                pair.cast(pairs.elementType).alias("pair")]
-
-    none, at, value = F.lit(None), F.col("position"), F.col("value")
-    parts = (
-        chunk_values(df).select(*wire(F.col("list"), at, value, none))
-        .unionByName(chunk_items(df, "main_findings").select(*wire(F.lit("main_findings"), at, value, none)))
-        .unionByName(chunk_items(df, "qa_pairs").select(*wire(F.lit("qa_pairs"), at, none, value)))
-        .unionByName(df.filter(_chunked()).select("source_file").distinct().select(*wire(F.lit("source"), F.lit(0), none, none)))
-    )
+    def items(name: str) -> Column:
+        placed = F.transform("_items", lambda x: F.transform(x[name], lambda value, i: F.struct(x["chunk"].alias("chunk"), i.alias("place"), value.alias("value"))))
+        return _in_order(F.flatten(placed)).alias(name)
 
-    def gathered(name: str, field: str) -> Column:
-        held = F.sort_array(F.collect_list(F.when(F.col("kind") == name, F.struct("position", field))))
-        return F.transform(held, lambda x: x[field]).alias(name)
+    def values(name: str) -> Column:
+        placed = F.transform("_parts", lambda p: F.arrays_zip(
+            p[f"{name}_chunk"].alias("chunk"), p[f"{name}_place"].alias("place"),
+            F.coalesce(F.split(p[f"{name}_joined"], _BETWEEN), p[name]).alias("value")))
+        return F.array_distinct(_in_order(F.flatten(placed))).alias(name)
 
-    merged = parts.groupBy("source_file").agg(
-        gathered("qa_pairs", "pair"), *[gathered(name, "value") for name in (*KNOWLEDGE_LISTS, "main_findings")])
+    merged = parts.repartition("source_file").groupBy("source_file").agg(held).withColumn("_items", F.flatten("_parts.items")).select(
+        "source_file", *[items(name) for name in ("qa_pairs", "main_findings")], *[values(name) for name in KNOWLEDGE_LISTS])
     return single.unionByName(merged, allowMissingColumns=True).select(
         "source_file",
         "qa_pairs",
